@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Separator between attributes and the mark that stands for NULL.
-SEPARATOR = "\x1f"
-NULL_MARK = "\x1e"
+# Fixed values, as SQL escapes: separator between attributes and the mark that stands for NULL.
+SEPARATOR = "\\u001f"
+NULL_MARK = "\\u001e"
+
+
+def _digest_sql(cols: tuple[str, ...]) -> str:
+    parts = ", ".join(f"coalesce(cast(`{c}` as string), '{NULL_MARK}')" for c in cols)
+    return f"sha1(concat_ws('{SEPARATOR}', {parts}))"
 
 
 def digest(*cols: str) -> Column:
     """SHA-1 (40 hex digits) over the given columns, safe against shifted or missing values."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in cols]
-    return F.sha1(F.concat_ws(SEPARATOR, *parts))
+    return F.expr(_digest_sql(cols))
 
 
 def hash_key(*cols: str) -> Column:
@@ -22,7 +26,7 @@ def hash_key(*cols: str) -> Column:
     60 bits are comfortable up to some hundred million rows per table; beyond that use
     :func:`digest` as the key. ``check_unique`` on the key column finds a collision.
     """
-    return F.conv(F.substring(digest(*cols), 1, 15), 16, 10).cast("bigint")
+    return F.expr(f"cast(conv(substring({_digest_sql(cols)}, 1, 15), 16, 10) as bigint)")
 
 
 def surrogate_key(

@@ -40,8 +40,8 @@ class LocationRules:
 
 def look_up(c: Column, table: dict[str, str]) -> Column:
     """Value for a text, NULL when it is not listed."""
-    pairs = [F.lit(x) for pair in table.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), c)
+    names, values = (F.lit(list(x)) for x in (table.keys(), table.values()))
+    return F.try_element_at(F.map_from_arrays(names, values), c)
 
 
 def location_columns(state: Column, city: Column, rules: LocationRules = LocationRules()) -> dict[str, Column]:

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def splits_skew(spark: SparkSession) -> bool:
+    """Whether adaptive execution will split skewed join partitions in this session."""
+    flags = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(spark.conf.get(f) == "true" for f in flags)
+
+
 def heavy_keys(
     df: DataFrame, keys: list[list[str]], share: float = 0.01, tracked: int = 4096
 ) -> list[list[int]]:

@@ -1,8 +1,10 @@
 """Neighbour lookups along time that survive a key holding a third of all rows.
 
-A plain window partitioned by key sorts one key in one task. Here every key is cut into time
-slices of equal width: the window runs inside (key, slice), and one edge row per (key, slice)
-carries the value over the cut. The window over edges sees at most ``slices`` rows per key.
+A plain window partitioned by key sorts one key in one task. Here a key with more than
+``rows_per_slice`` rows is cut into time slices: the window runs inside (key, slice), and one edge
+row per slice carries the value over the cut. All other keys are a single slice and have no edges,
+so the usual key pays nothing. Big keys and edges number at most rows / ``rows_per_slice`` (times a
+small factor), which is what makes them safe to broadcast.
 
 The row order inside a key must be total: callers reduce rows with equal time first.
 """
@@ -12,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SLICES = 1024
+ROWS_PER_SLICE = 1_000_000
+SLICE = "_slice"
 
 
 def _seconds(df: DataFrame, ts: str) -> Column:
@@ -20,100 +23,112 @@ def _seconds(df: DataFrame, ts: str) -> Column:
     c = F.col(ts)
     if dict(df.dtypes)[ts] == "timestamp":
         return F.unix_seconds(c)
+    day = F.unix_date(c.cast("date")).cast("bigint") * 86400
     if dict(df.dtypes)[ts] == "date":
-        return F.unix_date(c).cast("bigint") * 86400
+        return day
+    return day + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
+def big_keys(df: DataFrame, key: list[str], ts: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Keys with more than ``rows_per_slice`` rows: first second, span and number of slices.
+
+    Slices have equal width; a key gets four times as many as its row count asks for, which leaves
+    room for busy hours.
+    """
+    counted = df.select(*key, _seconds(df, ts).alias("_sec")).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_sec").alias("_low"), F.max("_sec").alias("_high")
+    )
+    return counted.where(F.col("_n") > rows_per_slice).select(
+        *key, "_low", (F.col("_high") - F.col("_low") + 1).alias("_span"),
+        F.ceil(F.col("_n") * 4 / rows_per_slice).alias("_slices"),
+    )
+
+
+def add_slice(df: DataFrame, key: list[str], ts: str, big: DataFrame) -> DataFrame:
+    """Add the slice number: NULL for usual keys, else growing with time."""
+    place = F.floor((_seconds(df, ts) - F.col("_low")) * F.col("_slices") / F.col("_span"))
     return (
-        F.unix_date(c.cast("date")).cast("bigint") * 86400
-        + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+        df.join(F.broadcast(big), key, "left")
+        .withColumn(SLICE, place.cast("bigint"))
+        .select(*df.columns, SLICE)
     )
 
 
-def add_slice(df: DataFrame, ts: str, slices: int = DEFAULT_SLICES, name: str = "_slice") -> DataFrame:
-    """Number of the equal-width time slice a row falls in, between the table's first and last time."""
-    timed = df.withColumn("_sec", _seconds(df, ts))
-    low, high = timed.agg(F.min("_sec")).scalar(), timed.agg(F.max("_sec")).scalar()
-    width = high - low + F.lit(1)
-    place = F.expr("0") if slices == 1 else F.floor((F.col("_sec") - low) * F.lit(slices) / width)
-    return timed.withColumn(name, place.cast("int")).drop("_sec")
+def _carry(edges: DataFrame, key: list[str], value: Column) -> DataFrame:
+    """Edge rows with the value carried over from their neighbours, as a broadcast lookup."""
+    return F.broadcast(edges.withColumn("_carry", value).select(*key, SLICE, "_carry"))
 
 
-def with_previous(
-    df: DataFrame, key: list[str], ts: str, cols: list[str], name: str = "_prev", slice_col: str = "_slice"
-) -> DataFrame:
-    """Struct of ``cols`` from the key's preceding row; NULL on the first row."""
+def with_previous(df: DataFrame, key: list[str], ts: str, cols: list[str], name: str = "_prev") -> DataFrame:
+    """Struct of ``cols`` from the key's preceding row; NULL on the first row. Needs the slice."""
     row = F.struct(*cols)
-    inside = Window.partitionBy(*key, slice_col).orderBy(ts)
-    edges = df.groupBy(*key, slice_col).agg(F.max_by(row, F.col(ts)).alias("_edge"))
-    along = Window.partitionBy(*key).orderBy(slice_col)
-    carried = edges.withColumn("_carry", F.lag("_edge").over(along)).drop("_edge")
+    inside = Window.partitionBy(*key, SLICE).orderBy(ts)
+    edges = df.where(F.col(SLICE).isNotNull()).groupBy(*key, SLICE).agg(
+        F.max_by(row, F.col(ts)).alias("_edge")
+    )
+    carried = _carry(edges, key, F.lag("_edge").over(Window.partitionBy(*key).orderBy(SLICE)))
     return (
         df.withColumn("_near", F.lag(row).over(inside))
-        .join(carried, [*key, slice_col], "left")
+        .join(carried, [*key, SLICE], "left")
         .withColumn(name, F.coalesce("_near", "_carry"))
         .drop("_near", "_carry")
     )
 
 
-def with_next(
-    df: DataFrame, key: list[str], ts: str, col: str, name: str = "_next", slice_col: str = "_slice"
-) -> DataFrame:
-    """``col`` of the key's following row; NULL on the last row."""
-    inside = Window.partitionBy(*key, slice_col).orderBy(ts)
-    edges = df.groupBy(*key, slice_col).agg(F.min_by(F.struct(col), F.col(ts)).alias("_edge"))
-    along = Window.partitionBy(*key).orderBy(slice_col)
-    carried = edges.withColumn("_carry", F.lead("_edge").over(along)).drop("_edge")
+def with_next(df: DataFrame, key: list[str], ts: str, col: str, name: str = "_next") -> DataFrame:
+    """``col`` of the key's following row; NULL on the last row. Needs the slice."""
+    inside = Window.partitionBy(*key, SLICE).orderBy(ts)
+    edges = df.where(F.col(SLICE).isNotNull()).groupBy(*key, SLICE).agg(
+        F.min_by(F.struct(col), F.col(ts)).alias("_edge")
+    )
+    carried = _carry(edges, key, F.lead("_edge").over(Window.partitionBy(*key).orderBy(SLICE)))
     return (
         df.withColumn("_near", F.lead(F.struct(col)).over(inside))
-        .join(carried, [*key, slice_col], "left")
+        .join(carried, [*key, SLICE], "left")
         .withColumn(name, F.coalesce("_near", "_carry")[col])
         .drop("_near", "_carry")
     )
 
 
 def asof_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: list[str],
-    left_ts: str,
-    right_ts: str,
-    cols: list[str],
-    slices: int = DEFAULT_SLICES,
+    left: DataFrame, right: DataFrame, key: list[str], left_ts: str, right_ts: str, cols: list[str], *,
+    rows_per_slice: int = ROWS_PER_SLICE, big: DataFrame | None = None,
 ) -> DataFrame:
     """Add to each left row ``cols`` of the newest right row with the key at or before its time.
 
     Both tables are laid on one timeline and the last known right row is carried forward, so the
-    work is linear in the rows and no pairs of a key are formed.
+    work is linear in the rows and no pairs of a key are formed. ``big`` may be given as the
+    :func:`big_keys` of a cheaper table that covers both.
     """
-    seen = F.struct(*[F.col(c) for c in cols])
-    on_line = left.select(
+    seen, whole = F.struct(*cols), F.struct(*left.columns)
+    seen_type = right.select(seen.alias("s")).schema["s"].dataType
+    left_type = left.select(whole.alias("s")).schema["s"].dataType
+    line = left.select(
         *key, F.col(left_ts).alias("_at"), F.lit(1).alias("_side"),
-        F.struct(*left.columns).alias("_left"),
-        F.lit(None).cast(right.select(seen.alias("s")).schema["s"].dataType).alias("_seen"),
+        whole.alias("_left"), F.lit(None).cast(seen_type).alias("_seen"),
     ).unionByName(
         right.select(
             *key, F.col(right_ts).alias("_at"), F.lit(0).alias("_side"),
-            F.lit(None).cast(on_left_type(left)).alias("_left"), seen.alias("_seen"),
+            F.lit(None).cast(left_type).alias("_left"), seen.alias("_seen"),
         )
     )
-    line = add_slice(on_line, "_at", slices)
+    if big is None:
+        big = big_keys(line, key, "_at", rows_per_slice)
+    line = add_slice(line, key, "_at", big)
     # at equal times the right row (side 0) comes first, so it is visible to the left row
     so_far = (
-        Window.partitionBy(*key, "_slice").orderBy("_at", "_side")
+        Window.partitionBy(*key, SLICE).orderBy("_at", "_side")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    edges = line.groupBy(*key, "_slice").agg(
+    edges = line.where(F.col(SLICE).isNotNull()).groupBy(*key, SLICE).agg(
         F.max_by("_seen", F.when(F.col("_side") == 0, F.col("_at"))).alias("_edge")
     )
-    before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = edges.withColumn("_carry", F.last("_edge", ignorenulls=True).over(before)).drop("_edge")
+    before = Window.partitionBy(*key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = _carry(edges, key, F.last("_edge", ignorenulls=True).over(before))
     return (
         line.withColumn("_near", F.last("_seen", ignorenulls=True).over(so_far))
         .where(F.col("_side") == 1)
-        .join(carried, [*key, "_slice"], "left")
+        .join(carried, [*key, SLICE], "left")
         .withColumn("_found", F.coalesce("_near", "_carry"))
         .select("_left.*", *[F.col("_found")[c].alias(c) for c in cols])
     )
-
-
-def on_left_type(df: DataFrame):
-    return df.select(F.struct(*df.columns).alias("s")).schema["s"].dataType

@@ -18,19 +18,20 @@ def not_castable(c: str, dtype: str) -> Column:
     return F.col(c).isNotNull() & F.col(c).try_cast(dtype).isNull()
 
 
-def with_reasons(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Add ``_reasons``: the names of all rules a row breaks."""
-    named = [F.when(broken, F.lit(name)) for name, broken in rules.items()]
-    return df.withColumn("_reasons", F.array_compact(F.array(*named)))
+def broken(rules: dict[str, Column]) -> Column:
+    """True when a row breaks at least one rule."""
+    return reduce(lambda a, b: a | b, [F.coalesce(r, F.lit(False)) for r in rules.values()])
+
+
+def reasons(rules: dict[str, Column]) -> Column:
+    """Names of all broken rules, joined by ``;``."""
+    return F.concat_ws(";", *[F.when(rule, F.lit(name)) for name, rule in rules.items()])
 
 
 def split_rows(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Valid rows, and the others with ``_reason`` (rule names joined by ``;``)."""
-    judged = with_reasons(df, rules)
-    bad = F.size("_reasons") > 0
-    valid = judged.where(~bad).drop("_reasons")
-    quarantine = judged.where(bad).withColumn("_reason", F.array_join("_reasons", ";")).drop("_reasons")
-    return valid, quarantine
+    """Valid rows, and the others with their ``_reason``. Both are plain filters over ``df``."""
+    bad = broken(rules)
+    return df.where(~bad), df.where(bad).withColumn("_reason", reasons(rules))
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plinth.functions.keys import hash_key
 from plinth.operators.merge import any_differs
-from plinth.operators.ordered import DEFAULT_SLICES, add_slice, with_next, with_previous
+from plinth.operators.ordered import ROWS_PER_SLICE, add_slice, big_keys, with_next, with_previous
 
 VALIDITY = ["eff_start", "eff_end", "is_current"]
 
@@ -114,7 +114,7 @@ def dim_current(dim: DataFrame) -> DataFrame:
 
 def scd2_from_log(
     log: DataFrame, key: list[str], ts: str, tracked: list[str], order_by: list[str], *,
-    hk: str = "hk", slices: int = DEFAULT_SLICES,
+    hk: str = "hk", rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Build the whole dimension from a change log in one pass over time.
 
@@ -123,7 +123,7 @@ def scd2_from_log(
     """
     state = F.struct(*tracked)
     instants = log.groupBy(*key, ts).agg(F.max_by(state, F.struct(*order_by)).alias("_state"))
-    sliced = add_slice(instants, ts, slices)
+    sliced = add_slice(instants, key, ts, big_keys(log, key, ts, rows_per_slice))
     stepped = with_previous(sliced, key, ts, ["_state"])
     starts = stepped.where(F.col("_prev").isNull() | ~F.col("_prev._state").eqNullSafe(F.col("_state")))
     ended = with_next(starts.drop("_prev"), key, ts, ts)

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.operators.joins import heavy_keys, lookup_dim, salted_join
+from plinth.operators.joins import heavy_keys, lookup_dim, salted_join, splits_skew
 from plinth.operators.merge import Merged, merge
 
 FACT_KEYS = ["order_item_id", "order_id"]
@@ -20,7 +20,7 @@ FACT_COLUMNS = [
 
 def build_fact(
     items: DataFrame, orders: DataFrame, deliveries: DataFrame, dims: Mapping[str, DataFrame], *,
-    as_of: bool = True, salt: bool = True, share: float = 0.01,
+    as_of: bool = True, salt: bool | None = None, share: float = 0.01,
 ) -> DataFrame:
     """Fact rows for the given items.
 
@@ -29,10 +29,13 @@ def build_fact(
     otherwise they must hold current rows only. An order's address is the one it was delivered to.
 
     Order-grain dimensions are joined before the items come in, so the item table, several times
-    the size, is shuffled for its own keys only. With ``salt`` one sketch per big foreign key
-    finds the keys to spread.
+    the size, is shuffled for its own keys only. Each join is between two shuffles, which lets
+    adaptive execution split the partition of a hot key; where that is switched off (or ``salt`` is
+    set) sketches find the hot values of every foreign key and the joins are salted.
     """
     at = "order_date" if as_of else None
+    if salt is None:
+        salt = not splits_skew(items.sparkSession)
     if "restaurant_id_fk" in items.columns:
         orders = orders.drop("restaurant_id_fk")
     # customers are keyed by text, orders refer to them by number: one side is cast, once

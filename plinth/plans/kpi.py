@@ -86,20 +86,19 @@ def weekday(totals: DataFrame) -> DataFrame:
     return revenue_kpis(totals, ["year", "month", "day_name"])
 
 
-def by_restaurant(totals: DataFrame, restaurants: DataFrame, key: str, dim_key: str) -> DataFrame:
-    """By month, delivery status and restaurant name.
+def with_restaurant(items: DataFrame, restaurants: DataFrame, key: str, dim_key: str) -> DataFrame:
+    """Items (or fact rows) with the name of their restaurant."""
+    names = restaurants.select(F.col(dim_key).alias(key), F.col("name").alias("restaurant_name"))
+    return items.join(names, key)
+
+
+def by_restaurant(totals: DataFrame) -> DataFrame:
+    """By month, delivery status and restaurant name, from totals ``by`` the restaurant name.
 
-    Totals are reduced to one row per month, status and restaurant key before the names come in.
-    Names are not unique, so orders are counted once more per name: an order that spans two
-    restaurants of one name is one order.
+    Names are not unique: an order that spans two restaurants of one name is one order, which is
+    why the name comes in before the items are summed per order.
     """
-    names = restaurants.select(F.col(dim_key).alias(key), F.col("name").alias("restaurant_name"))
-    named = totals.join(names, key)
-    grain = ["year", "month", "delivery_status", "restaurant_name"]
-    per_order = named.groupBy(*grain, "order_id").agg(
-        F.sum("revenue").alias("revenue"), F.sum("items").alias("items"), F.max("max_line").alias("max_line")
-    )
-    return revenue_kpis(per_order, grain)
+    return revenue_kpis(totals, ["year", "month", "delivery_status", "restaurant_name"])
 
 
 def rollup(totals: DataFrame) -> DataFrame:
@@ -156,9 +155,9 @@ def months_with_data(restaurant_kpis: DataFrame, year: int | None = None) -> Dat
     return for_period(restaurant_kpis, year).select("month").distinct()
 
 
-def merge_statuses(totals: DataFrame, restaurants: DataFrame, key: str, dim_key: str) -> DataFrame:
+def by_restaurant_all_statuses(totals: DataFrame) -> DataFrame:
     """Restaurant view without the status split, for a ranking with one row per restaurant."""
-    return by_restaurant(totals.withColumn("delivery_status", F.lit("all")), restaurants, key, dim_key)
+    return by_restaurant(totals.withColumn("delivery_status", F.lit("all")))
 
 
 def top_restaurants(restaurant_kpis: DataFrame, year: int, month: int, n: int = 10) -> DataFrame:

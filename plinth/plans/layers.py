@@ -16,10 +16,12 @@ from plinth.sources.csv_drop import LINEAGE
 def quarantine_rules(entity: Entity) -> dict[str, Column]:
     """Why a landed row cannot be merged: wrong delimiter, missing key, text that does not convert."""
     first, second = entity.stage[0], entity.stage[1]
-    shifted = quality.wrong_delimiter(first, second)
-    rules = {"wrong delimiter": shifted, f"{first} missing": F.col(first).isNull()}
+    rules = {
+        "wrong delimiter": quality.wrong_delimiter(first, second),
+        f"{first} missing": F.col(first).isNull(),
+    }
     for c, dtype in entity.must_cast.items():
-        rules[f"{c} is not a {dtype.split('(')[0]}"] = ~shifted & quality.not_castable(c, dtype)
+        rules[f"{c} is not a {dtype.split('(')[0]}"] = quality.not_castable(c, dtype)
     return rules
 
 

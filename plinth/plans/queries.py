@@ -17,7 +17,7 @@ from plinth.operators.enrich import enrich_location
 from plinth.operators.latest import latest_per_key
 from plinth.operators.masking import mask_by_tag
 from plinth.operators.merge import merge
-from plinth.operators.ordered import asof_join
+from plinth.operators.ordered import asof_join, big_keys
 from plinth.operators.scd2 import (
     dim_current, new_versions, scd2_apply, scd2_from_log, scd2_match_on, valid_from,
 )
@@ -139,7 +139,7 @@ def quarantine_copy(spark: SparkSession, sf: str) -> DataFrame:
 
 def quarantine_reasons(spark: SparkSession, sf: str) -> DataFrame:
     """All reasons of every line item that the order-item merge cannot take."""
-    rows = given.order_item_text(spark, sf).withColumn(
+    rows = given.order_item_stage(spark, sf).withColumn(
         "subtotal", F.when(F.col("price").cast("decimal(10,2)") > 90000, F.concat("subtotal", F.lit(" INR"))).otherwise(F.col("subtotal"))
     )
     _, bad = layers.split_stage(rows, E.ORDER_ITEM)
@@ -147,7 +147,7 @@ def quarantine_reasons(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def castability_report(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.castability_report(given.order_item_text(spark, sf), E.ORDER_ITEM.must_cast)
+    return quality.castability_report(given.order_item_stage(spark, sf), E.ORDER_ITEM.must_cast)
 
 
 def delete_where_like(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,7 +219,7 @@ def clean_menu(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_order_item(spark: SparkSession, sf: str) -> DataFrame:
-    valid, _ = layers.split_stage(given.order_item_text(spark, sf), E.ORDER_ITEM)
+    valid, _ = layers.split_stage(given.order_item_stage(spark, sf), E.ORDER_ITEM)
     return iso(layers.clean_rows(valid, E.ORDER_ITEM))
 
 
@@ -268,7 +268,7 @@ def check_length(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def check_unique(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.check_unique(given.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return quality.check_unique(given.line_items(spark, sf), ["l_orderkey", "l_linenumber"])
 
 
 def check_fk(spark: SparkSession, sf: str) -> DataFrame:
@@ -278,7 +278,7 @@ def check_fk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
-    stage = given.order_item_text(spark, sf)
+    stage = given.order_item_stage(spark, sf)
     valid, bad = layers.split_stage(stage, E.ORDER_ITEM)
     clean = latest_per_key(layers.clean_rows(valid, E.ORDER_ITEM), E.ORDER_ITEM.keys, [E.ORDER_ITEM.modified])
     return quality.layer_counts({"stage": stage, "quarantine": bad, "clean": clean})
@@ -405,7 +405,12 @@ def dim_as_of(spark: SparkSession, sf: str) -> DataFrame:
     dim = scd2_from_log(events.where(~bought), ["user_id"], "ts", ["event_type"], ["event_id"])
     states = dim.select("user_id", "eff_start", F.col("hk").alias("state_hk"), F.col("event_type").alias("state"))
     purchases = events.where(bought).select("event_id", "user_id", "ts", "value")
-    return iso(asof_join(purchases, states, ["user_id"], "ts", "eff_start", ["state_hk", "state"]))
+    return iso(
+        asof_join(
+            purchases, states, ["user_id"], "ts", "eff_start", ["state_hk", "state"],
+            big=big_keys(events, ["user_id"], "ts"),
+        )
+    )
 
 
 # --- fact and KPIs ------------------------------------------------------------------------------
@@ -478,10 +483,13 @@ def fact_merge(spark: SparkSession, sf: str) -> DataFrame:
     return fact.merge_fact(rows(items, before), rebuilt).table()
 
 
-def _totals(spark: SparkSession, sf: str, status: str | None = kpi.DELIVERED, by: list[str] = ()) -> DataFrame:
+def _totals(spark: SparkSession, sf: str, status: str | None = kpi.DELIVERED, named: bool = False) -> DataFrame:
+    items = given.order_items(spark, sf)
+    if named:
+        items = kpi.with_restaurant(items, given.restaurants(spark, sf), "restaurant_id_fk", "restaurant_id")
     return kpi.totals_from_clean(
-        given.order_items(spark, sf), given.orders(spark, sf), given.order_status(spark, sf),
-        given.calendar(spark, sf), status=status, by=by,
+        items, given.orders(spark, sf), given.order_status(spark, sf), given.calendar(spark, sf),
+        status=status, by=["restaurant_name"] if named else [],
     )
 
 
@@ -502,8 +510,7 @@ def weekday_revenue(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def restaurant_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    totals = _totals(spark, sf, status=None, by=["restaurant_id_fk"])
-    return kpi.by_restaurant(totals, given.restaurants(spark, sf), "restaurant_id_fk", "restaurant_id")
+    return kpi.by_restaurant(_totals(spark, sf, status=None, named=True))
 
 
 def revenue_rollup(spark: SparkSession, sf: str) -> DataFrame:

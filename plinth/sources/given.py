@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from plinth.functions.calendar import date_dim
 from plinth.operators.enrich import STATE_CODES, TIER_1, TIER_2
+from plinth.plans.entities import ORDER_ITEM
+from plinth.session import new_dir
+from plinth.sources.csv_drop import text_schema
 
 # Order status of the given data and the delivery status it stands for.
 DELIVERY_STATUS = {"F": "Delivered", "O": "Pending", "P": "In Transit"}
@@ -20,8 +23,30 @@ CITIES = TIER_1 + TIER_2
 DAY_0, DAY_1 = "1996-01-01 00:00:00", "1998-07-01 00:00:00"
 
 
+# The given tables' columns, so that opening one needs no job to look at its files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
+
+
+def line_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items; a table in fewer splits than there are cores is spread by order first."""
+    rows, cores = table(spark, sf, "lineitem"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, "l_orderkey") if rows.rdd.getNumPartitions() < cores else rows
 
 
 def money(c: str, precision: int = 10) -> Column:
@@ -32,8 +57,9 @@ def at(ts: str) -> Column:
     return F.lit(ts).cast("timestamp")
 
 
-def _listed(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
+def _listed(values: list[str], index: str) -> Column:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return F.expr(f"element_at(array({listed}), {index} + 1)")
 
 
 def _day_after(start: str, days: Column) -> Column:
@@ -96,8 +122,8 @@ def location_text(spark: SparkSession, sf: str, owner: str = "supplier") -> Data
     debtor = F.col(f"{p}_acctbal") < 0
     return rows.select(
         F.col(key).cast("string").alias("locationid"),
-        F.when(debtor, F.col("n_name")).otherwise(_listed(CITIES, F.col("n_nationkey"))).alias("city"),
-        F.when(debtor, F.col("r_name")).otherwise(_listed(STATES, F.col("n_nationkey"))).alias("state"),
+        F.when(debtor, F.col("n_name")).otherwise(_listed(CITIES, "n_nationkey")).alias("city"),
+        F.when(debtor, F.col("r_name")).otherwise(_listed(STATES, "n_nationkey")).alias("state"),
         F.lpad(F.col(key).cast("string"), 6, "0").alias("zipcode"),
         F.lit("Yes").alias("activeflag"),
         F.lit("2020-01-01 00:00:00").alias("createddate"),
@@ -160,7 +186,7 @@ def order_text(spark: SparkSession, sf: str) -> DataFrame:
 def order_item_text(spark: SparkSession, sf: str) -> DataFrame:
     """Lines shipped in 2001 carry a quantity that does not convert."""
     shipped = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
-    return table(spark, sf, "lineitem").select(
+    return line_items(spark, sf).select(
         F.col("l_linenumber").cast("string").alias("orderitemid"),
         F.col("l_orderkey").cast("string").alias("orderid"),
         F.col("l_partkey").cast("string").alias("menuid"),
@@ -173,6 +199,13 @@ def order_item_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def order_item_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """The order-item layout landed as a stage table."""
+    path = new_dir(spark, "order-item-stage")
+    order_item_text(spark, sf).write.parquet(path)
+    return spark.read.schema(text_schema(ORDER_ITEM.stage)).parquet(path)
+
+
 # --- typed clean tables -----------------------------------------------------------------------
 
 
@@ -185,7 +218,7 @@ def net_price() -> Column:
 
 def order_items(spark: SparkSession, sf: str) -> DataFrame:
     """Every line item is one item; the supplier it came from is its restaurant."""
-    return table(spark, sf, "lineitem").select(
+    return line_items(spark, sf).select(
         F.col("l_linenumber").cast("bigint").alias("order_item_id"),
         F.col("l_orderkey").alias("order_id_fk"),
         F.col("l_partkey").alias("menu_id_fk"),
@@ -245,7 +278,7 @@ def customer_addresses(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("c_custkey", "c_nationkey", F.posexplode(kinds).alias("n", "kind")).select(
         (F.col("c_custkey") * 2 + F.col("n")).alias("address_id"),
         F.col("c_custkey").alias("customer_id_fk"),
-        _listed(CITIES, F.col("c_nationkey")).alias("city"),
+        _listed(CITIES, "c_nationkey").alias("city"),
         F.col("kind").alias("address_type"),
     )
 
@@ -270,8 +303,8 @@ def restaurants(spark: SparkSession, sf: str) -> DataFrame:
 def locations(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("location_id"),
-        _listed(CITIES, F.col("n_nationkey")).alias("city"),
-        _listed(STATES, F.col("n_nationkey")).alias("state"),
+        _listed(CITIES, "n_nationkey").alias("city"),
+        _listed(STATES, "n_nationkey").alias("state"),
     )
 
 
