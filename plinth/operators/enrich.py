@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -38,27 +39,35 @@ class LocationRules:
     tiers: dict[str, list[str]] = field(default_factory=lambda: {"Tier-1": TIER_1, "Tier-2": TIER_2})
 
 
-def look_up(c: Column, table: dict[str, str]) -> Column:
-    """Value for a text, NULL when it is not listed."""
-    names, values = (F.lit(list(x)) for x in (table.keys(), table.values()))
-    return F.try_element_at(F.map_from_arrays(names, values), c)
+def _texts(values: Iterable[str]) -> str:
+    return ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
 
 
-def location_columns(state: Column, city: Column, rules: LocationRules = LocationRules()) -> dict[str, Column]:
+def look_up(c: str, table: dict[str, str]) -> Column:
+    """Value for the text in column ``c``, NULL when it is not listed."""
+    listed = f"map_from_arrays(array({_texts(table)}), array({_texts(table.values())}))"
+    return F.expr(f"try_element_at({listed}, `{c}`)")
+
+
+def listed(c: str, values: list[str]) -> Column:
+    """Whether the text in column ``c`` is in a list; false for NULL."""
+    return F.expr(f"coalesce(`{c}` IN ({_texts(values)}), false)")
+
+
+def location_columns(state: str, city: str, rules: LocationRules = LocationRules()) -> dict[str, Column]:
     """Derived location columns; all rules look at the state as it was landed."""
     tier = F.coalesce(
-        *[F.when(city.isin(cities), F.lit(name)) for name, cities in rules.tiers.items()],
-        F.lit(LAST_TIER),
+        *[F.when(listed(city, cities), name) for name, cities in rules.tiers.items()], F.lit(LAST_TIER)
     )
     return {
-        "state": F.coalesce(look_up(state, rules.state_names), state),
+        "state": F.coalesce(look_up(state, rules.state_names), F.col(state)),
         "state_code": look_up(state, rules.state_codes),
-        "is_union_territory": F.coalesce(state.isin(rules.union_territories), F.lit(False)),
-        "capital_city_flag": F.coalesce(look_up(state, rules.capitals) == city, F.lit(False)),
+        "is_union_territory": listed(state, rules.union_territories),
+        "capital_city_flag": F.coalesce(look_up(state, rules.capitals) == F.col(city), F.lit(False)),
         "city_tier": tier,
     }
 
 
 def enrich_location(df: DataFrame, rules: LocationRules = LocationRules()) -> DataFrame:
     """Add the derived columns to a table with ``state`` and ``city``."""
-    return df.withColumns(location_columns(F.col("state"), F.col("city"), rules))
+    return df.withColumns(location_columns("state", "city", rules))

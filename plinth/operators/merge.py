@@ -34,7 +34,11 @@ def change_rows(old: Column, new: Column) -> Column:
 
 @dataclass(frozen=True)
 class Merged:
-    """Result of :func:`merge`: one row per key with its old and new image."""
+    """Result of :func:`merge`: one row per key with its old and new image.
+
+    Table and changes are separate lazy views, so the source should be stored (or free of functions
+    like ``current_timestamp``) when both are written.
+    """
 
     rows: DataFrame
     columns: list[str]

@@ -66,7 +66,7 @@ def wall_clock(c: str, fmt: str | None = None) -> Rule:
 
 
 def derived(c: str) -> Rule:
-    return lambda: location_columns(F.col("state"), F.col("city"))[c]
+    return lambda: location_columns("state", "city")[c]
 
 
 NUMBER = "decimal(38,0)"
