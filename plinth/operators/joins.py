@@ -72,7 +72,9 @@ def lookup_dim(
 
     With ``at`` the version valid at that time is taken (``dim`` needs ``valid_from``), otherwise
     ``dim`` must hold one row per key. Spark broadcasts a dimension by its known size; larger ones
-    are shuffled, with the given heavy keys salted.
+    are shuffled, with the given heavy keys salted. A fact row is checked against all versions of
+    its key: a dimension fed by loads has one per load at most. For a dimension built from a raw
+    log use :func:`plinth.operators.ordered.asof_join`, which forms no pairs.
     """
     cols = [F.col(dim_key).alias(fact_key), F.col(hk).alias(out)]
     cols += [F.col(c) for c in extra or []]

@@ -3,18 +3,20 @@
 A plain window partitioned by key sorts one key in one task. Here a key with more than
 ``rows_per_slice`` rows is cut into time slices: the window runs inside (key, slice), and one edge
 row per slice carries the value over the cut. All other keys are a single slice and have no edges,
-so the usual key pays nothing. Big keys and edges number at most rows / ``rows_per_slice`` (times a
-small factor), which is what makes them safe to broadcast.
+so the usual key pays nothing. There are at most rows / ``rows_per_slice`` big keys, which makes
+their list safe to broadcast.
 
 The row order inside a key must be total: callers reduce rows with equal time first.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_SLICE = 1_000_000
+ROWS_PER_SLICE = 4_000_000
 SLICE = "_slice"
 
 
@@ -55,8 +57,11 @@ def add_slice(df: DataFrame, key: list[str], ts: str, big: DataFrame) -> DataFra
 
 
 def _carry(edges: DataFrame, key: list[str], value: Column) -> DataFrame:
-    """Edge rows with the value carried over from their neighbours, as a broadcast lookup."""
-    return F.broadcast(edges.withColumn("_carry", value).select(*key, SLICE, "_carry"))
+    """Edge rows with the value carried over from their neighbours.
+
+    The details they are joined to are already partitioned by key and slice, so only edges move.
+    """
+    return edges.withColumn("_carry", value).select(*key, SLICE, "_carry")
 
 
 def with_previous(df: DataFrame, key: list[str], ts: str, cols: list[str], name: str = "_prev") -> DataFrame:
@@ -98,8 +103,11 @@ def asof_join(
 
     Both tables are laid on one timeline and the last known right row is carried forward, so the
     work is linear in the rows and no pairs of a key are formed. ``big`` may be given as the
-    :func:`big_keys` of a cheaper table that covers both.
+    :func:`big_keys` of a cheaper table that covers both. Left rows without a key find nothing and
+    stay.
     """
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    left, unkeyed, right = left.where(keyed), left.where(~keyed), right.where(keyed)
     seen, whole = F.struct(*cols), F.struct(*left.columns)
     seen_type = right.select(seen.alias("s")).schema["s"].dataType
     left_type = left.select(whole.alias("s")).schema["s"].dataType
@@ -125,10 +133,12 @@ def asof_join(
     )
     before = Window.partitionBy(*key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = _carry(edges, key, F.last("_edge", ignorenulls=True).over(before))
-    return (
+    found = (
         line.withColumn("_near", F.last("_seen", ignorenulls=True).over(so_far))
         .where(F.col("_side") == 1)
         .join(carried, [*key, SLICE], "left")
         .withColumn("_found", F.coalesce("_near", "_carry"))
         .select("_left.*", *[F.col("_found")[c].alias(c) for c in cols])
     )
+    empty = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in cols]
+    return found.unionByName(unkeyed.select("*", *empty))

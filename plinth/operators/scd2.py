@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions.keys import hash_key
-from plinth.operators.merge import any_differs
+from plinth.operators.merge import any_differs, without_null_keys
 from plinth.operators.ordered import ROWS_PER_SLICE, add_slice, big_keys, with_next, with_previous
 
 VALIDITY = ["eff_start", "eff_end", "is_current"]
@@ -59,24 +59,29 @@ def scd2_apply(
     on = reduce(lambda a, b: a & b, [F.col(f"_d_{k}") == F.col(f"_s_{k}") for k in key])
     joined = opened.join(src, on, "full_outer")
 
-    present, absent = F.col("_open").isNotNull(), F.col("_open").isNull()
+    present = F.col("_open").isNotNull()
     gone = F.coalesce(F.col("_gone"), F.lit(False))
-    opens = F.col("_src").isNotNull() & ~gone & (absent | any_differs("_open", "_src", tracked))
-    closes = present & F.col("_src").isNotNull() & (gone | any_differs("_open", "_src", tracked))
-
-    judged = joined.select(
-        "_open", "_src", opens.alias("_opens"), F.coalesce(closes, F.lit(False)).alias("_closes")
-    )
-    surviving = judged.where(F.col("_open").isNotNull()).select("_open.*", "_closes").select(
-        *[c for c in dim.columns if c not in VALIDITY], "eff_start",
-        F.when(F.col("_closes"), as_of.cast("timestamp")).otherwise(F.col("eff_end")).alias("eff_end"),
-        (~F.col("_closes")).alias("is_current"),
-    )
-    added = new_versions(
-        judged.where("_opens").select("_src.*"), key, tracked, as_of, hk, hash_cols
+    differs = any_differs("_open", "_src", tracked)
+    closes = present & F.col("_src").isNotNull() & (gone | differs)
+    opens = F.col("_src").isNotNull() & ~gone & (~present | differs)
+
+    def image(values: dict[str, Column]) -> Column:
+        return F.struct(*[values[c].cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+
+    kept = {c: F.col("_open")[c] for c in dim.columns}
+    old = image({**kept, "eff_end": F.when(closes, as_of).otherwise(kept["eff_end"]), "is_current": ~closes})
+    new = image({
+        **{c: F.col("_src")[c] for c in [*key, *tracked]},
+        hk: F.lit(None), "eff_start": as_of, "eff_end": F.lit(None), "is_current": F.lit(True),
+    })
+    # one to two versions per key come out of one join
+    versions = (
+        F.when(present & opens, F.array(old, new)).when(present, F.array(old)).when(opens, F.array(new))
     )
+    after = joined.select(F.explode(versions).alias("v")).select("v.*")
+    keyed = F.coalesce(F.col(hk), hash_key(*(hash_cols or [*key, *tracked, "eff_start"])))
     closed = dim.where(~F.col("is_current"))
-    return closed.unionByName(surviving).unionByName(added).select(*dim.columns)
+    return closed.unionByName(after.withColumn(hk, keyed)).select(*dim.columns)
 
 
 def scd2_match_on(
@@ -118,10 +123,11 @@ def scd2_from_log(
 ) -> DataFrame:
     """Build the whole dimension from a change log in one pass over time.
 
-    Rows of a key at the same instant collapse to the last by ``order_by``; a version starts where
+    Rows without a key belong to no version. Rows of a key at the same instant collapse to the last by ``order_by``; a version starts where
     the tracked columns differ from the row before and ends where the next version starts.
     """
     state = F.struct(*tracked)
+    log = without_null_keys(log, key)
     instants = log.groupBy(*key, ts).agg(F.max_by(state, F.struct(*order_by)).alias("_state"))
     sliced = add_slice(instants, key, ts, big_keys(log, key, ts, rows_per_slice))
     stepped = with_previous(sliced, key, ts, ["_state"])

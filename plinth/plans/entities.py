@@ -99,7 +99,7 @@ LOCATION = Entity(
     not_null=["location_id", "city", "state", "state_code", "zip_code", "active_flag", "created_ts"],
     lengths={"city": 100, "state": 100, "state_code": 2, "city_tier": 6, "zip_code": 10,
              "active_flag": 10},
-    must_cast={"locationid": NUMBER},
+    must_cast={"locationid": NUMBER, "createddate": "timestamp", "modifieddate": "timestamp"},
 )
 
 RESTAURANT_TRACKED = [

@@ -114,6 +114,23 @@ def rollup(totals: DataFrame) -> DataFrame:
     return _measures(levels, ["year", "month", "day", "grouping_level"])
 
 
+def register_views(fact: DataFrame, date_dim: DataFrame, restaurants: DataFrame) -> None:
+    """The five KPI views over the stored fact, under the names reports query them by."""
+    named = with_restaurant(fact, restaurants, "restaurant_dim_key", "restaurant_hk")
+    delivered = totals_from_fact(fact, date_dim)
+    views = {
+        "vw_yearly_revenue_kpis": yearly(delivered),
+        "vw_monthly_revenue_kpis": monthly(delivered),
+        "vw_daily_revenue_kpis": daily(delivered),
+        "vw_day_revenue_kpis": weekday(totals_from_fact(fact, date_dim, status=None)),
+        "vw_monthly_revenue_by_restaurant": by_restaurant(
+            totals_from_fact(named, date_dim, status=None, by=["restaurant_name"])
+        ),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+
+
 # Reports over the views: all inputs below are a few rows per year, month or restaurant.
 
 
@@ -167,6 +184,18 @@ def top_restaurants(restaurant_kpis: DataFrame, year: int, month: int, n: int =
     return ranked.select("restaurant_name", *MEASURES)
 
 
+# Headings of the restaurant ranking.
+RANKING_HEADINGS = [
+    "Restaurant Name", "Total Revenue (₹)", "Total Orders", "Avg Revenue per Order (₹)",
+    "Avg Revenue per Item (₹)", "Max Order Value (₹)",
+]
+
+
+def ranking_for_display(ranking: DataFrame):
+    """The few rows of :func:`top_restaurants` as a pandas frame with readable headings."""
+    return ranking.toDF(*RANKING_HEADINGS).toPandas()
+
+
 def top_per_month(restaurant_kpis: DataFrame, n: int = 10) -> DataFrame:
     """The top ``n`` of every month in one pass; only ``n`` rows per month and task are shuffled."""
     order = [F.desc("total_revenue"), F.col("restaurant_name"), F.col("delivery_status")]

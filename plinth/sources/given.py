@@ -44,9 +44,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items; a table in fewer splits than there are cores is spread by order first."""
+    """Line items for row-wise work; a table in fewer splits than there are cores is spread first.
+
+    Rows are dealt out one by one rather than by a key, so no order or copy can make a task hot.
+    """
     rows, cores = table(spark, sf, "lineitem"), spark.sparkContext.defaultParallelism
-    return rows.repartition(cores, "l_orderkey") if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def money(c: str, precision: int = 10) -> Column:

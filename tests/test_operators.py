@@ -242,6 +242,14 @@ def test_asof_join_in_slices(spark, rows_per_slice):
     assert rows_of(got.select("k", "t", "n", "s")) == sorted([(*f, known(f[0], f[1])) for f in facts], key=str)
 
 
+def test_rows_without_a_key_open_no_version_and_stay_in_an_asof_join(spark):
+    log = log_frame(spark, [(None, 1, 1, "a"), (1, 1, 2, "a")])
+    assert scd2_from_log(log, ["k"], "at", ["s"], ["n"]).count() == 1
+    facts = spark.createDataFrame([(None, 5), (1, 5)], "k bigint, t bigint").withColumn("now", F.timestamp_seconds("t"))
+    got = asof_join(facts, log, ["k"], "now", "at", ["s"])
+    assert rows_of(got.select("k", "s")) == [(1, "a"), (None, None)]
+
+
 def test_lookup_takes_the_version_of_the_day_and_reaches_back(spark):
     a, b = state(spark, (1, "A", "x")), state(spark, (1, "B", "x"))
     dim = valid_from(step(dim_of(spark, [(1, "A", "x")]), a, b, "2024-02-01"), ["id"])

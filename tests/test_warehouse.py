@@ -107,6 +107,17 @@ def test_ranking_by_restaurant_or_by_restaurant_and_status(spark):
     assert split.count() == 10 and len(names) == len(set(names))
 
 
+def test_reports_can_query_the_views_by_name(spark):
+    kpi.register_views(q.fact_build(spark, SF), given.calendar(spark, SF), q.dimensions(spark, SF)["restaurant"])
+    got = spark.sql("""SELECT restaurant_name, total_revenue, total_orders, avg_revenue_per_order, avg_revenue_per_item,
+        max_order_value FROM vw_monthly_revenue_by_restaurant WHERE year = 1998 AND month = 3
+        ORDER BY total_revenue DESC, restaurant_name, delivery_status LIMIT 10""")
+    assert rows_of(got) == rows_of(q.top10_restaurants(spark, SF))
+    shown = kpi.ranking_for_display(got)
+    assert list(shown.columns)[:2] == ["Restaurant Name", "Total Revenue (₹)"] and len(shown) == 10
+    assert rows_of(spark.table("vw_yearly_revenue_kpis")) == rows_of(q.yearly_revenue(spark, SF))
+
+
 # --- files ----------------------------------------------------------------------------------------
 
 
