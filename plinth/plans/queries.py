@@ -456,14 +456,17 @@ def dimensions(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 def fact_build(spark: SparkSession, sf: str) -> DataFrame:
     return fact.build_fact(
-        given.order_items(spark, sf), given.orders(spark, sf), given.deliveries(spark, sf), dimensions(spark, sf)
+        given.order_items(spark, sf), given.orders(spark, sf), given.deliveries(spark, sf),
+        dimensions(spark, sf),
     )
 
 
 def fact_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Deliveries in transit arrive: the items of their orders are rebuilt and merged."""
     items = latest_per_key(
-        given.order_items(spark, sf).select("order_item_id", "order_id_fk", "subtotal", "menu_id_fk", "modified_dt"),
+        given.order_items(spark, sf).select(
+            "order_item_id", "order_id_fk", "subtotal", "menu_id_fk", "modified_dt"
+        ),
         ["order_item_id", "order_id_fk"], ["modified_dt"],
     )
     before = given.order_status(spark, sf)

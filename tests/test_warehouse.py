@@ -1,12 +1,15 @@
 """Fact, KPI views, files and streams: invariants over the given tables and small fixtures."""
 
 from decimal import Decimal
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from plinth.operators import quality
 from plinth.operators.scd2 import dim_current, empty_dim
 from plinth.plans import fact, kpi, queries as q
+from plinth.session import new_dir, scratch_root
 from plinth.sources import csv_drop, given
 from plinth.sources.bucketed import BucketedTable
 from plinth.streaming import ingest, revenue, upsert
@@ -147,6 +150,22 @@ def test_listing_shows_sizes(spark, tmp_path):
     assert row.path.endswith("day/a.csv") and row.length == 5
 
 
+def session_stub(folder, master):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: folder or default),
+        sparkContext=SimpleNamespace(master=master, applicationId="app"),
+    )
+
+
+def test_scratch_folder_is_the_shared_one():
+    assert scratch_root(session_stub("s3a://shared/x/", "yarn")) == "s3a://shared/x"
+    with pytest.raises(ValueError):
+        scratch_root(session_stub(None, "yarn"))
+    local = session_stub(None, "local[2]")
+    assert scratch_root(local) == scratch_root(local)
+    assert new_dir(local, "a") != new_dir(local, "a")
+
+
 # --- bucketed tables and streams ------------------------------------------------------------------
 
 
@@ -174,8 +193,7 @@ def test_stream_keeps_clean_table_and_dimension(spark, tmp_path):
     clean = BucketedTable(str(tmp_path / "clean"), state(spark).schema, ["id"], 4)
     clean.create(state(spark))
     dim_schema = empty_dim(state(spark), ["id"], ["a"]).schema
-    dim = BucketedTable(str(tmp_path / "dim"), dim_schema, ["id", "eff_start"], 4)
-    dim = BucketedTable(dim.path, dim_schema, ["id"], 4)
+    dim = BucketedTable(str(tmp_path / "dim"), dim_schema, ["id"], 4)
     dim.create(spark.createDataFrame([], dim_schema))
     as_of = lambda batch_id: F.timestamp_seconds(F.lit(1_700_000_000 + batch_id))
     batch = upsert.dimension_batch(clean, dim, ["a"], ["t"], as_of, transform=lambda df: df.select(
