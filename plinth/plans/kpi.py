@@ -156,7 +156,7 @@ def year_over_year(yearly_kpis: DataFrame) -> DataFrame:
     joined = yearly_kpis.join(before, "year", "left")
     return joined.select(
         "year", *MEASURES,
-        *[(F.col(m) - F.col(f"_prev_{m}")).cast(yearly_kpis.schema[m].dataType).alias(f"{m}_diff") for m in MEASURES],
+        *[(F.col(m) - F.col(f"_prev_{m}")).alias(f"{m}_diff") for m in MEASURES],
     )
 
 
