@@ -7,6 +7,7 @@ rows can be read alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,21 +17,22 @@ from plinth.functions.keys import hash_key
 from plinth.operators.merge import any_differs, without_null_keys
 from plinth.operators.ordered import ROWS_PER_SLICE, add_slice, big_keys, with_next, with_previous
 
-VALIDITY = ["eff_start", "eff_end", "is_current"]
+MakeKey = Callable[..., Column]
 
 
 def new_versions(
     rows: DataFrame, key: list[str], tracked: list[str], start: Column, hk: str = "hk",
-    hash_cols: list[str] | None = None,
+    hash_cols: list[str] | None = None, make_key: MakeKey = hash_key,
 ) -> DataFrame:
     """Open versions for the given rows.
 
     The hash key covers key, tracked columns and start time, so going back to earlier values makes
-    a new key; ``hash_cols`` narrows it to a plain attribute hash.
+    a new key; ``hash_cols`` narrows it to a plain attribute hash. ``make_key=digest`` gives the
+    wide key that very large dimensions need.
     """
     body = rows.select(*key, *tracked, start.cast("timestamp").alias("eff_start"))
     return body.select(
-        hash_key(*(hash_cols or [*key, *tracked, "eff_start"])).alias(hk), *key, *tracked, "eff_start",
+        make_key(*(hash_cols or [*key, *tracked, "eff_start"])).alias(hk), *key, *tracked, "eff_start",
         F.lit(None).cast("timestamp").alias("eff_end"), F.lit(True).alias("is_current"),
     )
 
@@ -38,6 +40,7 @@ def new_versions(
 def scd2_apply(
     dim: DataFrame, changes: DataFrame, key: list[str], tracked: list[str], as_of: Column, *,
     hk: str = "hk", hash_cols: list[str] | None = None, close_on_delete: bool = True,
+    make_key: MakeKey = hash_key,
 ) -> DataFrame:
     """Dimension after a batch of change rows (one INSERT image per key at most).
 
@@ -79,7 +82,7 @@ def scd2_apply(
         F.when(present & opens, F.array(old, new)).when(present, F.array(old)).when(opens, F.array(new))
     )
     after = joined.select(F.explode(versions).alias("v")).select("v.*")
-    keyed = F.coalesce(F.col(hk), hash_key(*(hash_cols or [*key, *tracked, "eff_start"])))
+    keyed = F.coalesce(F.col(hk), make_key(*(hash_cols or [*key, *tracked, "eff_start"])))
     closed = dim.where(~F.col("is_current"))
     return closed.unionByName(after.withColumn(hk, keyed)).select(*dim.columns)
 
@@ -119,7 +122,7 @@ def dim_current(dim: DataFrame) -> DataFrame:
 
 def scd2_from_log(
     log: DataFrame, key: list[str], ts: str, tracked: list[str], order_by: list[str], *,
-    hk: str = "hk", rows_per_slice: int = ROWS_PER_SLICE,
+    hk: str = "hk", rows_per_slice: int = ROWS_PER_SLICE, make_key: MakeKey = hash_key,
 ) -> DataFrame:
     """Build the whole dimension from a change log in one pass over time.
 
@@ -137,7 +140,7 @@ def scd2_from_log(
         *key, "_state.*", F.col(ts).alias("eff_start"), F.col("_next").alias("eff_end")
     )
     return body.select(
-        hash_key(*key, *tracked, "eff_start").alias(hk), *key, *tracked, "eff_start", "eff_end",
+        make_key(*key, *tracked, "eff_start").alias(hk), *key, *tracked, "eff_start", "eff_end",
         F.col("eff_end").isNull().alias("is_current"),
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plinth.functions.casting import strict_number, try_decimal, try_number, whole
 from plinth.functions.calendar import date_dim, month_abbr
-from plinth.functions.keys import hash_key, surrogate_key
+from plinth.functions.keys import digest, hash_key, surrogate_key
 from plinth.operators import quality
 from plinth.operators.cdc import inserts_only, replay, snapshot_diff
 from plinth.operators.joins import heavy_keys, lookup_dim, salted_join
@@ -147,6 +147,14 @@ def test_going_back_to_an_earlier_state_opens_a_third_version(spark):
     assert versions[0].eff_end == versions[1].eff_start and versions[1].eff_end == versions[2].eff_start
 
 
+def test_wide_keys_for_very_large_dimensions(spark):
+    a, b = state(spark, (1, "A", "x")), state(spark, (1, "B", "x"))
+    dim = new_versions(a, ["id"], ["a", "b"], ts("2024-01-01"), make_key=digest)
+    dim = scd2_apply(dim, snapshot_diff(a, b, ["id"]), ["id"], ["a", "b"], ts("2024-01-02"), make_key=digest)
+    keys = {r.hk for r in dim.collect()}
+    assert len(keys) == 2 and {len(k) for k in keys} == {40}
+
+
 def test_null_attributes_still_close_the_old_version(spark):
     before, after = state(spark, (1, None, "x")), state(spark, (1, "A", "x"))
     dim = step(dim_of(spark, [(1, None, "x")]), before, after, "2024-01-02")
