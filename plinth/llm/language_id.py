@@ -148,7 +148,8 @@ def decode(values: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np
 def predict(docs: DataFrame, model: Model, text: str = "text", out: str = "_language") -> DataFrame:
     """All columns of ``docs`` and a struct ``out`` of lang_pred, score, ambiguous."""
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select("*", F.col(text).alias(f"{out}_text"), has_letter.alias(f"{out}_letter"))
+    rows = docs.select("*", has_letter.alias(f"{out}_letter"))
+    at_text = docs.columns.index(text)
     found = T.StructType([
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType()),
     ])
@@ -157,13 +158,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text", out: str = "_lang
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_columns - 2
-            letter = batch.column(n + 1).to_numpy(zero_copy_only=False).astype(bool)
+            n = batch.num_columns - 1
+            letter = batch.column(n).to_numpy(zero_copy_only=False).astype(bool)
             pred = np.full(batch.num_rows, len(languages) - 1)
             score, doubt = np.zeros(batch.num_rows), np.ones(batch.num_rows, bool)
             at = np.flatnonzero(letter)
             if len(at) and model.languages:
-                texts = utf8(batch.column(n).take(pa.array(at)))
+                texts = utf8(batch.column(at_text).take(pa.array(at)))
                 pred[at], score[at], doubt[at] = decode(margins(texts, model), model)
             struct = pa.StructArray.from_arrays(
                 [pa.array(languages[pred], pa.string()), pa.array(score), pa.array(doubt)], names=found.names

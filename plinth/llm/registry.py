@@ -1,14 +1,18 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from plinth.llm import bpe, language_id, quality, token_counts, toxicity, warc
+from plinth.llm import bpe, decontaminate, kneser_ney, language_id, quality, simhash, suffix_dedup, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_language_id": language_id.op4_language_id,
     "op5_quality": quality.op5_quality,
+    "op6_kneser_ney": kneser_ney.op6_kneser_ney,
     "op7_bpe": bpe.op7_bpe,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_warc": warc.op9_warc,
+    "op10_simhash": simhash.op10_simhash,
 }
 
 SQL = {
