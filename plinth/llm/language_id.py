@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from plinth.llm.batches import documents, joined, pieces, remainder, utf8
 from plinth.llm.features import char_grams, sigmoid
-from plinth.llm.sampling import SEED, ids_by_class, sampled_features
+from plinth.llm.sampling import SEED, collected, ids_by_class, stored_features
 
 #: The fit uses at most so many documents of a language, and so many in all.
 ROWS_PER_LANGUAGE, ROWS = 300, 4000
@@ -93,7 +93,7 @@ def _features(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang") -> Model:
     """Fit on a bounded sample of ``docs`` for each of their languages."""
     chosen = ids_by_class(docs, doc_id, label, ROWS_PER_LANGUAGE).orderBy(F.xxhash64("_id", F.lit(SEED)), "_id").limit(ROWS)
-    labels, buckets, values = sampled_features(docs, chosen, doc_id, text, _features)
+    labels, buckets, values = collected(stored_features(docs, chosen, doc_id, text, _features))
     languages = sorted(set(labels))
     code = codewords(len(languages))
     bits = code.shape[1]

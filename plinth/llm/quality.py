@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from plinth.llm.batches import SPACE, U64, documents, group_sums, joined, mix, pieces, runs, span_hashes, table, utf8
 from plinth.llm.features import char_grams, fit_logistic, sigmoid
-from plinth.llm.sampling import labelled_ids, sampled_features
+from plinth.llm.sampling import collected, labelled_ids, stored_features
 
 #: The fit uses at most so many labelled documents; every fourth of them calibrates.
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 CALIBRATES = 4
 CHAR_SIZES, WORD_SIZES = (2, 3, 4), (1, 2)
 BITS = 17
@@ -126,17 +126,22 @@ def _features(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", *, rows: int = TRAIN_ROWS) -> Model | None:
     """Fit and calibrate on a bounded sample of labelled rows; None without both kinds of rows."""
-    y, buckets, values = sampled_features(docs, labelled_ids(labels, doc_id, label, rows), doc_id, text, _features)
+    chosen = labelled_ids(labels, doc_id, label, rows)
+    y, buckets, values = collected(stored_features(docs, chosen, doc_id, text, _features))
     y = np.array([1.0 if v else 0.0 for v in y])
     apart = np.arange(len(y)) % CALIBRATES == CALIBRATES - 1
     if not len(y) or len(set(y[~apart])) < 2:
         return None
-    owner = np.repeat(np.arange(len(y)), [len(b) for b in buckets])
-    cols, shares = np.concatenate(buckets), np.concatenate(values).astype(float)
-    train = ~apart[owner]
-    wanted = np.bincount(cols[train], minlength=1 << BITS) >= MIN_TEXTS
-    place, row = np.cumsum(wanted) - 1, np.cumsum(~apart) - 1
-    at = train & wanted[cols]
+    texts = np.zeros(1 << BITS, np.int32)
+    for i in np.flatnonzero(~apart):
+        texts[buckets[i]] += 1
+    wanted = texts >= MIN_TEXTS
+    kept = [wanted[b] for b in buckets]
+    cols = np.concatenate([b[k] for b, k in zip(buckets, kept)])
+    shares = np.concatenate([v[k] for v, k in zip(values, kept)])
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), [int(k.sum()) for k in kept])
+    place, row = np.cumsum(wanted, dtype=np.int32) - 1, np.cumsum(~apart, dtype=np.int32) - 1
+    at = ~apart[owner]
     w, bias = fit_logistic(row[owner[at]], place[cols[at]], shares[at], y[~apart], int(wanted.sum()), PENALTY, STEPS)
     weights = np.zeros(1 << BITS)
     weights[wanted] = w

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plinth.llm.batches import utf8
+from plinth.llm.batches import pieces, utf8
+from plinth.session import new_dir
 
 SEED = 20240229
 
@@ -26,8 +27,6 @@ def labelled_ids(labels: DataFrame, doc_id: str, label: str, rows: int) -> DataF
 
 def ids_by_class(docs: DataFrame, doc_id: str, label: str, per_class: int) -> DataFrame:
     """_id, _label of at most ``per_class`` documents of each class, chosen by a hash of the id."""
-    from pyspark.sql import Window
-
     known = docs.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
     once = known.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
     # planned as a group limit on both sides of the shuffle: a hot class sends few rows per task
@@ -35,11 +34,11 @@ def ids_by_class(docs: DataFrame, doc_id: str, label: str, per_class: int) -> Da
     return once.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class).drop("_n")
 
 
-def sampled_features(
-    docs: DataFrame, chosen: DataFrame, doc_id: str, text: str,
-    extract: Callable[[list[bytes]], tuple[list[np.ndarray], list[np.ndarray]]],
-) -> tuple[list, list[np.ndarray], list[np.ndarray]]:
-    """Labels and sparse features (buckets, values) of the chosen documents, on the driver.
+Extract = Callable[[list[bytes]], tuple[list[np.ndarray], list[np.ndarray]]]
+
+
+def stored_features(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str, extract: Extract) -> DataFrame:
+    """_id, _label, _buckets, _values of the chosen documents, written to the shared folder.
 
     ``chosen`` is bounded by the caller's sample size, hence also what is broadcast and collected:
     a document brings at most one entry per bucket. Of repeated rows of a document one counts.
@@ -49,23 +48,31 @@ def sampled_features(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buckets, values = extract(utf8(batch.column(2)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([b.astype("<i4").tobytes() for b in buckets], pa.binary()),
-                 pa.array([v.astype("<f4").tobytes() for v in values], pa.binary())],
-                ["_id", "_label", "_buckets", "_values"],
-            )
+            texts = utf8(batch.column(2))
+            for lo, hi in pieces(texts):
+                buckets, values = extract(texts[lo:hi])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array([b.astype("<i4").tobytes() for b in buckets], pa.binary()),
+                     pa.array([v.astype("<f4").tobytes() for v in values], pa.binary())],
+                    ["_id", "_label", "_buckets", "_values"],
+                )
 
     rows = docs.select(F.col(doc_id).alias("_key"), F.col(text).alias("_text")).join(
         F.broadcast(chosen), F.col("_key") == F.col("_id")
-    ).select("_id", "_label", "_text")
-    found = rows.mapInArrow(run, f"_id {id_type}, _label {label_type}, _buckets binary, _values binary").toArrow()
-    found = found.sort_by([("_id", "ascending"), ("_buckets", "ascending")])
-    labels, buckets, values, seen = [], [], [], None
-    for key, label, b, v in zip(*(found.column(i).to_pylist() for i in range(4))):
-        if key != seen:
-            labels.append(label)
-            buckets.append(np.frombuffer(b, "<i4"))
-            values.append(np.frombuffer(v, "<f4"))
-        seen = key
-    return labels, buckets, values
+    ).select("_id", "_label", "_text").groupBy("_id").agg(F.max("_label").alias("_label"), F.max("_text").alias("_text"))
+    schema = f"_id {id_type}, _label {label_type}, _buckets binary, _values binary"
+    path = new_dir(docs.sparkSession, "sample")
+    rows.mapInArrow(run, schema).write.parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def collected(features: DataFrame) -> tuple[list, list[np.ndarray], list[np.ndarray]]:
+    """Labels, buckets and values on the driver, in the order of ids."""
+    found = features.toArrow()
+    order = np.argsort(np.array(found.column("_id").to_pylist()), kind="stable") if len(found) else []
+    labels = found.column("_label").to_pylist()
+    buckets, values = found.column("_buckets"), found.column("_values")
+    return (
+        [labels[i] for i in order], [np.frombuffer(buckets[i].as_buffer(), "<i4") for i in order],
+        [np.frombuffer(values[i].as_buffer(), "<f4") for i in order],
+    )

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from plinth.llm.batches import documents, joined, pieces, remainder, utf8
 from plinth.llm.features import char_grams, fit_logistic, sigmoid
-from plinth.llm.sampling import labelled_ids, sampled_features
+from plinth.llm.sampling import collected, labelled_ids, stored_features
 
 #: The fit uses at most so many labelled documents; scoring covers all.
-TRAIN_ROWS = 5000
+TRAIN_ROWS = 6000
 SIZES = (3, 4, 5, 6)
 BITS = 18
 #: A bucket is a feature if its log-count ratio is at least this far from 0, in so many texts.
@@ -68,26 +68,52 @@ def _features(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", *, rows: int = TRAIN_ROWS) -> Model:
     """Fit on a bounded sample of the labelled rows given."""
-    y, buckets, _ = sampled_features(docs, labelled_ids(labels, doc_id, label, rows), doc_id, text, _features)
+    sample = stored_features(docs, labelled_ids(labels, doc_id, label, rows), doc_id, text, _features)
+    n, n_toxic, texts, toxic = _counts(sample)
+    if not 0 < n_toxic < n:
+        return Model(np.zeros(1 << BITS, np.float32), 500.0 if n_toxic else -500.0)
+    ratio = np.log((toxic + 1) / (n_toxic + 2)) - np.log((texts - toxic + 1) / (n - n_toxic + 2))
+    wanted = (np.abs(ratio) >= MIN_RATIO) & (texts >= MIN_TEXTS)
+    # only the features come to the driver
+    y, buckets, _ = collected(_only(sample, wanted))
     y = np.array([1.0 if v else 0.0 for v in y])
-    if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
-        return Model(np.zeros(1 << BITS, np.float32), 500.0 if share else -500.0)
     owner = np.repeat(np.arange(len(y)), [len(b) for b in buckets])
     cols = np.concatenate(buckets)
-    toxic = np.bincount(cols, y[owner], 1 << BITS)
-    texts = np.bincount(cols, minlength=1 << BITS)
-    ratio = np.log((toxic + 1) / (y.sum() + 2)) - np.log((texts - toxic + 1) / (len(y) - y.sum() + 2))
-    wanted = (np.abs(ratio) >= MIN_RATIO) & (texts >= MIN_TEXTS)
     place = np.cumsum(wanted) - 1
-    at = wanted[cols]
-    owner, cols = owner[at], cols[at]
     w, b = fit_logistic(owner, place[cols], ratio[cols], y, int(wanted.sum()), PENALTY)
     weights = np.zeros(1 << BITS, np.float32)
     weights[wanted] = w * ratio[wanted]
     return Model(weights, b)
 
 
+def _counts(sample: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Sampled texts, toxic ones, and how many of each have each bucket; summed in a few tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, seen = np.zeros(2, np.int64), np.zeros((2, 1 << BITS), np.int32)
+        for batch in batches:
+            for label, buckets in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                n[int(bool(label))] += 1
+                seen[int(bool(label)), np.frombuffer(buckets, "<i4")] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n.tobytes()], pa.binary()), pa.array([seen.tobytes()], pa.binary())], ["n", "seen"])
+
+    n, seen = np.zeros(2, np.int64), np.zeros((2, 1 << BITS), np.int64)
+    for row in sample.coalesce(8).mapInArrow(run, "n binary, seen binary").collect():
+        n += np.frombuffer(row["n"], np.int64)
+        seen += np.frombuffer(row["seen"], np.int32).reshape(2, -1)
+    return int(n.sum()), int(n[1]), seen.sum(0), seen[1]
+
+
+def _only(sample: DataFrame, wanted: np.ndarray) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets = [np.frombuffer(b, "<i4") for b in batch.column(2).to_pylist()]
+            kept = pa.array([b[wanted[b]].tobytes() for b in buckets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), kept, batch.column(3)], batch.schema.names)
+
+    return sample.mapInArrow(run, sample.schema)
+
+
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for each row."""
     weights, bias, wanted = model.weights, model.bias, model.weights != 0
