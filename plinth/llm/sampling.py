@@ -13,6 +13,8 @@ from plinth.llm.batches import pieces, utf8
 from plinth.session import new_dir
 
 SEED = 20240229
+#: Parts of a class that are ranked apart before they meet.
+PARTS = 64
 
 
 def labelled_ids(labels: DataFrame, doc_id: str, label: str, rows: int) -> DataFrame:
@@ -29,9 +31,13 @@ def ids_by_class(docs: DataFrame, doc_id: str, label: str, per_class: int) -> Da
     """_id, _label of at most ``per_class`` documents of each class, chosen by a hash of the id."""
     known = docs.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
     once = known.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
-    # planned as a group limit on both sides of the shuffle: a hot class sends few rows per task
-    order = Window.partitionBy("_label").orderBy(F.xxhash64("_id", F.lit(SEED)), "_id")
-    return once.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class).drop("_n")
+    # planned as group limits on both sides of the shuffles: first per class and part, so that a
+    # hot class is ranked in many tasks, then per class over the few rows that are left
+    hashed = once.withColumn("_hash", F.xxhash64("_id", F.lit(SEED))).withColumn("_part", F.pmod("_hash", F.lit(PARTS)))
+    for keys in (["_label", "_part"], ["_label"]):
+        order = Window.partitionBy(*keys).orderBy("_hash", "_id")
+        hashed = hashed.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class)
+    return hashed.select("_id", "_label")
 
 
 Extract = Callable[[list[bytes]], tuple[list[np.ndarray], list[np.ndarray]]]

@@ -14,6 +14,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus
@@ -160,6 +161,15 @@ def test_long_words_merge_alike():
         assert bpe.merge_word(word.encode(), ranks) == model.encode_ordinary(word)
 
 
+def test_folded_merges_and_joined_pieces(spark):
+    ranks = bpe.load_ranks()
+    words = sorted({w.encode() for d in DOCS[:12] for w in bpe.Encoder(ranks, public_tokenizers.PATTERN).split(d["text"])})[:150] + [b"", b"a" * 40]
+    rows = spark.createDataFrame([(w,) for w in words], "w binary").withColumn("ids", bpe.fold_merges(F.col("w"), ranks))
+    for r in rows.withColumn("bytes", bpe.join_pieces(F.col("ids"), ranks)).collect():
+        w = bytes(r["w"])
+        assert list(r["ids"]) == (bpe.merge_word(w, ranks) if w else []) and bytes(r["bytes"]) == w
+
+
 def test_ranks_are_the_files():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         token, rank = f.readline().split()
