@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plinth.operators.merge import any_differs, change_rows
+from plinth.operators.merge import any_differs, change_rows, fields, metadata_of, without_null_keys
 
 
 def snapshot_diff(
@@ -16,9 +16,11 @@ def snapshot_diff(
     """Inserts, updates (two rows each) and deletes that lead from ``prev`` to ``curr``.
 
     Both sides hold one row per key. Rows equal in all ``compare`` columns (default: all) are
-    dropped before anything is exploded.
+    dropped before anything is exploded. Rows with a NULL key take no part (``null_keys`` lists
+    them); column metadata stays.
     """
-    cols = curr.columns
+    cols, metadata = curr.columns, metadata_of(curr, prev)
+    prev, curr = without_null_keys(prev, keys), without_null_keys(curr, keys)
     old = prev.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.struct(*cols).alias("_old"))
     new = curr.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.struct(*cols).alias("_new"))
     on = reduce(lambda a, b: a & b, [F.col(f"_p_{k}") == F.col(f"_c_{k}") for k in keys])
@@ -28,12 +30,12 @@ def snapshot_diff(
         | any_differs("_old", "_new", compare or [c for c in cols if c not in keys])
     )
     exploded = differing.select(F.explode(change_rows(F.col("_old"), F.col("_new"))).alias("c"))
-    return exploded.select("c._action", "c._is_update", *[F.col("c._row")[c].alias(c) for c in cols])
+    return exploded.select("c._action", "c._is_update", *fields("c._row", cols, metadata))
 
 
 def inserts_only(prev: DataFrame, curr: DataFrame, keys: list[str]) -> DataFrame:
-    """Append-only view of the same step: rows whose key is new."""
-    added = curr.join(prev.select(*keys), keys, "left_anti").select(*curr.columns)
+    """Append-only view of the same step: rows whose key is new. Rows with a NULL key take no part."""
+    added = without_null_keys(curr, keys).join(prev.select(*keys), keys, "left_anti").select(*curr.columns)
     return added.select(
         F.lit("INSERT").alias("_action"), F.lit(False).alias("_is_update"), *curr.columns
     )

@@ -25,10 +25,19 @@ def tags_of(df: DataFrame) -> dict[str, str]:
     return {f.name: f.metadata[TAG] for f in df.schema.fields if TAG in f.metadata}
 
 
-def mask_by_tag(df: DataFrame, masks: dict[str, str] | None = None) -> DataFrame:
-    """Replace every tagged column by its mask text; tags without a mask stay readable."""
+def mask_by_tag(
+    df: DataFrame, masks: dict[str, str] | None = None, expected: dict[str, str] | None = None
+) -> DataFrame:
+    """Replace every tagged column by its mask text; tags without a mask stay readable.
+
+    ``expected`` are the tags a table must have: one that got lost on the way fails the query
+    instead of leaving the column readable.
+    """
     chosen = MASKS if masks is None else masks
     tags = tags_of(df)
+    lost = {c: t for c, t in (expected or {}).items() if c in df.columns and tags.get(c) != t}
+    if lost:
+        raise ValueError(f"tags are missing: {lost}")
     return df.select(
         *[
             F.lit(chosen[tags[c]]).alias(c) if tags.get(c) in chosen else F.col(c)

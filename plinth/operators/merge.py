@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plinth.functions.keys import surrogate_key
 from plinth.operators.latest import latest_per_key, single_per_key
 
 
@@ -32,6 +33,24 @@ def change_rows(old: Column, new: Column) -> Column:
     ).otherwise(F.array(row("DELETE", F.lit(False), old)))
 
 
+def fields(struct: str, columns: list[str], metadata: dict[str, dict]) -> list[Column]:
+    """Columns out of a struct, with the metadata (such as tags) that a struct does not carry."""
+    return [
+        F.col(struct)[c].alias(c, metadata=metadata[c]) if metadata.get(c) else F.col(struct)[c].alias(c)
+        for c in columns
+    ]
+
+
+def metadata_of(*tables: DataFrame) -> dict[str, dict]:
+    """Metadata by column; the first table that has some for a column wins."""
+    found: dict[str, dict] = {}
+    for df in tables:
+        for f in df.schema.fields:
+            if f.metadata:
+                found.setdefault(f.name, f.metadata)
+    return found
+
+
 @dataclass(frozen=True)
 class Merged:
     """Result of :func:`merge`: one row per key with its old and new image.
@@ -42,18 +61,17 @@ class Merged:
 
     rows: DataFrame
     columns: list[str]
+    metadata: dict[str, dict]
 
     def table(self) -> DataFrame:
         """The target after the merge."""
-        return self.rows.select(*[F.col("_new")[c].alias(c) for c in self.columns])
+        return self.rows.select(*fields("_new", self.columns, self.metadata))
 
     def changes(self) -> DataFrame:
         """``_action``, ``_is_update`` and the row image of everything the merge touched."""
         touched = self.rows.where(F.col("_op") != "keep")
         exploded = touched.select(F.explode(change_rows(F.col("_old"), F.col("_new"))).alias("c"))
-        return exploded.select(
-            "c._action", "c._is_update", *[F.col("c._row")[c].alias(c) for c in self.columns]
-        )
+        return exploded.select("c._action", "c._is_update", *fields("c._row", self.columns, self.metadata))
 
 
 def without_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,16 +91,25 @@ def merge(
     update: list[str] | None = None,
     only_if_changed: list[str] | None = None,
     order_by: list[str] | None = None,
+    newer_than: str | None = None,
+    number: str | None = None,
 ) -> Merged:
     """Update matched rows, insert the others.
 
     ``update``: columns a match overwrites (default: all). ``only_if_changed``: update only when
     one of these differs. ``order_by``: keep the newest source row per key; without it, two
-    source rows for one key fail the query. Source rows with a NULL key take no part.
+    source rows for one key fail the query. ``newer_than``: a match counts only if the source has
+    a later (or first) value in this column, so a late row never replaces a newer one. ``number``:
+    surrogate key column of the target; inserted rows go on from its largest number. Source rows
+    with a NULL key take no part. Column metadata, such as tags, stays.
     """
     placed = without_null_keys(source, keys)
     unique = latest_per_key(placed, keys, order_by) if order_by else single_per_key(placed, keys)
 
+    if number:
+        fresh = unique.select(*keys).join(target.select(*keys), keys, "left_anti")
+        last = target.agg(F.coalesce(F.max(number), F.lit(0))).scalar()
+        unique = unique.drop(number).join(surrogate_key(fresh, keys, number, last), keys, "left")
     old = target.select(*[F.col(k).alias(f"_old_{k}") for k in keys], F.struct("*").alias("_old"))
     src = unique.select(*[F.col(k).alias(f"_src_{k}") for k in keys], F.struct("*").alias("_src"))
     on = [F.col(f"_old_{k}") == F.col(f"_src_{k}") for k in keys]
@@ -91,11 +118,14 @@ def merge(
     inserted = F.col("_old").isNull()
     matched = F.col("_old").isNotNull() & F.col("_src").isNotNull()
     updated = matched & any_differs("_old", "_src", only_if_changed) if only_if_changed else matched
-    overwrite = set(update) if update is not None else set(source.columns) - set(keys)
+    if newer_than:
+        before, now = F.col("_old")[newer_than], F.col("_src")[newer_than]
+        updated = updated & F.coalesce(now >= before, before.isNull())
+    overwrite = (set(update) if update is not None else set(source.columns) - set(keys)) - {number}
 
     def image(c: str) -> Column:
         kept = F.col("_old")[c]
-        if c not in source.columns:
+        if c not in unique.columns:
             return kept.alias(c)
         given = F.col("_src")[c]
         value = F.when(inserted, given)
@@ -107,4 +137,4 @@ def merge(
     rows = joined.select(
         op.alias("_op"), "_old", F.struct(*[image(c) for c in target.columns]).alias("_new")
     )
-    return Merged(rows, target.columns)
+    return Merged(rows, target.columns, metadata_of(target, source))

@@ -1,7 +1,8 @@
 """Neighbour lookups along time that survive a key holding a third of all rows.
 
 A plain window partitioned by key sorts one key in one task. Here a key with more than
-``rows_per_slice`` rows is cut into time slices: the window runs inside (key, slice), and one edge
+``rows_per_slice`` rows is cut into time slices at quantiles of its own times, so slices hold
+about equally many rows however uneven time is: the window runs inside (key, slice), and one edge
 row per slice carries the value over the cut. All other keys are a single slice and have no edges,
 so the usual key pays nothing. There are at most rows / ``rows_per_slice`` big keys, which makes
 their list safe to broadcast.
@@ -20,38 +21,57 @@ ROWS_PER_SLICE = 4_000_000
 SLICE = "_slice"
 
 
-def _seconds(df: DataFrame, ts: str) -> Column:
-    """Time as seconds; zone-free timestamps are read off the wall clock, so no zone shifts them."""
+#: Quantiles looked at per big key, hence its slices at most.
+QUANTILES = 1024
+
+
+def _micros(df: DataFrame, ts: str) -> Column:
+    """Time as microseconds; zone-free timestamps are read off the wall clock, so no zone shifts them."""
     c = F.col(ts)
     if dict(df.dtypes)[ts] == "timestamp":
-        return F.unix_seconds(c)
-    day = F.unix_date(c.cast("date")).cast("bigint") * 86400
+        return F.unix_micros(c)
+    day = F.unix_date(c.cast("date")).cast("bigint") * 86_400_000_000
     if dict(df.dtypes)[ts] == "date":
         return day
-    return day + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    of_day = (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint") * 1_000_000
+    return day + of_day + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
 
 
 def big_keys(df: DataFrame, key: list[str], ts: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Keys with more than ``rows_per_slice`` rows: first second, span and number of slices.
+    """Keys with more than ``rows_per_slice`` rows, and the times ``_cuts`` that part their slices.
 
-    Slices have equal width; a key gets four times as many as its row count asks for, which leaves
-    room for busy hours.
+    Cuts are quantiles of the key's rows; rows of one instant stay together. A key gets twice as
+    many slices as its row count asks for, which leaves room for the sketch's error.
     """
-    counted = df.select(*key, _seconds(df, ts).alias("_sec")).groupBy(*key).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_sec").alias("_low"), F.max("_sec").alias("_high")
+    rows = df.select(*key, _micros(df, ts).alias("_us"))
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_slice)
+    # quantiles are sketched for the few big keys alone
+    few = F.broadcast(counted.select(*[F.col(k).alias(f"_big_{k}") for k in key], "_n"))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_big_{k}") for k in key])
+    shares = [i / QUANTILES for i in range(1, QUANTILES)]
+    sketched = rows.join(few, on).groupBy(*key).agg(
+        F.max("_n").alias("_n"), F.percentile_approx("_us", shares, F.lit(10 * QUANTILES)).alias("_q")
     )
-    return counted.where(F.col("_n") > rows_per_slice).select(
-        *key, "_low", (F.col("_high") - F.col("_low") + 1).alias("_span"),
-        F.ceil(F.col("_n") * 4 / rows_per_slice).alias("_slices"),
+    slices = F.least(F.ceil(F.col("_n") * 2 / rows_per_slice), F.lit(QUANTILES)).cast("int")
+    wanted = F.transform(
+        F.sequence(F.lit(1), slices - 1), lambda i: F.element_at("_q", F.ceil(i * QUANTILES / slices).cast("int"))
     )
+    return sketched.select(*key, F.array_sort(F.array_distinct(wanted)).alias("_cuts"))
 
 
 def add_slice(df: DataFrame, key: list[str], ts: str, big: DataFrame) -> DataFrame:
     """Add the slice number: NULL for usual keys, else growing with time."""
-    place = F.floor((_seconds(df, ts) - F.col("_low")) * F.col("_slices") / F.col("_span"))
+    cuts = F.col("_cuts")
+
+    def step(place: Column, width: Column) -> Column:
+        """Binary search: go on by ``width`` cuts if the last of them is not later."""
+        return F.when((place + width <= F.size(cuts)) & (F.get(cuts, place + width - 1) <= F.col("_us")), place + width).otherwise(place)
+
+    widths = F.array(*[F.lit(1 << k) for k in reversed(range(QUANTILES.bit_length()))])
+    place = F.when(cuts.isNotNull(), F.aggregate(widths, F.lit(0), step)).cast("bigint")
     return (
-        df.join(F.broadcast(big), key, "left")
-        .withColumn(SLICE, place.cast("bigint"))
+        df.withColumn("_us", _micros(df, ts)).join(F.broadcast(big), key, "left")
+        .withColumn(SLICE, place)
         .select(*df.columns, SLICE)
     )
 

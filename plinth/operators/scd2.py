@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plinth.functions.keys import hash_key
-from plinth.operators.merge import any_differs, without_null_keys
+from plinth.functions.keys import hash_key, with_key
+from plinth.operators.merge import any_differs, fields, metadata_of, without_null_keys
 from plinth.operators.ordered import ROWS_PER_SLICE, add_slice, big_keys, with_next, with_previous
 
 MakeKey = Callable[..., Column]
@@ -28,11 +28,11 @@ def new_versions(
 
     The hash key covers key, tracked columns and start time, so going back to earlier values makes
     a new key; ``hash_cols`` narrows it to a plain attribute hash. ``make_key=digest`` gives the
-    wide key that very large dimensions need.
+    wide key that very large dimensions need. Rows with a NULL key open no version.
     """
-    body = rows.select(*key, *tracked, start.cast("timestamp").alias("eff_start"))
-    return body.select(
-        make_key(*(hash_cols or [*key, *tracked, "eff_start"])).alias(hk), *key, *tracked, "eff_start",
+    body = without_null_keys(rows, key).select(*key, *tracked, start.cast("timestamp").alias("eff_start"))
+    return with_key(body, hk, hash_cols or [*key, *tracked, "eff_start"], make_key).select(
+        hk, *key, *tracked, "eff_start",
         F.lit(None).cast("timestamp").alias("eff_end"), F.lit(True).alias("is_current"),
     )
 
@@ -40,21 +40,34 @@ def new_versions(
 def scd2_apply(
     dim: DataFrame, changes: DataFrame, key: list[str], tracked: list[str], as_of: Column, *,
     hk: str = "hk", hash_cols: list[str] | None = None, close_on_delete: bool = True,
-    make_key: MakeKey = hash_key,
+    make_key: MakeKey = hash_key, at: str | None = None,
 ) -> DataFrame:
-    """Dimension after a batch of change rows (one INSERT image per key at most).
+    """Dimension after a batch of change rows.
 
     Only open rows take part in the join; closed history passes through untouched. A version is
     opened when a key is new or a tracked column differs (NULL-safe), and the one before closes.
-    Applying the same batch twice changes nothing.
+    A key that is deleted and comes back in one batch counts as changed. Applying the same batch
+    twice changes nothing. Change rows with a NULL key take no part.
+
+    Without ``at`` all changes happen at ``as_of``: a key may then have one INSERT image only, and
+    a batch older than the version it would close fails the query. ``at`` names a column with each
+    change's own time: a key's changes are chained, and ``as_of`` is not used.
     """
-    wanted = changes.where(
+    wanted = without_null_keys(changes, key).where(
         (F.col("_action") == "INSERT") | (~F.col("_is_update") & F.lit(close_on_delete))
     )
-    src = wanted.select(
-        *[F.col(k).alias(f"_s_{k}") for k in key],
-        (F.col("_action") == "DELETE").alias("_gone"),
-        F.struct(*key, *tracked).alias("_src"),
+    if at:
+        return _chained(dim, wanted, key, tracked, at, hk, hash_cols, make_key)
+    inserted = F.col("_action") == "INSERT"
+    per_key = wanted.groupBy(*key).agg(
+        F.max_by(F.struct(*tracked), inserted).alias("_state"), F.count_if(inserted).alias("_images"),
+    )
+    one = F.when(
+        F.col("_images") > 1, F.raise_error(F.lit(f"several changes of one key ({', '.join(key)}) need their time")).cast("boolean")
+    ).otherwise(F.col("_images") == 0)
+    src = per_key.select(
+        *[F.col(k).alias(f"_s_{k}") for k in key], one.alias("_gone"),
+        F.struct(*key, *[F.col("_state")[c].alias(c) for c in tracked]).alias("_src"),
     )
     opened = dim.where(F.col("is_current")).select(
         *[F.col(k).alias(f"_d_{k}") for k in key], F.struct(*dim.columns).alias("_open")
@@ -72,7 +85,11 @@ def scd2_apply(
         return F.struct(*[values[c].cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
 
     kept = {c: F.col("_open")[c] for c in dim.columns}
-    old = image({**kept, "eff_end": F.when(closes, as_of).otherwise(kept["eff_end"]), "is_current": ~closes})
+    in_order = as_of.cast(dim.schema["eff_start"].dataType) >= kept["eff_start"]
+    closing = F.when(in_order, as_of).otherwise(
+        F.raise_error(F.lit("the batch is older than a version it closes")).cast(dim.schema["eff_end"].dataType)
+    )
+    old = image({**kept, "eff_end": F.when(closes, closing).otherwise(kept["eff_end"]), "is_current": ~closes})
     new = image({
         **{c: F.col("_src")[c] for c in [*key, *tracked]},
         hk: F.lit(None), "eff_start": as_of, "eff_end": F.lit(None), "is_current": F.lit(True),
@@ -81,10 +98,61 @@ def scd2_apply(
     versions = (
         F.when(present & opens, F.array(old, new)).when(present, F.array(old)).when(opens, F.array(new))
     )
-    after = joined.select(F.explode(versions).alias("v")).select("v.*")
-    keyed = F.coalesce(F.col(hk), make_key(*(hash_cols or [*key, *tracked, "eff_start"])))
-    closed = dim.where(~F.col("is_current"))
-    return closed.unionByName(after.withColumn(hk, keyed)).select(*dim.columns)
+    after = joined.select(F.explode(versions).alias("v")).select(*fields("v", dim.columns, metadata_of(dim, changes)))
+    return _with_closed(dim, _keyed(after, hk, hash_cols or [*key, *tracked, "eff_start"], make_key))
+
+
+def _keyed(versions: DataFrame, hk: str, cols: list[str], make_key: MakeKey) -> DataFrame:
+    """Fill in the hash keys of versions that have none yet."""
+    return with_key(versions, "_hk", cols, make_key).withColumn(hk, F.coalesce(hk, "_hk")).drop("_hk")
+
+
+def _with_closed(dim: DataFrame, versions: DataFrame) -> DataFrame:
+    return dim.where(~F.col("is_current")).unionByName(versions.select(*dim.columns)).select(*dim.columns)
+
+
+def _chained(
+    dim: DataFrame, changes: DataFrame, key: list[str], tracked: list[str], at: str, hk: str,
+    hash_cols: list[str] | None, make_key: MakeKey, rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Open versions and changes of a key laid on one line of time, each ended by the next."""
+    kind = dim.schema["eff_start"].dataType
+    inserted = F.col("_action") == "INSERT"
+    # at one instant an INSERT wins over a DELETE, and the largest image over the others
+    image = F.when(inserted, F.struct(*[F.col(c).cast(dim.schema[c].dataType).alias(c) for c in tracked]))
+    happened = changes.groupBy(*key, F.col(at).cast(kind).alias("_at")).agg(F.max(image).alias("_state"))
+    line_keys = [*key, "_at"]
+    opened = dim.where(F.col("is_current")).select(
+        *[F.col(k).alias(f"_open_{k}") for k in key], F.col("eff_start").alias("_open__at"),
+        F.struct(*tracked).alias("_first"), F.col(hk).alias("_known"),
+    )
+    at_once = [F.col(k) == F.col(f"_open_{k}") for k in line_keys]
+    was_open, changed = F.col("_open__at").isNotNull(), F.col("_at").isNotNull()
+    # a change at the very start of the open version must agree with it
+    line = happened.join(opened, reduce(lambda a, b: a & b, at_once), "full_outer").select(
+        *[F.coalesce(k, f"_open_{k}").alias(k) for k in line_keys],
+        F.when(was_open, F.col("_first")).otherwise(F.col("_state")).alias("_state"),
+        F.when(
+            was_open & changed & ~F.col("_state").eqNullSafe(F.col("_first")),
+            F.raise_error(F.lit("a change at the time its open version began")).cast("boolean"),
+        ).otherwise(was_open).alias("_seed"),
+        "_known",
+    )
+    sliced = add_slice(line, key, "_at", big_keys(line, key, "_at", rows_per_slice))
+    stepped = with_previous(sliced, key, "_at", ["_state"])
+    checked = stepped.withColumn("_seed", F.when(
+        F.col("_seed") & F.col("_prev").isNotNull(),
+        F.raise_error(F.lit("a change is older than the version it would close")).cast("boolean"),
+    ).otherwise(F.col("_seed")))
+    begins = F.when(F.col("_prev").isNull(), F.col("_state").isNotNull()).otherwise(
+        ~F.col("_prev._state").eqNullSafe(F.col("_state"))
+    )
+    starts = checked.where(F.col("_seed") | begins).drop("_prev")
+    versions = with_next(starts, key, "_at", "_at").where(F.col("_state").isNotNull()).select(
+        F.col("_known").alias(hk), *key, *fields("_state", tracked, metadata_of(dim, changes)),
+        F.col("_at").alias("eff_start"), F.col("_next").alias("eff_end"), F.col("_next").isNull().alias("is_current"),
+    )
+    return _with_closed(dim, _keyed(versions, hk, hash_cols or [*key, *tracked, "eff_start"], make_key))
 
 
 def scd2_match_on(
@@ -139,9 +207,8 @@ def scd2_from_log(
     body = ended.select(
         *key, "_state.*", F.col(ts).alias("eff_start"), F.col("_next").alias("eff_end")
     )
-    return body.select(
-        make_key(*key, *tracked, "eff_start").alias(hk), *key, *tracked, "eff_start", "eff_end",
-        F.col("eff_end").isNull().alias("is_current"),
+    return with_key(body, hk, [*key, *tracked, "eff_start"], make_key).select(
+        hk, *key, *tracked, "eff_start", "eff_end", F.col("eff_end").isNull().alias("is_current")
     )
 
 
