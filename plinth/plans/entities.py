@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from plinth.functions import casting as C
+from plinth.functions.keys import hash_key
 from plinth.operators.enrich import location_columns
 
 Rule = Callable[[], Column]
@@ -35,6 +36,8 @@ class Entity:
     lengths: dict[str, int] = field(default_factory=dict)
     tags: dict[str, str] = field(default_factory=dict)  # clean column -> tag
     must_cast: dict[str, str] = field(default_factory=dict)  # stage text that has to convert
+    stage_tags: dict[str, str] = field(default_factory=dict)  # stage column -> tag
+    make_key: Callable[..., Column] = hash_key  # ``digest`` for dimensions too large for 60 bits
 
 
 def text(c: str) -> Rule:
@@ -138,6 +141,7 @@ RESTAURANT = Entity(
     lengths={"name": 100, "restaurant_phone": 15, "operating_hours": 100, "active_flag": 10,
              "open_status": 10, "locality": 100},
     tags={"restaurant_phone": "SENSITIVE"},
+    stage_tags={"restaurant_phone": "SENSITIVE"},
     must_cast={"restaurantid": NUMBER},
 )
 
@@ -169,6 +173,7 @@ CUSTOMER = Entity(
     not_null=["customer_id", "name"],
     lengths={"name": 100, "mobile": 15, "email": 100, "login_by_using": 50, "gender": 10},
     tags={"mobile": "PII", "email": "EMAIL", "gender": "PII", "dob": "PII"},
+    stage_tags={"mobile": "PII", "email": "EMAIL", "gender": "PII", "dob": "PII"},
 )
 
 ADDRESS_TEXT = [

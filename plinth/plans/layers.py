@@ -25,6 +25,11 @@ def quarantine_rules(entity: Entity) -> dict[str, Column]:
     return rules
 
 
+def tag_stage(stage: DataFrame, entity: Entity) -> DataFrame:
+    """Landed rows with the tags of the clean columns that are made of them."""
+    return tag_columns(stage, {c: t for c, t in entity.stage_tags.items() if c in stage.columns})
+
+
 def split_stage(stage: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:
     """Rows that can be merged, and the quarantine with a reason per row."""
     return quality.split_rows(stage, quarantine_rules(entity))
@@ -37,17 +42,23 @@ def clean_rows(stage: DataFrame, entity: Entity) -> DataFrame:
     return tag_columns(typed, entity.tags)
 
 
-def merge_clean(target: DataFrame, source: DataFrame, entity: Entity) -> Merged:
-    """Upsert a cleaned batch into the entity's clean table, newest row per key."""
+def merge_clean(
+    target: DataFrame, source: DataFrame, entity: Entity, *, newer_only: bool = False, number: str | None = None
+) -> Merged:
+    """Upsert a cleaned batch into the entity's clean table, newest row per key.
+
+    ``newer_only`` ignores rows older than what the table holds; ``number`` names the table's
+    surrogate key, which inserted rows continue.
+    """
     update = entity.update
     if update is not None:
         update = update + [c for c in LINEAGE if c in source.columns]
     return merge(
         target, source, entity.keys, update=update, only_if_changed=entity.only_if_changed,
-        order_by=[entity.modified],
+        order_by=[entity.modified], newer_than=entity.modified if newer_only else None, number=number,
     )
 
 
 def apply_dim(dim: DataFrame, changes: DataFrame, entity: Entity, as_of: Column) -> DataFrame:
     """Bring the entity's dimension up to date with the change rows of its clean table."""
-    return scd2_apply(dim, changes, entity.keys, entity.tracked, as_of, hk=entity.hk)
+    return scd2_apply(dim, changes, entity.keys, entity.tracked, as_of, hk=entity.hk, make_key=entity.make_key)

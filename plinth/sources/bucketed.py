@@ -1,9 +1,9 @@
 """Tables stored as parquet by key bucket and version, so an upsert rewrites only what it touches.
 
-``<path>/v=<version>/_bucket=<n>/``: a bucket's rows are those of its newest version. A batch
-writes the buckets it touches under a version of its own and never changes an older one, so a
-batch that died half way is simply written again. Older versions may be deleted once no reader
-needs them.
+``<path>/v=<version>/_bucket=<n>/`` holds a bucket as a batch wrote it; the log (by default
+``<path>/log``) says which version of each bucket belongs to the table, or that the bucket is
+empty. Readers go by the log alone, so a batch that died half way is never seen and is simply
+written again.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.sources.csv_drop import list_files
+from plinth.sources import manifest
 
 BUCKET = "_bucket"
+Apply = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -26,49 +27,56 @@ class BucketedTable:
     schema: T.StructType
     keys: list[str]
     buckets: int
+    log: str = ""  # tables that share one advance together
+
+    @property
+    def _log(self) -> str:
+        return self.log or f"{self.path}/log"
 
     def create(self, df: DataFrame) -> None:
         """Initial load, version 0."""
-        self._write(df, 0)
+        state = self._written(df, 0, set(range(self.buckets)))
+        manifest.publish(df.sparkSession, self._log, 0, {self.path: state})
 
     def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
         """The whole table, by default as of the newest version."""
-        return self._load(spark, self._newest(spark, version))
+        return self._load(spark, self._state(spark, version))
 
-    def upsert(
-        self, delta: DataFrame, version: int, apply: Callable[[DataFrame, DataFrame], DataFrame]
-    ) -> None:
-        """Write ``apply(current rows, delta)`` for the buckets in which ``delta`` has keys.
+    def upsert(self, delta: DataFrame, version: int, apply: Apply) -> None:
+        """Write ``apply(current rows, delta)`` for the buckets in which ``delta`` has keys, and publish.
 
         Versions count up from 1; repeating one replaces what it wrote before.
         """
+        manifest.publish(delta.sparkSession, self._log, version, {self.path: self.stage(delta, version, apply)})
+
+    def stage(self, delta: DataFrame, version: int, apply: Apply) -> dict[int, int | None]:
+        """As :meth:`upsert`, but nothing is published yet: returns the table's state for the log."""
         spark = delta.sparkSession
-        place = self._bucket()
-        touched = {r[0] for r in delta.select(place).distinct().collect()}  # at most `buckets` ints
-        newest = self._newest(spark, version - 1)
-        current = self._load(spark, {b: v for b, v in newest.items() if b in touched})
-        self._write(apply(current, delta), version)
+        touched = {r[0] for r in delta.select(self._bucket()).distinct().collect()}  # at most `buckets` ints
+        before = self._state(spark, version - 1)
+        current = self._load(spark, {b: v for b, v in before.items() if b in touched})
+        return before | self._written(apply(current, delta), version, touched)
+
+    def staged(self, spark: SparkSession, state: dict[int, int | None]) -> DataFrame:
+        """The table in a state that :meth:`stage` returned."""
+        return self._load(spark, state)
+
+    def _state(self, spark: SparkSession, version: int | None) -> dict[int, int | None]:
+        return manifest.latest(spark, self._log, version).get(self.path, {})
 
     def _bucket(self):
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
 
-    def _write(self, df: DataFrame, version: int) -> None:
+    def _written(self, df: DataFrame, version: int, touched: set[int]) -> dict[int, int | None]:
         # keys are unique and hashed, so buckets are even and one task per bucket is enough
+        folder = f"{self.path}/v={version}"
         placed = df.select(*self.schema.names, self._bucket()).repartition(self.buckets, BUCKET)
-        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/v={version}")
-
-    def _newest(self, spark: SparkSession, upto: int | None) -> dict[int, int]:
-        """Newest version of each bucket, from file names; one entry per bucket at most."""
-        found = list_files(spark, self.path, "*.parquet").select(
-            F.regexp_extract("path", rf"{BUCKET}=(\d+)", 1).cast("int").alias("b"),
-            F.regexp_extract("path", r"/v=(\d+)/", 1).cast("bigint").alias("v"),
-        )
-        if upto is not None:
-            found = found.where(F.col("v") <= upto)
-        return {r["b"]: r["v"] for r in found.groupBy("b").agg(F.max("v").alias("v")).collect()}
-
-    def _load(self, spark: SparkSession, versions: dict[int, int]) -> DataFrame:
-        if not versions:
+        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        filled = {int(n.split("=")[1]) for n in manifest.names(df.sparkSession, folder) if n.startswith(f"{BUCKET}=")}
+        return {b: version if b in filled else None for b in touched | filled}
+
+    def _load(self, spark: SparkSession, state: dict[int, int | None]) -> DataFrame:
+        paths = [f"{self.path}/v={v}/{BUCKET}={b}" for b, v in sorted(state.items()) if v is not None]
+        if not paths:
             return spark.createDataFrame([], self.schema)
-        paths = [f"{self.path}/v={v}/{BUCKET}={b}" for b, v in sorted(versions.items())]
         return spark.read.schema(self.schema).parquet(*paths).select(*self.schema.names)

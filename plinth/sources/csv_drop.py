@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plinth.sources import manifest
+
 # The file format (comma, newline, one header line, optional quotes, \N for NULL).
 CSV_FORMAT = {
     "sep": ",", "lineSep": "\n", "header": "true", "quote": '"', "escape": '"', "nullValue": "\\N",
@@ -29,12 +31,13 @@ def read_positional(
 
     ``on_error``: ``keep`` pads short rows with NULL and cuts long ones (a row with the wrong
     delimiter lands whole in the first column), ``abort`` fails on them, ``continue`` skips them.
-    ``corrupt_record`` adds the raw text of malformed rows in ``_corrupt_record``.
+    ``corrupt_record`` adds the raw text of malformed rows in ``_corrupt_record``;
+    :func:`read_with_rejects` loses nothing in any mode.
     """
     schema = text_schema(columns + ([CORRUPT] if corrupt_record else []))
     reader = spark.read.schema(schema).options(**{**CSV_FORMAT, **(options or {})})
     reader = reader.option("mode", ERROR_MODES[on_error]).option("columnNameOfCorruptRecord", CORRUPT)
-    if on_error != "keep":
+    if on_error != "keep" or corrupt_record:
         # a pruned read does not see missing or extra fields, so it would not judge the row
         reader = reader.option("columnPruning", "false")
     if glob:
@@ -42,6 +45,26 @@ def read_positional(
     return reader.csv(path)
 
 
+def read_with_rejects(
+    spark: SparkSession, path: str, columns: list[str], *, glob: str | None = None,
+    on_error: str = "keep", options: dict[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows to land, and the others with their text in ``_corrupt_record`` and a ``_reason``.
+
+    ``keep`` lands short rows, padded with NULL for the quarantine step, and rejects rows with more
+    fields than columns, which no column could take. ``continue`` rejects every malformed row.
+    """
+    every = read_positional(spark, path, columns, glob=glob, corrupt_record=True, options=options)
+    wider = text_schema([*columns, "_more"])
+    how = {k: v for k, v in {**CSV_FORMAT, **(options or {})}.items() if k in ("sep", "quote", "escape")}
+    more = F.from_csv(CORRUPT, wider.simpleString()[7:-1].replace(":", " "), {**how, "emptyValue": ""})["_more"].isNotNull()
+    malformed = F.col(CORRUPT).isNotNull()
+    rejected = malformed & more if on_error == "keep" else malformed
+    reason = F.when(more, "more fields than columns").otherwise("fewer fields than columns")
+    # all columns are read on both sides: a pruned read would not judge the rows alike
+    return every.where(~F.coalesce(rejected, F.lit(False))).drop(CORRUPT), every.where(rejected).withColumn("_reason", reason)
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Path, size and modification time of every file below a folder; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -50,54 +73,42 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path).select("path", "length", "modificationTime")
 
 
-def file_digests(
-    spark: SparkSession, path: str, glob: str | None = None, whole_file_bytes: int = 256 << 20
-) -> DataFrame:
+def file_digests(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``path``, ``length``, ``modificationTime`` and content key of every file.
 
-    Files up to ``whole_file_bytes`` get the MD5 of their bytes. A larger file does not fit one
-    row, so its key is the MD5 over line count, sum and xor of its lines' 64-bit hashes, which
-    Spark computes over the file's splits in parallel.
+    The key is one rule for files of any size: MD5 over the number of lines and the sum and xor of
+    64-bit hashes of (line number, line). Lines are numbered within the splits Spark reads, and
+    splits of a file are put in order by their counts, so no file has to fit one row or task.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     lines = spark.read.option("recursiveFileLookup", "true")
     if glob:
-        reader, lines = reader.option("pathGlobFilter", glob), lines.option("pathGlobFilter", glob)
-    files = reader.load(path)
-    # the length filter is pushed into the source, which then skips the content of larger files
-    small = files.where(F.col("length") <= whole_file_bytes).select(
-        "path", "length", "modificationTime", F.md5("content").alias("content_key")
+        lines = lines.option("pathGlobFilter", glob)
+    rows = lines.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), "value",
     )
-    big = files.where(F.col("length") > whole_file_bytes).select("path", "length", "modificationTime")
-    line = F.xxhash64("value")
-    keyed = (
-        lines.text(path)
-        .where(F.col("_metadata.file_size") > whole_file_bytes)
-        .select(F.col("_metadata.file_path").alias("path"), line.alias("h"))
-        .groupBy("path")
-        .agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("s"),
-            F.bit_xor("h").alias("x"),
-        )
-        .select("path", F.md5(F.concat_ws(":", "n", "s", "x").cast("binary")).alias("content_key"))
+    blocks = rows.groupBy("path", "block").agg(F.min("id").alias("first"), F.count("value").alias("lines"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per split of a file
+    placed = blocks.select("path", "block", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("offset"), "first")
+    numbered = rows.join(placed, ["path", "block"])
+    h = F.xxhash64(F.col("offset") + F.col("id") - F.col("first"), "value")
+    keyed = numbered.groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(20,0)")).alias("s"), F.bit_xor(h).alias("x"),
+    ).select("path", F.concat_ws(":", "n", "s", "x").alias("_key"))
+    # a file without lines has no row in `keyed`
+    return list_files(spark, path, glob).join(keyed, "path", "left").select(
+        "path", "length", "modificationTime", F.md5(F.coalesce("_key", F.lit("0")).cast("binary")).alias("content_key")
     )
-    return small.unionByName(big.join(keyed, "path", "left").select(*small.columns))
 
 
 def with_lineage(
     spark: SparkSession, rows: DataFrame, path: str, *, glob: str | None = None, load_ts=None,
-    broadcast_files: int = 1_000_000,
 ) -> DataFrame:
-    """Add file name, modification time, content key and load time to rows read from files.
-
-    The file list is broadcast while it holds at most ``broadcast_files`` entries (counted from
-    the listing); beyond that Spark joins it by shuffle.
-    """
+    """Add file name, modification time, content key and load time to rows read from files."""
     digests = file_digests(spark, path, glob).select(
         F.col("path").alias("_stg_file_name"), F.col("content_key").alias("_stg_file_md5")
     )
-    if list_files(spark, path, glob).count() <= broadcast_files:
-        digests = F.broadcast(digests)
     landed = rows.select(
         "*",
         F.col("_metadata.file_path").alias("_stg_file_name"),
@@ -111,15 +122,33 @@ def with_lineage(
 
 def copy_into(
     spark: SparkSession, path: str, columns: list[str], stage: str, *, glob: str | None = None,
-    on_error: str = "abort", load_ts=None,
+    on_error: str = "abort", load_ts=None, options: dict[str, str] | None = None, force: bool = False,
 ) -> None:
     """Append the files below ``path`` to a parquet stage table, with lineage.
 
     ``abort`` keeps rows with another delimiter out by failing; ``keep`` lands them for the
-    quarantine step.
+    quarantine step. Rows that cannot land are appended to ``<stage>_rejects`` with their reason
+    and lineage. A file of which the stage holds rows, by path and content key, is not loaded again
+    unless ``force`` is set.
     """
-    rows = read_positional(spark, path, columns, glob=glob, on_error=on_error)
-    with_lineage(spark, rows, path, glob=glob, load_ts=load_ts).write.mode("append").parquet(stage)
+    rejects = f"{stage}_rejects"
+    if on_error == "abort":
+        parts = {stage: read_positional(spark, path, columns, glob=glob, on_error=on_error, options=options)}
+    else:
+        landed, rejected = read_with_rejects(spark, path, columns, glob=glob, on_error=on_error, options=options)
+        parts = {stage: landed, rejects: rejected}
+    file = ["_stg_file_name", "_stg_file_md5"]
+    known = spark.read.parquet(stage).select(*file).distinct() if not force and _is_table(spark, stage) else None
+    # rejects go first: once the stage has a file, it counts as loaded
+    for table in sorted(parts, key=lambda t: t == stage):
+        loaded = with_lineage(spark, parts[table], path, glob=glob, load_ts=load_ts)
+        if known is not None:
+            loaded = loaded.join(known, file, "left_anti").select(*loaded.columns)
+        loaded.write.mode("append").parquet(table)
+
+
+def _is_table(spark: SparkSession, path: str) -> bool:
+    return any(n.endswith(".parquet") for n in manifest.names(spark, path))
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, partition_by: list[str] | None = None) -> None:

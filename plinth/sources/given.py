@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from plinth.functions.calendar import date_dim
 from plinth.operators.enrich import STATE_CODES, TIER_1, TIER_2
-from plinth.plans.entities import ORDER_ITEM
-from plinth.session import new_dir
-from plinth.sources.csv_drop import text_schema
 
 # Order status of the given data and the delivery status it stands for.
 DELIVERY_STATUS = {"F": "Delivered", "O": "Pending", "P": "In Transit"}
@@ -43,19 +40,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
-SMALL_TABLE_SPLITS = 64
-
-
 def line_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items; a small table in fewer splits than there are cores is spread by order.
-
-    One file with one row group would otherwise be worked on by one task. The shuffle is the one
-    that sums and joins by order need anyway, and the size limit (64 splits, 8 GB at the default
-    split size) bounds what a hot order can bring into one task. Larger tables are left alone.
-    """
-    rows, cores = table(spark, sf, "lineitem"), spark.sparkContext.defaultParallelism
-    few = rows.rdd.getNumPartitions() < min(cores, SMALL_TABLE_SPLITS)
-    return rows.repartition(cores, "l_orderkey") if few else rows
+    return table(spark, sf, "lineitem")
 
 
 def money(c: str, precision: int = 10) -> Column:
@@ -208,13 +194,6 @@ def order_item_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def order_item_stage(spark: SparkSession, sf: str) -> DataFrame:
-    """The order-item layout landed as a stage table."""
-    path = new_dir(spark, "order-item-stage")
-    order_item_text(spark, sf).write.parquet(path)
-    return spark.read.schema(text_schema(ORDER_ITEM.stage)).parquet(path)
-
-
 # --- typed clean tables -----------------------------------------------------------------------
 
 

@@ -11,11 +11,27 @@ from pyspark.sql.streaming import StreamingQuery
 from plinth.operators.latest import latest_per_key
 from plinth.operators.merge import merge
 from plinth.operators.scd2 import scd2_apply
+from plinth.plans import layers
+from plinth.plans.entities import Entity
+from plinth.sources import manifest
 from plinth.sources.bucketed import BucketedTable
 
 Batch = Callable[[DataFrame, int], None]
 
 
+def once(run: Batch) -> Batch:
+    """Keep the batch while it is worked on, as it is read several times."""
+
+    def kept(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            run(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return kept
+
+
 def newest_wins(target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """Upsert in which a late row never replaces a newer one; repeating it changes nothing."""
     both = target.unionByName(source.select(*target.columns))
@@ -32,7 +48,7 @@ def upsert_batch(
         delta = latest_per_key(rows, table.keys, order_by)
         table.upsert(delta, batch_id + 1, lambda old, new: newest_wins(old, new, table.keys, order_by))
 
-    return run
+    return once(run)
 
 
 def dimension_batch(
@@ -42,26 +58,53 @@ def dimension_batch(
 ) -> Batch:
     """Batch function for a clean table and its type-2 dimension.
 
-    The dimension follows the clean table's rows of the batch's keys before the batch counts as
-    done; a repeated batch writes the same versions of both tables again.
+    The tables share a log and advance together; a repeated batch writes the same versions of
+    both again.
     """
-    keys = clean.keys
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(clean, order_by, transform)(batch, batch_id)
         rows = transform(batch) if transform else batch
-        current = clean.read(batch.sparkSession, batch_id + 1)
-        state = current.join(rows.select(*keys).distinct(), keys, "left_semi").select(*keys, *tracked)
+        delta = latest_per_key(rows, clean.keys, order_by)
+        state = clean.stage(delta, batch_id + 1, lambda old, new: newest_wins(old, new, clean.keys, order_by))
+        _publish_with_dimension(clean, state, dim, delta, tracked, as_of(batch_id), batch_id + 1, hk)
 
-        def apply(old: DataFrame, new: DataFrame) -> DataFrame:
-            images = new.select(
-                F.lit("INSERT").alias("_action"), F.lit(True).alias("_is_update"), *keys, *tracked
-            )
-            return scd2_apply(old, images, keys, tracked, as_of(batch_id), hk=hk)
+    return once(run)
 
-        dim.upsert(state, batch_id + 1, apply)
 
-    return run
+def _publish_with_dimension(
+    clean: BucketedTable, state: dict, dim: BucketedTable, delta: DataFrame, tracked: list[str], as_of: Column,
+    version: int, hk: str,
+) -> None:
+    """Bring the dimension to the clean table's new state of the batch's keys, and publish both."""
+    if not clean.log or clean.log != dim.log:
+        raise ValueError("the clean table and its dimension need one log, to advance together")
+    keys, spark = clean.keys, delta.sparkSession
+    current = clean.staged(spark, state).join(delta.select(*keys).distinct(), keys, "left_semi").select(*keys, *tracked)
+
+    def apply(old: DataFrame, new: DataFrame) -> DataFrame:
+        images = new.select(F.lit("INSERT").alias("_action"), F.lit(True).alias("_is_update"), *keys, *tracked)
+        return scd2_apply(old, images, keys, tracked, as_of, hk=hk)
+
+    manifest.publish(spark, clean.log, version, {clean.path: state, dim.path: dim.stage(current, version, apply)})
+
+
+def entity_batch(
+    entity: Entity, clean: BucketedTable, dim: BucketedTable, rejects: str, as_of: Callable[[int], Column]
+) -> Batch:
+    """Batch function for an entity's landed rows: quarantine, clean table by the entity's own merge
+    rules, dimension. Rows that cannot be merged go to ``rejects``, per batch, with their reason.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        valid, bad = layers.split_stage(batch, entity)
+        bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        delta = latest_per_key(layers.clean_rows(valid, entity).select(*clean.schema.names), entity.keys, [entity.modified])
+        state = clean.stage(
+            delta, batch_id + 1, lambda old, new: layers.merge_clean(old, new, entity, newer_only=True).table()
+        )
+        _publish_with_dimension(clean, state, dim, delta, entity.tracked, as_of(batch_id), batch_id + 1, entity.hk)
+
+    return once(run)
 
 
 def replace_batch(table: BucketedTable) -> Batch:
