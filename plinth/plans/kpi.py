@@ -32,11 +32,25 @@ def totals_from_clean(
     status: str | None = DELIVERED, by: list[str] = (),
 ) -> DataFrame:
     """Order totals with delivery status and calendar columns, from the clean tables."""
+    return totals_from_sums(order_totals(items, by=by), orders, deliveries, date_dim, status=status)
+
+
+def totals_from_sums(
+    sums: DataFrame, orders: DataFrame, deliveries: DataFrame, date_dim: DataFrame, *, status: str | None = DELIVERED
+) -> DataFrame:
+    """The same from the result of :func:`order_totals`."""
     shipped = deliveries.select(F.col("order_id_fk").alias("order_id"), "delivery_status")
     if status:
         shipped = shipped.where(F.col("delivery_status") == status)
     headers = orders.select("order_id", F.to_date("order_date").alias("calendar_date")).join(shipped, "order_id")
-    return order_totals(items, by=by).join(headers, "order_id").join(F.broadcast(date_dim), "calendar_date")
+    return sums.join(headers, "order_id").join(F.broadcast(date_dim), "calendar_date")
+
+
+def sum_again(sums: DataFrame, by: list[str]) -> DataFrame:
+    """Sums of :func:`order_totals` per coarser key."""
+    return sums.groupBy(*by).agg(
+        F.sum("revenue").alias("revenue"), F.sum("items").alias("items"), F.max("max_line").alias("max_line")
+    )
 
 
 def totals_from_fact(
@@ -70,15 +84,15 @@ def _measures(summed: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def yearly(totals: DataFrame) -> DataFrame:
-    return revenue_kpis(totals, ["year"])
+    return revenue_kpis(totals, ["year"]).orderBy("year")
 
 
 def monthly(totals: DataFrame) -> DataFrame:
-    return revenue_kpis(totals, ["year", "month"])
+    return revenue_kpis(totals, ["year", "month"]).orderBy("year", "month")
 
 
 def daily(totals: DataFrame) -> DataFrame:
-    return revenue_kpis(totals, ["year", "month", F.col("day_of_the_month").alias("day")])
+    return revenue_kpis(totals, ["year", "month", F.col("day_of_the_month").alias("day")]).orderBy("year", "month", "day")
 
 
 def weekday(totals: DataFrame) -> DataFrame:
@@ -87,7 +101,7 @@ def weekday(totals: DataFrame) -> DataFrame:
 
 
 def with_restaurant(items: DataFrame, restaurants: DataFrame, key: str, dim_key: str) -> DataFrame:
-    """Items (or fact rows) with the name of their restaurant."""
+    """Order sums per restaurant (or items, or fact rows) with the restaurant's name."""
     names = restaurants.select(F.col(dim_key).alias(key), F.col("name").alias("restaurant_name"))
     return items.join(names, key)
 
@@ -96,7 +110,7 @@ def by_restaurant(totals: DataFrame) -> DataFrame:
     """By month, delivery status and restaurant name, from totals ``by`` the restaurant name.
 
     Names are not unique: an order that spans two restaurants of one name is one order, which is
-    why the name comes in before the items are summed per order.
+    why sums per restaurant are summed again per name.
     """
     return revenue_kpis(totals, ["year", "month", "delivery_status", "restaurant_name"])
 
@@ -165,11 +179,11 @@ def monthly_trend(monthly_kpis: DataFrame, year: int | None = None) -> DataFrame
     return for_period(monthly_kpis, year).select(
         F.col("month").cast("int").alias("month"), month_abbr("month").alias("month_name"),
         whole("total_revenue", 10).alias("total_revenue"),
-    )
+    ).orderBy("month")
 
 
 def months_with_data(restaurant_kpis: DataFrame, year: int | None = None) -> DataFrame:
-    return for_period(restaurant_kpis, year).select("month").distinct()
+    return for_period(restaurant_kpis, year).select("month").distinct().orderBy("month")
 
 
 def by_restaurant_all_statuses(totals: DataFrame) -> DataFrame:
@@ -192,8 +206,8 @@ RANKING_HEADINGS = [
 
 
 def ranking_for_display(ranking: DataFrame):
-    """The few rows of :func:`top_restaurants` as a pandas frame with readable headings."""
-    return ranking.toDF(*RANKING_HEADINGS).toPandas()
+    """The rows of :func:`top_restaurants` (at most 100) as a pandas frame with readable headings."""
+    return ranking.toDF(*RANKING_HEADINGS).limit(100).toPandas()
 
 
 def top_per_month(restaurant_kpis: DataFrame, n: int = 10) -> DataFrame:

@@ -45,6 +45,9 @@ NET = "CAST(round(CAST(l_extendedprice AS DECIMAL(10,2)) * (1 - CAST(l_discount
 STATUS = "CASE o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'O' THEN 'Pending' WHEN 'P' THEN 'In Transit' END"
 CITIES, STATES = R.TIER_1 + R.TIER_2, list(R.STATE_CODES)
 
+# instants enter keys as microseconds, so that they look alike in every time zone
+STARTED = "epoch_us(CAST(eff_start AS TIMESTAMP))"
+
 BORN = "(DATE '1970-01-01' + CAST(floor(c_acctbal) AS INTEGER))"
 CUSTOMER_TEXT = f"""customer_text AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customerid, c_name AS name,
@@ -126,7 +129,7 @@ CUSTOMER_DIM = f"""{CUSTOMERS}, versions AS (
   UNION ALL
   SELECT n.*, '{DAY_1}', NULL FROM next_day n LEFT JOIN people p USING (customer_id)
   WHERE p.customer_id IS NULL OR p.segment <> n.segment), dim AS (
-  SELECT {_hk('customer_id', 'name', 'segment', 'balance', 'eff_start')} AS hk, customer_id, name, segment, balance,
+  SELECT {_hk('customer_id', 'name', 'segment', 'balance', STARTED)} AS hk, customer_id, name, segment, balance,
     eff_start, eff_end, eff_end IS NULL AS is_current FROM versions)"""
 
 
@@ -188,17 +191,17 @@ menu_versions AS (
     CASE WHEN category = 'MEDIUM' THEN TIMESTAMP '{DAY_1}' ELSE TIMESTAMP '2999-01-01' END AS high FROM menu
   UNION ALL SELECT menu_id, item_name, category, CAST(price + 5 AS DECIMAL(10,2)), '{DAY_1}', TIMESTAMP '{DAY_1}', TIMESTAMP '2999-01-01'
   FROM menu WHERE category = 'MEDIUM'),
-customer_d AS (SELECT *, {_hk('customer_id', 'name', 'segment', 'balance', 'eff_start')} AS hk FROM customer_versions),
-menu_d AS (SELECT *, {_hk('menu_id', 'item_name', 'category', 'price', 'eff_start')} AS hk FROM menu_versions),
+customer_d AS (SELECT *, {_hk('customer_id', 'name', 'segment', 'balance', STARTED)} AS hk FROM customer_versions),
+menu_d AS (SELECT *, {_hk('menu_id', 'item_name', 'category', 'price', STARTED)} AS hk FROM menu_versions),
 address_d AS (
-  SELECT address_id, {_hk('address_id', 'owner', 'city', 'kind', f"'{DAY_0}'")} AS hk FROM (
+  SELECT address_id, {_hk('address_id', 'owner', 'city', 'kind', f"epoch_us(TIMESTAMP '{DAY_0}')")} AS hk FROM (
     SELECT c_custkey * 2 AS address_id, c_custkey AS owner, {_nth(CITIES, 'c_nationkey')} AS city, 'Home' AS kind FROM customer)),
 restaurant_d AS (
-  SELECT s_suppkey AS restaurant_id, s_nationkey, {_hk('s_suppkey', 's_name', 's_nationkey', 'CAST(s_acctbal AS DECIMAL(10,2))', f"'{DAY_0}'")} AS hk FROM supplier),
+  SELECT s_suppkey AS restaurant_id, s_nationkey, {_hk('s_suppkey', 's_name', 's_nationkey', 'CAST(s_acctbal AS DECIMAL(10,2))', f"epoch_us(TIMESTAMP '{DAY_0}')")} AS hk FROM supplier),
 location_d AS (
-  SELECT n_nationkey AS location_id, {_hk('n_nationkey', _nth(CITIES, 'n_nationkey'), _nth(STATES, 'n_nationkey'), f"'{DAY_0}'")} AS hk FROM nation),
+  SELECT n_nationkey AS location_id, {_hk('n_nationkey', _nth(CITIES, 'n_nationkey'), _nth(STATES, 'n_nationkey'), f"epoch_us(TIMESTAMP '{DAY_0}')")} AS hk FROM nation),
 agent_d AS (
-  SELECT s_suppkey AS agent_id, {_hk('s_suppkey', 's_name', 's_nationkey', f"'{DAY_0}'")} AS hk FROM supplier)
+  SELECT s_suppkey AS agent_id, {_hk('s_suppkey', 's_name', 's_nationkey', f"epoch_us(TIMESTAMP '{DAY_0}')")} AS hk FROM supplier)
 SELECT CAST(l_linenumber AS BIGINT) AS order_item_id, l_orderkey AS order_id, c.hk AS customer_dim_key,
   a.hk AS customer_address_dim_key, r.hk AS restaurant_dim_key, l.hk AS restaurant_location_dim_key,
   m.hk AS menu_dim_key, g.hk AS delivery_agent_dim_key, {_hk('CAST(o_orderdate AS DATE)')} AS order_date_dim_key,
@@ -213,6 +216,14 @@ JOIN location_d l ON l.location_id = r.s_nationkey
 JOIN menu_d m ON m.menu_id = l_partkey AND o_orderdate >= m.low AND o_orderdate < m.high
 JOIN agent_d g ON g.agent_id = o_orderkey % (SELECT count(*) FROM supplier)"""
 
+# one item per item and order number
+FACT_LATEST = FACT.replace(
+    "FROM lineitem JOIN orders",
+    f"""FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_linenumber, l_orderkey ORDER BY l_shipdate DESC,
+    l_partkey DESC, l_suppkey DESC, CAST(l_quantity AS DECIMAL(10,2)) DESC, CAST(l_extendedprice AS DECIMAL(10,2)) DESC, {NET} DESC) AS rn
+  FROM lineitem) WHERE rn = 1) JOIN orders""",
+)
+
 ITEM_COLS = f"""CAST(l_linenumber AS BIGINT) AS order_item_id, l_orderkey AS order_id_fk, l_partkey AS menu_id_fk,
   CAST(l_quantity AS DECIMAL(10,2)) AS quantity, CAST(l_extendedprice AS DECIMAL(10,2)) AS price, {NET} AS subtotal,
   l_shipdate AS modified_dt"""
@@ -227,7 +238,10 @@ def statements() -> dict[str, str]:
         "ingest_with_lineage": f"""WITH {CUSTOMER_TEXT} SELECT customerid, name, email, true AS has_file_name,
   true AS has_file_time, 32 AS md5_length, true AS has_load_time FROM customer_text""",
         "delta_append": f"""WITH {ORDER_TEXT} SELECT orderid, orderdate, totalamount, status,
-  CASE status WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS load_id FROM order_text""",
+  CASE status WHEN 'F' THEN 'initial' WHEN 'O' THEN 'delta-1' ELSE 'delta-2' END AS load, 32 AS key_length, true AS has_times
+FROM order_text""",
+        "csv_rejects": """SELECT CAST(c_custkey AS VARCHAR) AS customerid, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS segment,
+  CASE c_mktsegment WHEN 'FURNITURE' THEN 'more fields than columns' ELSE 'landed' END AS outcome FROM customer""",
         "list_files": f"""WITH {ORDER_TEXT} SELECT status AS folder,
   CAST(sum(length(orderid) + length(orderdate) + length(totalamount) + 3) AS BIGINT) AS total_bytes FROM order_text GROUP BY status""",
         "csv_error_modes": """SELECT 'keep' AS mode, count(*) AS row_count,
@@ -269,6 +283,17 @@ FROM lineitem WHERE year(l_shipdate) <> 2001""",
   state_code, is_union_territory, capital_city_flag, city_tier FROM located""",
         "mask_by_tag": f"""WITH {CUSTOMER_TEXT}, clean AS (SELECT {CUSTOMER_COLS} FROM customer_text)
 SELECT * REPLACE ('** PII **' AS mobile, '** EMAIL **' AS email, '** PII **' AS gender, '** PII **' AS dob) FROM clean""",
+        "mask_after_merge": f"""WITH parts AS (
+  SELECT 'stage' AS part, c_custkey FROM customer WHERE NOT (c_mktsegment = 'BUILDING' AND c_acctbal > 5000)
+  UNION ALL SELECT 'clean', c_custkey FROM customer
+  UNION ALL SELECT 'changes', c_custkey FROM customer, range(CASE WHEN c_acctbal < 0 THEN 2 WHEN c_mktsegment = 'BUILDING' AND c_acctbal > 5000 THEN 1 ELSE 0 END)
+  UNION ALL SELECT 'dimension', c_custkey FROM customer, range(CASE WHEN c_acctbal < 0 THEN 2 ELSE 1 END))
+SELECT part, CAST(c_custkey AS VARCHAR) AS customer_id, '** PII **' AS mobile, '** EMAIL **' AS email, '** PII **' AS gender, '** PII **' AS dob FROM parts""",
+        "merge_with_sk": f"""WITH {CUSTOMERS}, old AS (SELECT *, row_number() OVER (ORDER BY customer_id) AS customer_sk FROM people)
+SELECT o.customer_sk, o.customer_id, coalesce(n.name, o.name) AS name, coalesce(n.segment, o.segment) AS segment,
+  coalesce(n.balance, o.balance) AS balance FROM old o LEFT JOIN next_day n USING (customer_id)
+UNION ALL SELECT (SELECT count(*) FROM people) + row_number() OVER (ORDER BY customer_id), customer_id, name, segment, balance
+FROM next_day WHERE customer_id NOT IN (SELECT customer_id FROM people)""",
         "hash_key": f"""WITH {CUSTOMER_TEXT} SELECT customerid, {_hk('customerid', 'name', 'anniversary')} AS hk,
   {_hk('loginbyusing', 'gender')} AS subset_hk, {_sha(['customerid', 'anniversary'])} AS wide_hk FROM customer_text""",
         "surrogate_key": f"""SELECT 1000 + row_number() OVER (ORDER BY {_hk('o_orderkey')} % 16, o_orderkey) AS order_sk,
@@ -322,6 +347,9 @@ UNION ALL SELECT 'INSERT', old_id IS NOT NULL, new_id, new_name, new_segment, ne
 WHERE customer_id NOT IN (SELECT customer_id FROM people)""",
         "scd2_apply": f"WITH {CUSTOMER_DIM} SELECT * FROM dim",
         "dim_current": f"WITH {CUSTOMER_DIM} SELECT * FROM dim WHERE is_current",
+        "scd2_multi_change": f"""WITH {_log()} SELECT {_hk('user_id', 'event_type', 'epoch_us(eff_start)')} AS hk, user_id, event_type,
+  CAST(eff_start AS VARCHAR) AS eff_start, CAST(eff_end AS VARCHAR) AS eff_end, eff_end IS NULL AS is_current FROM dim""",
+        "scd2_null_keys": f"WITH {CUSTOMER_DIM} SELECT * FROM dim WHERE customer_id NOT LIKE 'S%'",
         "scd2_match_subset": f"""WITH {_locations('supplier')}, rows AS (
   SELECT {_hk('city', 'state', 'state_code', 'zip_code')} AS restaurant_location_hk, {LOCATION_COLS}, balance FROM located)
 SELECT * EXCLUDE (balance), 'Yes' AS active_flag, '{DAY_0}' AS eff_start,
@@ -330,7 +358,7 @@ UNION ALL SELECT * EXCLUDE (balance), 'No', '{DAY_1}', NULL, true FROM rows WHER
         "scd2_insert_only": f"""WITH rows AS (SELECT p_partkey AS menu_id, p_name AS item_name, p_type AS category,
   CAST(CAST(p_retailprice AS DECIMAL(10,2)) - CASE WHEN p_type = 'PROMO' THEN 0 ELSE 1 END AS DECIMAL(10,2)) AS price,
   CASE WHEN p_type = 'PROMO' THEN '{DAY_1}' ELSE '{DAY_0}' END AS eff_start, CAST(NULL AS VARCHAR) AS eff_end, true AS is_current FROM part)
-SELECT {_hk('menu_id', 'item_name', 'category', 'price', 'eff_start')} AS menu_dim_hk, * FROM rows""",
+SELECT {_hk('menu_id', 'item_name', 'category', 'price', STARTED)} AS menu_dim_hk, * FROM rows""",
         "scd2_from_log": f"""WITH {_log()} SELECT hk, user_id, event_type, CAST(eff_start AS VARCHAR) AS eff_start,
   CAST(eff_end AS VARCHAR) AS eff_end, eff_end IS NULL AS is_current FROM dim""",
         "dim_as_of": f"""WITH {_log("event_type <> 'purchase'")}
@@ -338,12 +366,9 @@ SELECT e.event_id, e.user_id, CAST(e.ts AS VARCHAR) AS ts, e.value, d.hk AS stat
 FROM events e LEFT JOIN dim d ON e.user_id = d.user_id AND e.ts >= d.eff_start AND (d.eff_end IS NULL OR e.ts < d.eff_end)
 WHERE e.event_type = 'purchase'""",
         "fact_build": FACT,
-        "fact_merge": f"""WITH ranked AS (
-  SELECT CAST(l_linenumber AS BIGINT) AS order_item_id, l_orderkey AS order_id, l_partkey AS menu_id_fk, {NET} AS subtotal,
-    row_number() OVER (PARTITION BY l_linenumber, l_orderkey ORDER BY l_shipdate DESC, {NET} DESC, l_partkey DESC) AS rn FROM lineitem)
-SELECT order_item_id, order_id, menu_id_fk, subtotal,
-  CASE o_orderstatus WHEN 'O' THEN 'Pending' ELSE 'Delivered' END AS delivery_status
-FROM ranked JOIN orders ON order_id = o_orderkey WHERE rn = 1""",
+        "fact_merge": FACT_LATEST.replace(f"{STATUS} AS delivery_status", "CASE o_orderstatus WHEN 'O' THEN 'Pending' ELSE 'Delivered' END AS delivery_status"),
+        "fact_with_sk": f"""WITH f AS ({FACT_LATEST}) SELECT row_number() OVER (ORDER BY order_item_id, order_id) AS order_item_fact_sk,
+  order_item_id, order_id, subtotal FROM f""",
         "yearly_revenue": _kpi("year"),
         "monthly_revenue": _kpi("year, month"),
         "daily_revenue": _kpi("year, month, day"),
@@ -370,6 +395,11 @@ WHERE year = 1998 AND month = 3 ORDER BY total_revenue DESC, restaurant_name, de
   ORDER BY total_revenue DESC, restaurant_name, delivery_status) AS INTEGER) AS rank FROM kpis) SELECT * FROM ranked WHERE rank <= 5""",
         "stream_upsert": """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+        "bucket_delete": "SELECT * FROM nation WHERE n_regionkey <> 0",
+        "stream_entity": f"""WITH {CUSTOMER_TEXT} SELECT customerid AS customer_id, login, login AS login_by_using, since, NULL AS reason FROM (
+  SELECT customerid, CASE WHEN c_acctbal < 0 THEN 'Google' ELSE loginbyusing END AS login,
+    CASE WHEN c_acctbal < 0 OR (loginbyusing = 'BUILDING' AND c_acctbal > 5000) THEN '{DAY_1}' ELSE '{DAY_0}' END AS since FROM customer_text)
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'customerid missing' FROM range(2)""",
         "stream_daily_revenue": """SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS calendar_date,
   CAST(sum(CAST(o_totalprice AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS total_revenue, count(*) AS total_orders
 FROM orders GROUP BY CAST(o_orderdate AS DATE)""",

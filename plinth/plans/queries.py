@@ -5,6 +5,8 @@ Dates and timestamps leave as ISO text, so results of two engines compare value
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from plinth.operators.masking import mask_by_tag
 from plinth.operators.merge import merge
 from plinth.operators.ordered import asof_join, big_keys
 from plinth.operators.scd2 import (
-    dim_current, new_versions, scd2_apply, scd2_from_log, scd2_match_on, valid_from,
+    dim_current, empty_dim, new_versions, scd2_apply, scd2_from_log, scd2_match_on, valid_from,
 )
 from plinth.plans import entities as E
 from plinth.plans import fact, kpi, layers
@@ -68,16 +70,36 @@ def ingest_with_lineage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def delta_append(spark: SparkSession, sf: str) -> DataFrame:
-    """An initial drop and two delta drops, appended to one stage table load by load."""
+    """An initial drop and two delta drops, copied to one stage table; the last once more, in vain."""
     drop, stage = new_dir(spark, "order-drop"), new_dir(spark, "order-stage")
     loads = given.order_text(spark, sf).withColumn(
         "load", F.when(F.col("status") == "F", "initial").when(F.col("status") == "O", "delta-1").otherwise("delta-2")
     )
     csv_drop.write_csv(loads, drop, partition_by=["load"])
-    for number, load in enumerate(("initial", "delta-1", "delta-2"), start=1):
-        rows = csv_drop.read_positional(spark, f"{drop}/load={load}", E.ORDERS.stage, on_error="abort")
-        rows.withColumn("load_id", F.lit(number)).write.mode("append").parquet(stage)
-    return spark.read.parquet(stage).select("orderid", "orderdate", "totalamount", "status", "load_id")
+    for load in ("initial", "delta-1", "delta-2", "delta-2"):
+        csv_drop.copy_into(spark, f"{drop}/load={load}", E.ORDERS.stage, stage)
+    return spark.read.parquet(stage).select(
+        "orderid", "orderdate", "totalamount", "status",
+        F.regexp_extract("_stg_file_name", "load=([a-z0-9-]+)/", 1).alias("load"),
+        F.length("_stg_file_md5").alias("key_length"),
+        (F.col("_stg_file_load_ts").isNotNull() & F.col("_copy_data_ts").isNotNull()).alias("has_times"),
+    )
+
+
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of one segment come with a field too many, of another with one too few; none is lost."""
+    drop, stage = new_dir(spark, "uneven-drop"), new_dir(spark, "uneven-stage")
+    fields = ["customerid", "name", "loginbyusing"]
+    segment = F.col("loginbyusing")
+    given.customer_text(spark, sf).select(
+        F.when(segment == "FURNITURE", F.concat_ws(",", *fields, F.lit("more")))
+        .when(segment == "BUILDING", F.concat_ws(",", *fields[:2])).otherwise(F.concat_ws(",", *fields)).alias("value")
+    ).write.text(drop)
+    csv_drop.copy_into(spark, drop, fields, stage, on_error="keep", options={"header": "false"})
+    landed = spark.read.parquet(stage).select("customerid", segment.alias("segment"), F.lit("landed").alias("outcome"))
+    parts = F.split("_corrupt_record", ",")
+    rejected = spark.read.parquet(f"{stage}_rejects").select(parts[0].alias("customerid"), parts[2].alias("segment"), "_reason")
+    return landed.unionByName(rejected.withColumnRenamed("_reason", "outcome"))
 
 
 def list_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,7 +161,7 @@ def quarantine_copy(spark: SparkSession, sf: str) -> DataFrame:
 
 def quarantine_reasons(spark: SparkSession, sf: str) -> DataFrame:
     """All reasons of every line item that the order-item merge cannot take."""
-    rows = given.order_item_stage(spark, sf).withColumn(
+    rows = given.order_item_text(spark, sf).withColumn(
         "subtotal", F.when(F.col("price").cast("decimal(10,2)") > 90000, F.concat("subtotal", F.lit(" INR"))).otherwise(F.col("subtotal"))
     )
     _, bad = layers.split_stage(rows, E.ORDER_ITEM)
@@ -147,7 +169,7 @@ def quarantine_reasons(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def castability_report(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.castability_report(given.order_item_stage(spark, sf), E.ORDER_ITEM.must_cast)
+    return quality.castability_report(given.order_item_text(spark, sf), E.ORDER_ITEM.must_cast)
 
 
 def delete_where_like(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,7 +241,7 @@ def clean_menu(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_order_item(spark: SparkSession, sf: str) -> DataFrame:
-    valid, _ = layers.split_stage(given.order_item_stage(spark, sf), E.ORDER_ITEM)
+    valid, _ = layers.split_stage(given.order_item_text(spark, sf), E.ORDER_ITEM)
     return iso(layers.clean_rows(valid, E.ORDER_ITEM))
 
 
@@ -240,6 +262,26 @@ def mask_customers(spark: SparkSession, sf: str) -> DataFrame:
     return iso(mask_by_tag(layers.clean_rows(given.customer_text(spark, sf), E.CUSTOMER)))
 
 
+def mask_after_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Stage, clean table, change rows and dimension are all masked after an upsert."""
+    initial, delta = given.customer_files(spark, sf)
+    entity = E.CUSTOMER
+    before, batch = (layers.clean_rows(df, entity) for df in (initial, delta))
+    merged = layers.merge_clean(before, batch, entity)
+    dim = new_versions(before, entity.keys, entity.tracked, given.at(given.DAY_0), entity.hk)
+    parts = {
+        "stage": layers.tag_stage(initial, entity).withColumnRenamed("customerid", "customer_id"),
+        "clean": merged.table(), "changes": merged.changes(),
+        "dimension": layers.apply_dim(dim, merged.changes(), entity, given.at(given.DAY_1)),
+    }
+    shown = ["customer_id", "mobile", "email", "gender", "dob"]
+    masked = [
+        mask_by_tag(df, expected=entity.tags).select(F.lit(part).alias("part"), *[F.col(c).cast("string").alias(c) for c in shown])
+        for part, df in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, masked)
+
+
 # --- keys and checks ---------------------------------------------------------------------------
 
 
@@ -278,7 +320,7 @@ def check_fk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
-    stage = given.order_item_stage(spark, sf)
+    stage = given.order_item_text(spark, sf)
     valid, bad = layers.split_stage(stage, E.ORDER_ITEM)
     clean = latest_per_key(layers.clean_rows(valid, E.ORDER_ITEM), E.ORDER_ITEM.keys, [E.ORDER_ITEM.modified])
     return quality.layer_counts({"stage": stage, "quarantine": bad, "clean": clean})
@@ -330,6 +372,13 @@ def merge_composite_key(spark: SparkSession, sf: str) -> DataFrame:
     return iso(merge(target, rows.where(~early), keys, order_by=order).table())
 
 
+def merge_with_sk(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of day 1 merged into numbered customers of day 0; new ones continue the numbers."""
+    day_0, day_1 = _customer_days(spark, sf)
+    numbered = surrogate_key(day_0, CUSTOMER_KEY, "customer_sk")
+    return merge(numbered, day_1, CUSTOMER_KEY, number="customer_sk").table()
+
+
 # --- change streams and dimensions --------------------------------------------------------------
 
 
@@ -369,6 +418,31 @@ def dim_current_customers(spark: SparkSession, sf: str) -> DataFrame:
     return iso(dim_current(_customer_dim(spark, sf)))
 
 
+def scd2_multi_change(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in two batches, each with many changes per user, chained at their own times."""
+    events = given.table(spark, sf, "events")
+    states = events.groupBy("user_id", "ts").agg(F.max_by("event_type", "event_id").alias("event_type"))
+    images = states.select(F.lit("INSERT").alias("_action"), F.lit(True).alias("_is_update"), "*")
+    early = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    key, tracked = ["user_id"], ["event_type"]
+    dim = scd2_apply(empty_dim(states, key, tracked), images.where(early), key, tracked, F.lit(None), at="ts")
+    return iso(scd2_apply(dim, images.where(~early), key, tracked, F.lit(None), at="ts"))
+
+
+def scd2_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers that come in as customers without an id open no version, in two runs."""
+    day_0, day_1 = _customer_days(spark, sf)
+    unnamed = F.when(F.col("segment") != "SUPPLIER", F.col("customer_id"))
+    day_1 = day_1.withColumn("customer_id", unnamed)
+    dim = new_versions(day_0, CUSTOMER_KEY, CUSTOMER_TRACKED, given.at(given.DAY_0))
+    for _ in range(2):
+        images = snapshot_diff(day_0, day_1, CUSTOMER_KEY).unionByName(
+            day_1.where("customer_id IS NULL").select(F.lit("INSERT").alias("_action"), F.lit(False).alias("_is_update"), "*")
+        )
+        dim = scd2_apply(dim, images, CUSTOMER_KEY, CUSTOMER_TRACKED, given.at(given.DAY_1))
+    return iso(dim)
+
+
 def scd2_match_subset(spark: SparkSession, sf: str) -> DataFrame:
     """Location dimension in the literal merge form, matched on id and active flag."""
     initial, again = given.location_files(spark, sf)
@@ -462,37 +536,47 @@ def fact_build(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Deliveries in transit arrive: the items of their orders are rebuilt and merged."""
-    items = latest_per_key(
-        given.order_items(spark, sf).select(
-            "order_item_id", "order_id_fk", "subtotal", "menu_id_fk", "modified_dt"
-        ),
-        ["order_item_id", "order_id_fk"], ["modified_dt"],
-    )
-    before = given.order_status(spark, sf)
-    after = before.withColumn(
-        "delivery_status",
-        F.when(F.col("delivery_status") == "In Transit", "Delivered").otherwise(F.col("delivery_status")),
-    )
-    changes = snapshot_diff(before, after, ["order_id_fk"])
+    """Deliveries in transit arrive: the fact rows of their orders are rebuilt with all their keys
+    and merged into the stored fact, of which only the buckets they are in are written."""
+    items, orders, dims = _latest_items(spark, sf), given.orders(spark, sf), dimensions(spark, sf)
+    before = given.deliveries(spark, sf)
+    arrived = F.when(F.col("delivery_status") == "In Transit", "Delivered").otherwise(F.col("delivery_status"))
+    after = before.withColumn("delivery_status", arrived)
+    changes = snapshot_diff(before, after, ["delivery_id"])
     moved = changes.where(F.col("_action") == "INSERT").select(F.col("order_id_fk").alias("order_id"))
+    first = fact.build_fact(items, orders, before, dims)
+    stored = BucketedTable(new_dir(spark, "fact"), first.schema, fact.FACT_KEYS, _tasks(spark))
+    stored.create(first)
+    rebuilt = fact.build_fact(fact.touched_items(items, [moved], items.limit(0)), orders, after, dims)
+    stored.upsert(rebuilt, 1, lambda old, new: fact.merge_fact(old, new).table())
+    return stored.read(spark)
 
-    def rows(lines: DataFrame, status: DataFrame) -> DataFrame:
-        return lines.join(status, "order_id_fk").select(
-            "order_item_id", F.col("order_id_fk").alias("order_id"), "menu_id_fk", "subtotal", "delivery_status"
-        )
 
-    rebuilt = rows(fact.touched_items(items, [moved], items.limit(0)), after)
-    return fact.merge_fact(rows(items, before), rebuilt).table()
+def _tasks(spark: SparkSession) -> int:
+    """Buckets of a table written by a query: as many as a shuffle of the session has partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _latest_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items, one per item and order number."""
+    return latest_per_key(given.order_items(spark, sf), ["order_item_id", "order_id_fk"], ["modified_dt"])
+
+
+def fact_with_sk(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact rows with a surrogate key of their own."""
+    rows = fact.build_fact(
+        _latest_items(spark, sf), given.orders(spark, sf), given.deliveries(spark, sf), dimensions(spark, sf)
+    )
+    return surrogate_key(rows, fact.FACT_KEYS, "order_item_fact_sk").select("order_item_fact_sk", *fact.FACT_KEYS, "subtotal")
 
 
 def _totals(spark: SparkSession, sf: str, status: str | None = kpi.DELIVERED, named: bool = False) -> DataFrame:
-    items = given.order_items(spark, sf)
+    sums = kpi.order_totals(given.order_items(spark, sf), by=["restaurant_id_fk"] if named else [])
     if named:
-        items = kpi.with_restaurant(items, given.restaurants(spark, sf), "restaurant_id_fk", "restaurant_id")
-    return kpi.totals_from_clean(
-        items, given.orders(spark, sf), given.order_status(spark, sf), given.calendar(spark, sf),
-        status=status, by=["restaurant_name"] if named else [],
+        sums = kpi.with_restaurant(sums, given.restaurants(spark, sf), "restaurant_id_fk", "restaurant_id")
+        sums = kpi.sum_again(sums, ["order_id", "restaurant_name"])
+    return kpi.totals_from_sums(
+        sums, given.orders(spark, sf), given.order_status(spark, sf), given.calendar(spark, sf), status=status
     )
 
 
@@ -562,7 +646,10 @@ def append_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Event files of several days, upserted batch by batch; the newest event of a user stays."""
+    """Event files of several days, upserted batch by batch; the newest event of a user stays.
+
+    :func:`stream_entity` adds quarantine, clean step and dimension.
+    """
     landing = new_dir(spark, "event-files")
     events = given.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
     events.withColumn("part", F.dayofmonth("ts") % 4).write.partitionBy("part").parquet(landing)
@@ -574,14 +661,55 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return iso(table.read(spark))
 
 
+def bucket_delete(spark: SparkSession, sf: str) -> DataFrame:
+    """A bucketed table after an upsert that empties some of its buckets."""
+    nations = given.table(spark, sf, "nation")
+    table = BucketedTable(new_dir(spark, "nations"), nations.schema, ["n_nationkey"], 64)
+    table.create(nations)
+    gone = nations.where(F.col("n_regionkey") == 0)
+    table.upsert(gone, 1, lambda old, new: old.join(new, ["n_nationkey"], "left_anti").select(*old.columns))
+    return table.read(spark)
+
+
+def stream_entity(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer files through quarantine, clean table and dimension, file by file: the current
+    versions next to the clean rows, and the rejected rows."""
+    entity, root, landing = E.CUSTOMER, new_dir(spark, "customer-stream"), new_dir(spark, "customer-landing")
+    initial, delta = given.customer_files(spark, sf)
+    # a row of each file has no id
+    for n, rows in enumerate((initial, delta)):
+        csv_drop.write_csv(rows.unionByName(rows.limit(1).withColumn("customerid", F.lit(None).cast("string"))), f"{landing}/{n}")
+    clean_schema = layers.clean_rows(initial, entity).schema
+    clean = BucketedTable(f"{root}/clean", clean_schema, entity.keys, _tasks(spark), f"{root}/log")
+    opened = empty_dim(spark.createDataFrame([], clean_schema), entity.keys, entity.tracked, entity.hk)
+    dim = BucketedTable(f"{root}/dim", opened.schema, entity.keys, _tasks(spark), f"{root}/log")
+    clean.create(spark.createDataFrame([], clean_schema))
+    dim.create(opened)
+    days = [given.DAY_0, given.DAY_1]
+    # batches are numbered from 0; both folders hold one load
+    batch = upsert.entity_batch(entity, clean, dim, f"{root}/rejects", lambda n: given.at(days[min(n, 1)]))
+    for n in range(2):
+        stream = ingest.csv_stream(spark, f"{landing}/{{{','.join(map(str, range(n + 1)))}}}", entity.stage)
+        upsert.run_available(stream, batch, f"{root}/checkpoint").awaitTermination()
+    current = dim_current(dim.read(spark)).select("customer_id", "login_by_using", F.col("eff_start").cast("string").alias("since"))
+    rows = clean.read(spark).select("customer_id", F.col("login_by_using").alias("login")).join(current, "customer_id")
+    rejected = spark.read.schema("_reason string").parquet(f"{root}/rejects")
+    return rows.select("customer_id", "login", "login_by_using", "since", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejected.select(*[F.lit(None).cast("string").alias(c) for c in ("customer_id", "login", "login_by_using", "since")], F.col("_reason").alias("reason"))
+    )
+
+
 def stream_daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    """Order value per day, kept up to date by a windowed stream."""
-    schema = given.table(spark, sf, "orders").schema
-    orders = ingest.parquet_stream(spark, sf, schema, glob="orders.parquet").select(
+    """Order value per day from files that land newest first, one a batch; late orders count."""
+    landing = new_dir(spark, "order-landing")
+    rows = given.table(spark, sf, "orders").select(
         F.col("o_orderdate").cast("timestamp").alias("ordered_at"), given.money("o_totalprice").alias("amount")
     )
+    for n, (low, high) in enumerate([(1999, 9999), (1997, 1998), (0, 1996)]):
+        rows.where(F.year("ordered_at").between(low, high)).write.parquet(f"{landing}/load={n}")
+    orders = ingest.parquet_stream(spark, f"{landing}/load=*", rows.schema, files_per_batch=1)
     days = revenue.daily_revenue(orders, "ordered_at", "amount")
-    table = BucketedTable(new_dir(spark, "daily-revenue"), days.schema, ["calendar_date"], 4)
+    table = BucketedTable(new_dir(spark, "daily-revenue"), days.schema, ["calendar_date"], _tasks(spark))
     table.create(spark.createDataFrame([], days.schema))
     batch = upsert.replace_batch(table)
     upsert.run_available(days, batch, new_dir(spark, "revenue-checkpoint"), "update").awaitTermination()

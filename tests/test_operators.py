@@ -1,6 +1,7 @@
 """Operators on small fixtures, against brute force where it says more than an example."""
 
 import random
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -16,7 +17,7 @@ from plinth.operators.joins import heavy_keys, lookup_dim, salted_join
 from plinth.operators.latest import latest_per_key
 from plinth.operators.masking import mask_by_tag, tag_columns
 from plinth.operators.merge import merge
-from plinth.operators.ordered import asof_join
+from plinth.operators.ordered import add_slice, asof_join, big_keys
 from plinth.operators.scd2 import dim_current, new_versions, scd2_apply, scd2_from_log, scd2_match_on, valid_from
 
 
@@ -321,3 +322,111 @@ def test_tags_are_checked_and_unmasked_tags_stay(spark):
     assert tuple(mask_by_tag(tagged).first()) == ("a", "** Phone **")
     joined = tagged.join(df.select("x"), "x")
     assert tuple(mask_by_tag(joined).first()) == ("a", "** Phone **")
+
+
+# --- batches of any shape -------------------------------------------------------------------------
+
+
+def image(action, update, k, a, at=None):
+    return (action, update, k, a, at)
+
+
+def images(spark, *rows):
+    return spark.createDataFrame([(*r[:4], None if r[4] is None else datetime(2024, 1, r[4])) for r in rows], "_action string, _is_update boolean, k bigint, a string, at timestamp")
+
+
+def open_dim(spark, *rows):
+    base = spark.createDataFrame(list(rows), "k bigint, a string")
+    return new_versions(base, ["k"], ["a"], F.lit("2024-01-01").cast("timestamp"))
+
+
+def test_several_changes_of_a_key_are_chained(spark):
+    dim = open_dim(spark, (1, "A"), (2, "X"))
+    batch = images(
+        spark, image("INSERT", True, 1, "B", 5), image("INSERT", True, 1, "C", 9), image("DELETE", False, 2, "X", 4),
+        image("INSERT", False, 2, "Y", 6), image("INSERT", False, None, "Z", 6), image("INSERT", False, 3, "N", 7),
+    )
+    after = scd2_apply(dim, batch, ["k"], ["a"], F.lit(None), at="at")
+    got = {(r.k, r.a, r.eff_start.day, r.eff_end and r.eff_end.day, r.is_current) for r in after.collect()}
+    assert got == {
+        (1, "A", 1, 5, False), (1, "B", 5, 9, False), (1, "C", 9, None, True), (2, "X", 1, 4, False), (2, "Y", 6, None, True),
+        (3, "N", 7, None, True),
+    }
+    with pytest.raises(Exception, match="older"):
+        scd2_apply(after, images(spark, image("INSERT", True, 1, "D", 8)), ["k"], ["a"], F.lit(None), at="at").collect()
+
+
+def test_without_times_several_images_or_an_old_batch_fail(spark):
+    dim, day = open_dim(spark, (1, "A")), F.lit("2024-01-05").cast("timestamp")
+    two = images(spark, image("INSERT", True, 1, "B"), image("INSERT", True, 1, "C"))
+    with pytest.raises(Exception, match="several changes"):
+        scd2_apply(dim, two, ["k"], ["a"], day).collect()
+    with pytest.raises(Exception, match="older"):
+        scd2_apply(dim, images(spark, image("INSERT", True, 1, "B")), ["k"], ["a"], F.lit("2023-01-01").cast("timestamp")).collect()
+
+
+def test_a_null_key_opens_no_version_and_is_no_change(spark):
+    rows = spark.createDataFrame([(None, "Q"), (1, "A")], "k bigint, a string")
+    assert snapshot_diff(rows, rows, ["k"]).collect() == []
+    dim = open_dim(spark, (1, "A"))
+    for _ in range(2):
+        dim = scd2_apply(dim, images(spark, image("INSERT", False, None, "Q")), ["k"], ["a"], F.lit("2024-01-05").cast("timestamp"))
+    assert dim.count() == 1
+
+
+def test_deleted_and_back_in_one_batch_is_one_change(spark):
+    dim = open_dim(spark, (1, "A"))
+    batch = images(spark, image("DELETE", False, 1, "A"), image("INSERT", False, 1, "B"))
+    after = scd2_apply(dim, batch, ["k"], ["a"], F.lit("2024-01-05").cast("timestamp"))
+    assert {(r.a, r.is_current) for r in after.collect()} == {("A", False), ("B", True)}
+
+
+def test_keys_do_not_depend_on_the_session_zone(spark):
+    keys = []
+    for zone in ("UTC", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        rows = spark.range(3).select(F.col("id").alias("k"), F.lit("A").alias("a"))
+        dim = new_versions(rows, ["k"], ["a"], F.timestamp_seconds(F.lit(1_700_000_000)))
+        keys.append(sorted(r.hk for r in dim.collect()))
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert keys[0] == keys[1]
+
+
+def test_tags_stay_through_merge_diff_and_dimension(spark):
+    rows = tag_columns(spark.createDataFrame([(1, "x")], "k bigint, a string"), {"a": "PII"})
+    new = tag_columns(spark.createDataFrame([(1, "y"), (2, "z")], "k bigint, a string"), {"a": "PII"})
+    merged = merge(rows, new, ["k"])
+    dim = scd2_apply(new_versions(rows, ["k"], ["a"], F.lit("2024-01-01").cast("timestamp")), merged.changes(), ["k"], ["a"], F.lit("2024-01-05").cast("timestamp"))
+    for df in (merged.table(), merged.changes(), snapshot_diff(rows, new, ["k"]), dim):
+        assert {r.a for r in mask_by_tag(df, expected={"a": "PII"}).collect()} == {"** PII **"}
+    with pytest.raises(ValueError, match="missing"):
+        mask_by_tag(spark.createDataFrame([(1, "x")], "k bigint, a string"), expected={"a": "PII"})
+
+
+def test_inserted_rows_continue_the_surrogate_keys(spark):
+    rows = surrogate_key(spark.createDataFrame([(3, "x"), (5, "y")], "k bigint, a string"), ["k"], "sk", start=10)
+    new = spark.createDataFrame([(5, "Y"), (1, "z"), (9, "w")], "k bigint, a string")
+    after = {(r.k, r.a): r.sk for r in merge(rows, new, ["k"], number="sk").table().collect()}
+    assert after == {(3, "x"): 11, (5, "Y"): 12, (1, "z"): 13, (9, "w"): 14}
+
+
+def test_default_surrogate_keys_do_not_depend_on_the_session(spark):
+    rows, found = spark.range(50).select((F.col("id") * 7).alias("k")), []
+    for n in ("3", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(rows_of(surrogate_key(rows, ["k"])))
+    assert found[0] == found[1]
+
+
+def test_late_rows_are_ignored_on_request(spark):
+    old = spark.createDataFrame([(1, 20, "new"), (2, None, "first")], "k bigint, t bigint, a string")
+    late = spark.createDataFrame([(1, 10, "late"), (2, 5, "second")], "k bigint, t bigint, a string")
+    assert rows_of(merge(old, late, ["k"], newer_than="t").table()) == [(1, 20, "new"), (2, 5, "second")]
+
+
+def test_a_stray_timestamp_does_not_undo_the_slices(spark):
+    line = spark.range(20_000).select(F.lit(1).alias("k"), F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 1000).alias("t"))
+    line = line.unionByName(spark.createDataFrame([(1, datetime(1970, 1, 2))], "k int, t timestamp"))
+    sliced = add_slice(line, ["k"], "t", big_keys(line, ["k"], "t", 1000))
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 20_001 and max(sizes) < 2000

@@ -13,7 +13,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.warehouse_queries()))
 def test_query_matches_sql(spark, con, name):
     assert compare(spark, con, name, SF) == ""
 

@@ -11,6 +11,7 @@ from plinth.operators.scd2 import dim_current, empty_dim
 from plinth.plans import fact, kpi, queries as q
 from plinth.session import new_dir, scratch_root
 from plinth.sources import csv_drop, given
+from plinth.sources import manifest
 from plinth.sources.bucketed import BucketedTable
 from plinth.streaming import ingest, revenue, upsert
 
@@ -124,16 +125,38 @@ def test_reports_can_query_the_views_by_name(spark):
 # --- files ----------------------------------------------------------------------------------------
 
 
-def test_large_files_get_a_content_key_without_being_held_in_one_row(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("h\n" + "1,2\n" * 50)
-    (tmp_path / "b.csv").write_text("h\n" + "1,2\n" * 49 + "1,3\n")
-    (tmp_path / "c.csv").write_text("h\n" + "1,2\n" * 50)
-    keys = {
-        r.path[-5:]: r.content_key for r in csv_drop.file_digests(spark, str(tmp_path), whole_file_bytes=10).collect()
-    }
-    assert keys["a.csv"] == keys["c.csv"] != keys["b.csv"] and len(keys["a.csv"]) == 32
-    whole = {r.path[-5:]: r.content_key for r in csv_drop.file_digests(spark, str(tmp_path)).collect()}
-    assert whole["a.csv"] == whole["c.csv"] != whole["b.csv"] and set(whole) == set(keys)
+def test_content_keys_see_the_order_of_lines_and_not_the_splits(spark, tmp_path):
+    lines = [f"{i},{i % 7}\n" for i in range(400)]
+    swapped = [lines[1], lines[0], *lines[2:]]
+    for name, text in {"a": lines, "b": swapped, "c": lines}.items():
+        (tmp_path / f"{name}.csv").write_text("".join(text))
+
+    def keys() -> dict:
+        return {r.path[-5]: r.content_key for r in csv_drop.file_digests(spark, str(tmp_path)).collect()}
+
+    whole = keys()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200b")
+    try:
+        assert keys() == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert whole["a"] == whole["c"] and whole["a"] != whole["b"] and len(whole["a"]) == 32
+
+
+def test_copy_loses_no_row_and_loads_a_file_once(spark, tmp_path):
+    drop, stage = tmp_path / "drop", str(tmp_path / "stage")
+    drop.mkdir()
+    (drop / "a.csv").write_text("x,y,z\n1,a,b,c\n2,a\n3,a,b\n")
+    for _ in range(2):
+        csv_drop.copy_into(spark, str(drop), ["x", "y", "z"], stage, on_error="keep")
+    assert rows_of(spark.read.parquet(stage).select("x", "y", "z")) == [("2", "a", None), ("3", "a", "b")]
+    (bad,) = spark.read.parquet(f"{stage}_rejects").collect()
+    assert (bad._corrupt_record, bad._reason) == ("1,a,b,c", "more fields than columns") and bad._stg_file_name.endswith("a.csv")
+    (drop / "b.csv").write_text("x,y,z\n9,a,b\n8\n")
+    csv_drop.copy_into(spark, str(drop), ["x", "y", "z"], stage, on_error="continue")
+    assert spark.read.parquet(stage).count() == 3
+    reasons = {r._corrupt_record: r._reason for r in spark.read.parquet(f"{stage}_rejects").collect()}
+    assert reasons == {"1,a,b,c": "more fields than columns", "8": "fewer fields than columns"}
 
 
 def test_corrupt_rows_can_be_kept_as_text(spark, tmp_path):
@@ -186,14 +209,30 @@ def test_upsert_writes_only_touched_buckets_and_can_be_repeated(spark, tmp_path)
     assert rows_of(table.read(spark, 0)) == rows_of(state(spark, *[(i, 0, "old") for i in range(100)]))
 
 
+def test_buckets_that_become_empty_stay_empty_and_drafts_are_not_read(spark, tmp_path):
+    table = BucketedTable(str(tmp_path / "t"), state(spark).schema, ["id"], 4)
+    table.create(state(spark, *[(i, 0, "old") for i in range(6)]))
+    everything = table.read(spark)
+    remove = lambda old, new: old.join(new, ["id"], "left_anti").select(*old.columns)
+    table.stage(everything, 1, remove)  # written, but its version is never published
+    assert table.read(spark).count() == 6
+    table.upsert(everything, 1, remove)
+    assert table.read(spark).count() == 0 and table.read(spark, 0).count() == 6
+    table.upsert(state(spark, (7, 1, "new")), 2, lambda old, new: new)
+    manifest.prune(spark, table._log, keep=1)
+    assert rows_of(table.read(spark)) == [(7, 1, "new")]
+    assert not list((tmp_path / "t" / "v=0").glob("_bucket=*"))
+
+
 def test_stream_keeps_clean_table_and_dimension(spark, tmp_path):
     """Three files, the second with a late row: the clean table keeps the newest, versions follow."""
     landing = tmp_path / "landing"
     landing.mkdir()
-    clean = BucketedTable(str(tmp_path / "clean"), state(spark).schema, ["id"], 4)
+    log = str(tmp_path / "log")
+    clean = BucketedTable(str(tmp_path / "clean"), state(spark).schema, ["id"], 4, log)
     clean.create(state(spark))
     dim_schema = empty_dim(state(spark), ["id"], ["a"]).schema
-    dim = BucketedTable(str(tmp_path / "dim"), dim_schema, ["id"], 4)
+    dim = BucketedTable(str(tmp_path / "dim"), dim_schema, ["id"], 4, log)
     dim.create(spark.createDataFrame([], dim_schema))
     as_of = lambda batch_id: F.timestamp_seconds(F.lit(1_700_000_000 + batch_id))
     batch = upsert.dimension_batch(clean, dim, ["a"], ["t"], as_of, transform=lambda df: df.select(
@@ -232,9 +271,23 @@ def test_streamed_daily_revenue_equals_batch(spark, tmp_path):
     )
     orders.repartition(4).write.parquet(str(tmp_path / "in"))
     stream = ingest.parquet_stream(spark, str(tmp_path / "in"), orders.schema, files_per_batch=1)
-    days = revenue.daily_revenue(stream, "at", "v", late="3650 days")
+    days = revenue.daily_revenue(stream, "at", "v")
     table = BucketedTable(str(tmp_path / "out"), days.schema, ["calendar_date"], 2)
     table.create(spark.createDataFrame([], days.schema))
     upsert.run_available(days, upsert.replace_batch(table), str(tmp_path / "cp"), "update").awaitTermination()
     batch = orders.groupBy(F.to_date("at").alias("d")).agg(F.sum("v"), F.count("*"))
     assert rows_of(table.read(spark)) == rows_of(batch)
+
+
+def test_an_order_far_too_late_counts_and_days_follow_the_given_zone(spark, tmp_path):
+    landing, day = tmp_path / "in", 86_400
+    table = None
+    for n, seconds in enumerate([400 * day, 399 * day, 5 * day, 19.5 / 24 * day]):
+        spark.range(1).select(F.timestamp_seconds(F.lit(seconds)).alias("at"), F.lit(Decimal("1.00")).alias("v")).write.parquet(f"{landing}/{n}")
+        stream = ingest.parquet_stream(spark, f"{landing}/*", spark.read.parquet(f"{landing}/{n}").schema, files_per_batch=1)
+        days = revenue.daily_revenue(stream, "at", "v", zone="Asia/Kolkata")
+        table = table or BucketedTable(str(tmp_path / "out"), days.schema, ["calendar_date"], 2)
+        if not n:
+            table.create(spark.createDataFrame([], days.schema))
+        upsert.run_available(days, upsert.replace_batch(table), str(tmp_path / "cp"), "update").awaitTermination()
+    assert [str(r[0]) for r in rows_of(table.read(spark))] == ["1970-01-02", "1970-01-06", "1971-02-04", "1971-02-05"]
