@@ -287,3 +287,33 @@ def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
         out = "_" + out
     found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out=out)
     return found.where(~F.col(f"{out}.contaminated")).drop(out)
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+OP8_SQL = f"""
+WITH items AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM (
+    SELECT item, w, least(len(w), {WINDOW}) AS n, unnest(generate_series(1, greatest(len(w) - {WINDOW - 1}, 1))) AS i
+    FROM items WHERE len(w) > 0)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+places AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM (
+    SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+    FROM docs JOIN (SELECT DISTINCT n FROM windows) ON len(w) >= n)),
+found AS (SELECT r, i, n, item FROM places JOIN windows USING (n, win)),
+hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (
+    SELECT r, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT r, i, n FROM found)) GROUP BY r),
+named AS (
+  SELECT r, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256
+  FROM found GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit > 0 AND 100 * n_hit >= {MIN_PERCENT} * len(w), false) AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""

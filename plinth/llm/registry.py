@@ -16,5 +16,6 @@ QUERIES = {
 }
 
 SQL = {
+    "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_warc": warc.OP9_SQL,
 }

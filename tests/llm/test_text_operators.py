@@ -329,6 +329,15 @@ def test_decontaminate(spark, sf, monkeypatch, block):
     assert 2 < sum(r["contaminated"] for r in rows) < len(rows)
 
 
+def test_decontaminate_equals_its_sql(spark, sf):
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet')")
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    want = Counter(con.sql(f"SELECT {', '.join(columns)} FROM ({decontaminate.OP8_SQL})").fetchall())
+    assert by_row(decontaminate.op8_decontaminate(spark, sf).collect(), *columns) == want
+
+
 def test_longest_matches(spark, sf):
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
     rows = [r for r in decontaminate.matches(docs, items).collect() if r["doc_id"] == 1]
