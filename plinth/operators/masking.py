@@ -25,6 +25,17 @@ def tags_of(df: DataFrame) -> dict[str, str]:
     return {f.name: f.metadata[TAG] for f in df.schema.fields if TAG in f.metadata}
 
 
+def check_tags(df: DataFrame) -> DataFrame:
+    """Per tagged column: its tag, whether the tag is allowed, and how many values it covers."""
+    tags = tags_of(df)
+    row = df.agg(*[F.count(c).alias(c) for c in tags])
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("tag"), F.lit(t in ALLOWED_TAGS).alias("allowed"), F.col(c).alias("tagged_values"))
+        for c, t in tags.items()
+    ]
+    return row.select(F.inline(F.array(*rows)))
+
+
 def mask_by_tag(
     df: DataFrame, masks: dict[str, str] | None = None, expected: dict[str, str] | None = None
 ) -> DataFrame:

@@ -107,6 +107,12 @@ def touched_items(items: DataFrame, changed_orders: list[DataFrame], changed_ite
     return items.join(wanted, "order_id_fk", "left_semi")
 
 
+def orphans(items: DataFrame, rows: DataFrame) -> DataFrame:
+    """Items that found no order, delivery or dimension row and so are in no fact row."""
+    named = items.withColumnRenamed("order_id_fk", "order_id")
+    return named.join(rows.select(*FACT_KEYS), FACT_KEYS, "left_anti")
+
+
 def merge_fact(fact: DataFrame, rows: DataFrame, order_by: list[str] | None = None) -> Merged:
     """Upsert fact rows on item and order."""
     return merge(fact, rows, FACT_KEYS, order_by=order_by)

@@ -283,6 +283,10 @@ FROM lineitem WHERE year(l_shipdate) <> 2001""",
   state_code, is_union_territory, capital_city_flag, city_tier FROM located""",
         "mask_by_tag": f"""WITH {CUSTOMER_TEXT}, clean AS (SELECT {CUSTOMER_COLS} FROM customer_text)
 SELECT * REPLACE ('** PII **' AS mobile, '** EMAIL **' AS email, '** PII **' AS gender, '** PII **' AS dob) FROM clean""",
+        "check_tags": f"""WITH {CUSTOMER_TEXT}, clean AS (SELECT {CUSTOMER_COLS} FROM customer_text)
+SELECT unnest(['mobile', 'email', 'gender', 'dob', 'anniversary']) AS column_name, unnest(['PII', 'EMAIL', 'PII', 'PII', 'SECRET']) AS tag,
+  unnest([true, true, true, true, false]) AS allowed,
+  unnest([count(mobile), count(email), count(gender), count(dob), count(anniversary)]) AS tagged_values FROM clean""",
         "mask_after_merge": f"""WITH parts AS (
   SELECT 'stage' AS part, c_custkey FROM customer WHERE NOT (c_mktsegment = 'BUILDING' AND c_acctbal > 5000)
   UNION ALL SELECT 'clean', c_custkey FROM customer
@@ -367,6 +371,11 @@ FROM events e LEFT JOIN dim d ON e.user_id = d.user_id AND e.ts >= d.eff_start A
 WHERE e.event_type = 'purchase'""",
         "fact_build": FACT,
         "fact_merge": FACT_LATEST.replace(f"{STATUS} AS delivery_status", "CASE o_orderstatus WHEN 'O' THEN 'Pending' ELSE 'Delivered' END AS delivery_status"),
+        "fact_orphans": f"""WITH ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY l_linenumber, l_orderkey ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC,
+    CAST(l_quantity AS DECIMAL(10,2)) DESC, CAST(l_extendedprice AS DECIMAL(10,2)) DESC, {NET} DESC) AS rn FROM lineitem)
+SELECT CAST(l_linenumber AS BIGINT) AS order_item_id, l_orderkey AS order_id, l_suppkey AS restaurant_id_fk, {NET} AS subtotal
+FROM ranked JOIN supplier ON l_suppkey = s_suppkey WHERE rn = 1 AND CAST(s_acctbal AS DECIMAL(10,2)) < 0""",
         "fact_with_sk": f"""WITH f AS ({FACT_LATEST}) SELECT row_number() OVER (ORDER BY order_item_id, order_id) AS order_item_fact_sk,
   order_item_id, order_id, subtotal FROM f""",
         "yearly_revenue": _kpi("year"),

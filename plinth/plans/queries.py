@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plinth.functions import casting as C
 from plinth.functions.calendar import date_parts
 from plinth.functions.keys import digest, hash_key, surrogate_key
-from plinth.operators import quality
+from plinth.operators import masking, quality
 from plinth.operators.cdc import appended_since, inserts_only, snapshot_diff
 from plinth.operators.enrich import enrich_location
 from plinth.operators.latest import latest_per_key
@@ -262,6 +262,12 @@ def mask_customers(spark: SparkSession, sf: str) -> DataFrame:
     return iso(mask_by_tag(layers.clean_rows(given.customer_text(spark, sf), E.CUSTOMER)))
 
 
+def check_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags of the clean customers, and one that no policy knows."""
+    rows = layers.clean_rows(given.customer_text(spark, sf), E.CUSTOMER)
+    return masking.check_tags(rows.withMetadata("anniversary", {masking.TAG: "SECRET"}))
+
+
 def mask_after_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Stage, clean table, change rows and dimension are all masked after an upsert."""
     initial, delta = given.customer_files(spark, sf)
@@ -562,6 +568,14 @@ def _latest_items(spark: SparkSession, sf: str) -> DataFrame:
     return latest_per_key(given.order_items(spark, sf), ["order_item_id", "order_id_fk"], ["modified_dt"])
 
 
+def fact_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """Items whose restaurant is missing in its dimension."""
+    dims, items = dimensions(spark, sf), _latest_items(spark, sf)
+    dims["restaurant"] = dims["restaurant"].where(F.col("pricing_for_two") >= 0)
+    rows = fact.build_fact(items, given.orders(spark, sf), given.deliveries(spark, sf), dims)
+    return fact.orphans(items, rows).select(*fact.FACT_KEYS, "restaurant_id_fk", "subtotal")
+
+
 def fact_with_sk(spark: SparkSession, sf: str) -> DataFrame:
     """Fact rows with a surrogate key of their own."""
     rows = fact.build_fact(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,7 +17,8 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Only a local-mode session (tests) may fall back to a folder of this machine; on a cluster
-    an unset folder is an error, because executors could not see each other's files.
+    an unset folder is an error, because executors could not see each other's files. The local
+    folder is removed when the process ends; the shared one belongs to the cluster.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -24,7 +27,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="plinth-")
+        root = tempfile.mkdtemp(prefix="plinth-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        _local_roots[context.applicationId] = root
     return _local_roots[context.applicationId]
 
 
