@@ -108,7 +108,22 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span; equal spans have equal hashes wherever they lie."""
+    """A 64-bit hash of each byte span; equal spans have equal hashes wherever they lie.
+
+    A long array is worked on part by part, for which ``starts`` must be in order.
+    """
+    if len(buf) > 2 * PIECE_BYTES:
+        out = np.empty(len(starts), U64)
+        cuts = np.append(np.searchsorted(starts, np.arange(0, len(buf), PIECE_BYTES)), len(starts))
+        for lo, hi in zip(cuts, cuts[1:]):
+            if lo < hi:
+                a, b = starts[lo], ends[lo:hi].max()
+                out[lo:hi] = _span_hashes(buf[a:b], starts[lo:hi] - a, ends[lo:hi] - a)
+        return out
+    return _span_hashes(buf, starts, ends)
+
+
+def _span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up = _powers(_BASE, len(buf) + 1)
     # mixed bytes, as a polynomial over raw text bytes collides on related short words
     values = mix(np.arange(1, 257, dtype=U64))[buf]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.batches import U64, documents, joined, pieces, runs, span_hashes, table, utf8
+from plinth.llm.batches import U64, documents, joined, pieces, runs, ship, span_hashes, table, utf8
 
 WINDOW = 13
 #: Contaminated if at least this percentage of the words is hit.
@@ -282,6 +282,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark of ``sf_dir``."""
+    ship(spark)
     out = "_hits"
     while any(c.startswith(out) for c in docs.columns):
         out = "_" + out

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.batches import documents, joined, pieces, remainder, utf8
+from plinth.llm.batches import documents, joined, pieces, remainder, ship, utf8
 from plinth.llm.features import char_grams, sigmoid
 from plinth.llm.sampling import SEED, collected, ids_by_class, stored_features
 
@@ -189,6 +189,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; ``und`` and ambiguous ones go."""
+    ship(spark)
     out = "_language"
     while any(c.startswith(out) for c in docs.columns):
         out = "_" + out
