@@ -26,12 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.batches import documents, utf8
+from plinth.llm.batches import documents, ship, utf8
 from plinth.llm.token_counts import safe_pieces
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Distinct pieces a task remembers; beyond it starts anew.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 600_000
+#: Stands for pairs that are no token; larger than every rank.
+NO_RANK = 1 << 62
 #: Longer byte arrays keep their pairs in a heap.
 SHORT = 64
 
@@ -48,21 +50,20 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [whole]
     if len(word) > SHORT:
         return _merge_long(word, ranks)
-    parts = [word[i:i + 1] for i in range(len(word))]
-    pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-    while True:
-        best, at = None, -1
-        for i, rank in enumerate(pairs):
-            if rank is not None and (best is None or rank < best):
-                best, at = rank, i
-        if best is None:
-            return [ranks[p] for p in parts]
-        parts[at] += parts.pop(at + 1)
-        pairs.pop(at)
+    get, parts = ranks.get, [word[i:i + 1] for i in range(len(word))]
+    pairs = [get(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        best = min(pairs)
+        if best == NO_RANK:
+            break
+        at = pairs.index(best)
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
         if at < len(pairs):
-            pairs[at] = ranks.get(parts[at] + parts[at + 1])
+            pairs[at] = get(parts[at] + parts[at + 1], NO_RANK)
         if at:
-            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
+            pairs[at - 1] = get(parts[at - 1] + parts[at], NO_RANK)
+    return [ranks[p] for p in parts]
 
 
 def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -209,4 +210,5 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's last stage: one row per document with its ids and what they decode to."""
+    ship(spark)
     return encode(docs, keep_ids=True)
