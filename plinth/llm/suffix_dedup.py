@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.batches import U64, documents, joined, mix, pieces, runs, span_hashes, utf8
+from plinth.llm.batches import U64, documents, joined, mix, runs, ship, span_hashes, utf8
+from plinth.llm.skew import dealt_anew
 from plinth.session import new_dir
 
 LENGTH = 200
@@ -40,6 +41,8 @@ SEGMENT_WINDOWS = 512
 #: The bitmap of anchors seen twice has 2**SLOT_BITS bits (32 MB), whatever the input.
 SLOT_BITS = 28
 SLICES = 1024
+#: Bytes of text whose windows are hashed together; a longer text is a piece of its own.
+HASHED_BYTES = 1 << 20
 #: Anchors a task gathers before it passes them on.
 GATHERED = 1 << 20
 #: Segments a task remembers having passed on with their bytes.
@@ -112,6 +115,23 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return buf, base, doc, start - base[doc], stop - start, anchor, again | (parts[owner] > 1)
 
 
+def parts_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Rows, first window and bytes of parts of about ``HASHED_BYTES``, which share no window."""
+    rows, offsets, held, size = [], [], [], 0
+    for row, text in enumerate(texts):
+        for at in range(0, max(len(text) - LENGTH + 1, 1), HASHED_BYTES):
+            part = text[at:at + HASHED_BYTES + LENGTH - 1] if len(text) > HASHED_BYTES else text
+            if size and size + len(part) > HASHED_BYTES:
+                yield np.array(rows), np.array(offsets), held
+                rows, offsets, held, size = [], [], [], 0
+            rows.append(row)
+            offsets.append(at)
+            held.append(part)
+            size += len(part) + 1
+    if held:
+        yield np.array(rows), np.array(offsets), held
+
+
 # --- anchors that may repeat ---------------------------------------------------------------------
 
 
@@ -136,9 +156,8 @@ def seen_twice(texts: DataFrame) -> Broadcast:
 
         held, size = [], 0
         for batch in batches:
-            column = utf8(batch.column(0))
-            for lo, hi in pieces(column):
-                *_, anchor, again = segments(column[lo:hi])
+            for _, _, parts in parts_of(utf8(batch.column(0))):
+                *_, anchor, again = segments(parts)
                 held += [_slots(anchor), _slots(anchor[again])]
                 size += len(anchor) + int(again.sum())
                 if size >= GATHERED:
@@ -192,9 +211,8 @@ def candidates(docs: DataFrame, text: str, twice: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, sent = twice.value, set()
         for batch in batches:
-            column = utf8(batch.column(2))
-            for lo, hi in pieces(column):
-                buf, base, doc, start, windows, anchor, again = segments(column[lo:hi])
+            for row, offset, parts in parts_of(utf8(batch.column(2))):
+                buf, base, doc, start, windows, anchor, again = segments(parts)
                 kept = np.flatnonzero(_repeated(anchor, bits))
                 if not len(kept):
                     continue
@@ -210,9 +228,9 @@ def candidates(docs: DataFrame, text: str, twice: Broadcast) -> DataFrame:
                             sent.clear()
                         sent.add(key)
                     own.append(raw[i:j] if new else None)
-                rows = pa.array(doc + lo)
+                rows = pa.array(row[doc])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start.astype(np.int32)),
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array((start + offset[doc]).astype(np.int32)),
                      pa.array(windows.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(digest.view(np.int64)),
                      pa.array(again), pa.array(own, pa.binary())],
                     ["t1", "t2", "start", "windows", "anchor", "digest", "again", "bytes"],
@@ -389,7 +407,7 @@ def digest_windows(found: DataFrame) -> DataFrame:
     # one row per task and window leaves the scan, so what all documents share is no hot group
     place = F.struct("digest", "at")
     twice = windows.groupBy("d1", "d2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select(
-        F.col("d1").alias("e1"), F.col("d2").alias("e2")
+        dealt_anew("d1").alias("e1"), F.col("d2").alias("e2")
     )
     hit = windows.join(twice, (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")), "left_semi")
     # a segment has SEGMENT_WINDOWS windows at most
@@ -431,8 +449,10 @@ def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     anchors = with_bytes.groupBy("anchor").agg(
         (F.min("digest") != F.max("digest")).alias("differ"), F.max("again").alias("self"),
         F.approx_count_distinct("digest", 0.05).alias("segments"),
-    ).where("differ or self").select(F.col("anchor").alias("_anchor"), (F.col("segments") > HOT_SEGMENTS).alias("hot"))
+    ).where("differ or self").select(dealt_anew("anchor").alias("_anchor"), (F.col("segments") > HOT_SEGMENTS).alias("hot"))
     wanted = with_bytes.join(anchors, F.col("anchor") == F.col("_anchor")).drop("_anchor")
+    # every task may have passed on a segment: one of each goes on
+    wanted = wanted.dropDuplicates(["anchor", "digest"])
     chosen = new_dir(spark, "segments")
     wanted.select("anchor", "digest", "windows", "again", "bytes", "hot").write.option("compression", "zstd").parquet(chosen)
     chosen_rows = spark.read.schema(
@@ -444,7 +464,7 @@ def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     marks = whole.unionByName(partly).groupBy("anchor", "digest").agg(
         F.max(F.col("mask").isNull()).alias("all"), F.max("mask").alias("mask")
     ).select(
-        F.col("anchor").alias("_anchor"), F.col("digest").alias("_digest"), F.when(~F.col("all"), F.col("mask")).alias("mask")
+        dealt_anew("anchor").alias("_anchor"), F.col("digest").alias("_digest"), F.when(~F.col("all"), F.col("mask")).alias("mask")
     )
     on = (F.col("anchor") == F.col("_anchor")) & (F.col("digest") == F.col("_digest"))
     hits = found.select("t1", "t2", "start", "windows", "anchor", "digest").join(marks, on)
@@ -479,7 +499,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", out: str = "_kept", carr
     spans = repeats(docs, text)
     keys = [f"{out}_1", f"{out}_2"]
     keyed = docs.select(*carry, F.col(text).alias(f"{out}_text"), *[k.alias(n) for n, k in zip(keys, text_key(text))])
-    found = spans.select(*[F.col(t).alias(f"{n}_found") for n, t in zip(keys, ("t1", "t2"))], F.col("found").alias(f"{out}_found"))
+    found = spans.select(*[dealt_anew(t).alias(f"{n}_found") for n, t in zip(keys, ("t1", "t2"))], F.col("found").alias(f"{out}_found"))
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"{k}_found") for k in keys])
     rows = keyed.join(found, on, "left").select(*carry, f"{out}_text", f"{out}_found")
     kept = T.StructType([
@@ -518,6 +538,7 @@ def stage_suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Where a cut falls inside a character, what is left of the character goes too. ``n_chars``, if
     there, counts the characters that are left. A null text becomes an empty one.
     """
+    ship(spark)
     out = "_kept"
     while any(c.startswith(out) for c in docs.columns):
         out = "_" + out
