@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plinth.llm.skew import text_dealt_anew
 from plinth.session import new_dir
 
 #: Payloads shorter than this are never replaced by a revisit record.
@@ -47,13 +48,13 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", body:
     newest = (
         rows.where(large).groupBy("payload_key")
         .agg(F.max("page_id").alias("newest"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1").drop("copies")
+        .where("copies > 1").select(text_dealt_anew("payload_key").alias("key"), "newest")
     )
     facts = rows.select(
         "page_id", "url", "payload_key", F.octet_length("payload").alias("n"),
         F.sha1("payload").alias("sha1"),
     )
-    joined = facts.join(newest.withColumnRenamed("payload_key", "key"), F.col("payload_key") == F.col("key"), "left")
+    joined = facts.join(newest, F.col("payload_key") == F.col("key"), "left")
     revisit = F.col("key").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest"))
     return joined.select(header(revisit).alias("header"), "payload_key")
 
@@ -144,7 +145,7 @@ WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest FROM p),
 k AS (SELECT digest, max(page_id) AS newest FROM d WHERE n >= {REVISIT_FROM} GROUP BY digest)
 SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
-       CASE WHEN d.n < {REVISIT_FROM} OR d.page_id = k.newest THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN d.n >= {REVISIT_FROM} AND d.page_id <> k.newest THEN k.newest END AS refers_to
+       CASE WHEN d.n < {REVISIT_FROM} OR d.page_id IS NOT DISTINCT FROM k.newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN d.n >= {REVISIT_FROM} AND d.page_id IS DISTINCT FROM k.newest THEN k.newest END AS refers_to
 FROM d LEFT JOIN k ON d.digest = k.digest
 """
