@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plinth.llm.skew import dealt_anew
 from plinth.session import new_dir
 
 #: Rounds after which the edges must have become stars; a path of n nodes needs about log2(n).
@@ -12,14 +13,14 @@ MAX_ROUNDS = 60
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    """u, m: the smallest of u and its neighbours. One row per task and node leaves the scan."""
-    return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """_u, m: each node and the smallest of it and its neighbours. One row per task and node leaves the scan."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    return least.select(dealt_anew("u").alias("_u"), F.least("u", "m").alias("m"))
 
 
 def _joined(edges: DataFrame) -> DataFrame:
     # adaptive execution splits the edges of a hub, as both sides of the join are shuffled for it
-    least = _least(edges).select(F.col("u").alias("_u"), "m")
-    return edges.join(least, F.col("u") == F.col("_u")).select("u", "v", "m")
+    return edges.join(_least(edges), F.col("u") == F.col("_u")).select("u", "v", "m")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

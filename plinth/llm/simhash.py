@@ -7,6 +7,10 @@ within that radius, and it is copied to every anchor within radius + 1 = 2, at m
 lies within 1 bit of a fingerprint in that block therefore meets it at its home. Per anchor, links
 are compared on all 64 bits and leave as a star per linked group, never as pairs.
 
+Fingerprints at an anchor with more than ``CROWD`` of them meet by whole 64-bit words instead: two
+of them differ in at most 3 bits if some word is within 1 bit of one and 2 bits of the other. No
+word has more than 2,081 fingerprints that near, so these groups are bounded whatever the input.
+
 Defined cases: a null text has no words and the fingerprint 0, like an empty one; equal rows link
 to each other; a component whose ids are all null has a null id. Only the two named columns are read.
 """
@@ -17,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plinth.llm.batches import U64, documents, pieces, utf8
+from plinth.llm.batches import U64, documents, pieces, ship, utf8
 from plinth.llm.components import stars
+from plinth.llm.skew import dealt_anew
 from plinth.session import new_dir
 
 SEED = 42
@@ -31,6 +36,9 @@ THRESHOLD = 3
 BLOCK_SHIFTS = (0, 32)
 BLOCK_BITS = 31
 
+#: Fingerprints of one anchor that a task compares.
+CROWD = 100_000
+
 #: Eight lanes of one byte, a lane for each bit of the index, the highest bit in the highest lane.
 _LANES = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], U64)
 
@@ -164,6 +172,37 @@ def _stars_of(fp: np.ndarray, home: np.ndarray) -> Iterator[tuple[int, np.ndarra
 
 def links(fps: DataFrame) -> DataFrame:
     """u, v: edges between distinct fingerprints whose components are those of all links."""
+    placed = anchored(fps)
+    # at most 32 / CROWD rows for each fingerprint, so the list is small next to any table
+    crowded = F.broadcast(placed.groupBy("anchor").count().where(F.col("count") > CROWD).select(F.col("anchor").alias("_anchor")))
+    here = F.col("anchor") == F.col("_anchor")
+    met = _links_at_anchors(placed.join(crowded, here, "left_anti"))
+    return met.unionByName(_links_at_words(placed.join(crowded, here, "left_semi").select("fp").distinct())).distinct()
+
+
+def _links_at_words(fps: DataFrame) -> DataFrame:
+    """Links by common words within 1 bit of one fingerprint and 2 bits of the other."""
+    single = [1 << i for i in range(64)]
+    double = [a | b for i, a in enumerate(single) for b in single[:i]]
+    flips = np.array([0, *single, *double], U64)
+    close = np.arange(len(flips)) <= 64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fp in batch.column(0).to_numpy().view(U64):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((fp ^ flips).view(np.int64)), pa.array(np.full(len(flips), fp).view(np.int64)), pa.array(close)],
+                    ["word", "fp", "close"],
+                )
+
+    words = fps.mapInArrow(run, "word long, fp long, close boolean")
+    # whatever is within 2 bits of a word links to each fingerprint within 1 bit of it
+    centre = F.min(F.when(F.col("close"), F.col("fp"))).over(Window.partitionBy("word"))
+    return words.select("fp", centre.alias("v")).where("v <> fp").select(F.col("fp").alias("u"), "v")
+
+
+def _links_at_anchors(placed: DataFrame) -> DataFrame:
+    """Links among the fingerprints of each anchor, which fit a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
@@ -196,9 +235,7 @@ def links(fps: DataFrame) -> DataFrame:
         if kept:
             yield found(*(np.concatenate(x) for x in zip(*kept)))
 
-    # few rows of an anchor that all documents share come here: the fingerprints are distinct
-    placed = anchored(fps).repartition("anchor").sortWithinPartitions("anchor")
-    return placed.mapInArrow(run, "u long, v long").distinct()
+    return placed.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "u long, v long")
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -213,9 +250,10 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     nodes = prints.groupBy("fp").agg(F.min(row).alias("first"))
     reached = stars(links(nodes.select("fp")))
     placed = nodes.join(reached, F.col("fp") == F.col("u"), "left").select("fp", "first", F.coalesce("v", "fp").alias("root"))
-    firsts = placed.groupBy("root").agg(F.min("first").alias("least")).withColumnRenamed("root", "_root")
+    firsts = placed.groupBy("root").agg(F.min("first").alias("least")).select(dealt_anew("root").alias("_root"), "least")
+    # a component's fingerprints may be many, and so may be the rows of a fingerprint
     labels = placed.select("fp", "root").join(firsts, F.col("root") == F.col("_root")).select(
-        F.col("fp").alias("_fp"), "root", F.col("least").alias("first")
+        dealt_anew("fp").alias("_fp"), "root", F.col("least").alias("first")
     )
     return prints.join(labels, F.col("fp") == F.col("_fp")).drop("_fp")
 
@@ -233,6 +271,7 @@ def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows with equal id and text are one document. Where all ids are null, the smallest hash of the
     text decides.
     """
+    ship(spark)
     rows = components(docs)
     me = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     kept = rows.where(me.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_text")).distinct()

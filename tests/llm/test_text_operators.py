@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus
-from plinth.llm import bpe, decontaminate, kneser_ney, language_id, quality, registry, simhash, suffix_dedup, token_counts, toxicity, warc
+from plinth.llm import batches, bpe, decontaminate, kneser_ney, language_id, quality, registry, simhash, suffix_dedup, token_counts, toxicity, warc
 from plinth.llm.batches import span_hashes
 
 DOCS = corpus.rows()
@@ -83,9 +83,10 @@ def brute_repeats(texts: list[bytes], length: int) -> list[np.ndarray]:
     return out
 
 
-@pytest.mark.parametrize("hot", [4000, 1])
-def test_suffix_dedup(spark, sf, monkeypatch, hot):
+@pytest.mark.parametrize("hot, part", [(4000, 1 << 20), (1, 700)])
+def test_suffix_dedup(spark, sf, monkeypatch, hot, part):
     monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", hot)
+    monkeypatch.setattr(suffix_dedup, "HASHED_BYTES", part)
     texts = [raw(d) for d in DOCS]
     want = Counter()
     for d, t, hit in zip(DOCS, texts, brute_repeats(texts, 200)):
@@ -288,6 +289,14 @@ def test_kneser_ney(spark, sf):
             assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], score, rel_tol=1e-9)
 
 
+def test_span_hashes_of_long_arrays(monkeypatch):
+    buf = np.random.default_rng(2).integers(0, 256, 5000).astype(np.uint8)
+    starts = np.arange(0, 4900, 7)
+    whole = span_hashes(buf, starts, starts + 40)
+    monkeypatch.setattr(batches, "PIECE_BYTES", 300)
+    assert (span_hashes(buf, starts, starts + 40) == whole).all()
+
+
 def test_span_hashes_depend_on_the_bytes_alone():
     buf = np.frombuffer(b"abc xabc abd", np.uint8)
     h = span_hashes(buf, np.array([0, 5, 9, 0]), np.array([3, 8, 12, 0]))
@@ -420,7 +429,9 @@ def test_simhash(spark, sf):
     assert by_row(simhash.op10_simhash(spark, sf).collect(), "doc_id", "fingerprint", "component_id") == want
 
 
-def test_links_find_every_pair(spark):
+@pytest.mark.parametrize("crowd", [100_000, 4])
+def test_links_find_every_pair(spark, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     rng = np.random.default_rng(9)
     centres = rng.integers(0, 2**63, 12, dtype=np.uint64)
     fps = set()
