@@ -33,7 +33,7 @@ from plinth.llm.batches import SPACE, U64, documents, group_sums, joined, mix, p
 from plinth.session import new_dir
 
 HELD_OUT, HELD_OUT_AT = 7, 2
-#: Files per kind of array: hashes are cut by their highest bits.
+#: Hashes are cut by their highest bits into shards: this many bits, or more for large inputs.
 SHARD_BITS = 6
 #: Tokens a task sums before it passes them on.
 GATHERED = 1_500_000
@@ -62,9 +62,16 @@ class Tokens:
         self.pair = mix(self.before * U64(0x9FB21C651E98DF25) + self.token)
 
 
-def _shards(ordered: np.ndarray) -> np.ndarray:
-    """Where each shard begins in sorted hashes."""
-    return np.searchsorted(ordered >> U64(64 - SHARD_BITS), np.arange((1 << SHARD_BITS) + 1, dtype=U64))
+def shard_bits(texts: DataFrame) -> int:
+    """As many shards as the input has splits, so what one task merges does not grow with the input."""
+    return max(SHARD_BITS, (texts.rdd.getNumPartitions() - 1).bit_length())
+
+
+def _shards(ordered: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shards that sorted hashes fall into, and where each of them begins and the last one ends."""
+    shard = ordered >> U64(64 - bits)
+    first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else np.zeros(0, int)
+    return shard[first].astype(np.int64), np.append(first, len(shard))
 
 
 def local_path(uri: str) -> str:
@@ -91,8 +98,8 @@ def _load(path: str, kind: str) -> np.ndarray:
 class Mapped:
     """Sorted hashes with values, in files per shard, mapped when first used."""
 
-    def __init__(self, place: str, name: str, kinds: dict[str, str]):
-        self.place, self.name, self.kinds, self.open = place, name, kinds, {}
+    def __init__(self, place: str, name: str, kinds: dict[str, str], bits: int):
+        self.place, self.name, self.kinds, self.bits, self.open = place, name, kinds, bits, {}
 
     def path(self, shard: int, column: str) -> str:
         return f"{self.place}/{self.name}/{shard}.{column}"
@@ -106,26 +113,26 @@ class Mapped:
         """Values of each hash; 0 where it is not stored."""
         distinct, back = np.unique(hashes, return_inverse=True)
         out = {c: np.zeros(len(distinct), k) for c, k in self.kinds.items()}
-        cuts = _shards(distinct)
-        for shard in np.flatnonzero(np.diff(cuts)):
-            data = self._shard(int(shard))
+        shards, cuts = _shards(distinct, self.bits)
+        for shard, a, b in zip(shards.tolist(), cuts, cuts[1:]):
+            data = self._shard(shard)
             if not len(data["hash"]):
                 continue
-            own = distinct[cuts[shard]:cuts[shard + 1]]
+            own = distinct[a:b]
             # neighbours in order, so the search stays in the cache
             at = np.minimum(np.searchsorted(data["hash"], own), len(data["hash"]) - 1)
             hit = data["hash"][at] == own
             for c in self.kinds:
-                out[c][cuts[shard]:cuts[shard + 1]] = np.where(hit, data[c][at], 0)
+                out[c][a:b] = np.where(hit, data[c][at], 0)
         return {c: v[back] for c, v in out.items()}
 
 
 class PairCounts:
     """Counts of pairs in one byte each; those that need more lie in arrays of their own."""
 
-    def __init__(self, place: str):
-        self.small = Mapped(place, "pairs", {"count": "<u1"})
-        self.large = Mapped(place, "frequent", {"count": "<i8"})
+    def __init__(self, place: str, bits: int):
+        self.small = Mapped(place, "pairs", {"count": "<u1"}, bits)
+        self.large = Mapped(place, "frequent", {"count": "<i8"}, bits)
 
     def get(self, hashes: np.ndarray) -> np.ndarray:
         count = self.small.get(hashes)["count"].astype(np.int64)
@@ -151,6 +158,7 @@ def discounts(n: list[int]) -> np.ndarray:
 @dataclass
 class Model:
     place: str
+    bits: int
     tokens: int  # all training tokens, ends included
     words: int  # different ones
     pairs: int  # different pairs
@@ -164,7 +172,7 @@ class Model:
 
     def arrays(self) -> tuple[PairCounts, Mapped]:
         if self._open is None:
-            self._open = PairCounts(self.place), Mapped(self.place, "words", WORD_KINDS)
+            self._open = PairCounts(self.place, self.bits), Mapped(self.place, "words", WORD_KINDS, self.bits)
         return self._open
 
     def log10(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
@@ -194,18 +202,17 @@ class Model:
         return np.log10(np.where(seen, p, unigram)), now["count"]
 
 
-def count_pairs(texts: DataFrame, place: str) -> list[int]:
+def count_pairs(texts: DataFrame, place: str, bits: int) -> list[int]:
     """Write the pair counts; returns how many pairs were seen 1, 2, 3 and 4 times, and how many there are."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def passed(held: list[np.ndarray]) -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(held), return_counts=True)
-            cuts = _shards(found)
-            used = np.flatnonzero(np.diff(cuts))
+            shards, cuts = _shards(found, bits)
             return pa.RecordBatch.from_arrays([
-                pa.array(used.astype(np.int32)),
-                pa.array([found[cuts[s]:cuts[s + 1]].tobytes() for s in used], pa.binary()),
-                pa.array([n[cuts[s]:cuts[s + 1]].astype("<u4").tobytes() for s in used], pa.binary()),
+                pa.array(shards.astype(np.int32)),
+                pa.array([found[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                pa.array([n[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
             ], ["shard", "hashes", "counts"])
 
         held, size = [], 0
@@ -220,7 +227,7 @@ def count_pairs(texts: DataFrame, place: str) -> list[int]:
         if size:
             yield passed(held)
 
-    pairs = PairCounts(place)
+    pairs = PairCounts(place, bits)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, columns in _by_shard(batches, ("<u8", "<u4")):
@@ -235,23 +242,24 @@ def count_pairs(texts: DataFrame, place: str) -> list[int]:
                 [pa.array([len(found)]), *[pa.array([int((n == k).sum())]) for k in range(1, 5)]], ["n", "n1", "n2", "n3", "n4"]
             )
 
-    placed = _placed(texts.mapInArrow(gather, "shard int, hashes binary, counts binary"))
+    placed = _placed(texts.mapInArrow(gather, "shard int, hashes binary, counts binary"), bits)
     rows = placed.mapInArrow(merge, "n long, n1 long, n2 long, n3 long, n4 long").collect()  # a row per shard
     return [sum(r[k] for r in rows) for k in ("n1", "n2", "n3", "n4", "n")]
 
 
-def _placed(rows: DataFrame) -> DataFrame:
-    return rows.repartition(1 << SHARD_BITS, "shard").sortWithinPartitions("shard")
+def _placed(rows: DataFrame, bits: int) -> DataFrame:
+    return rows.repartition(1 << bits, "shard").sortWithinPartitions("shard")
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The arrays of each shard, which come in the order of shards; summed whenever they double."""
-    now, held, size, limit = None, [[] for _ in kinds], 0, 4 * GATHERED
+    most = 8 * GATHERED // len(kinds)
+    now, held, size, limit = None, [[] for _ in kinds], 0, most
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns)):
             if now is not None and row[0] != now:
                 yield now, [np.concatenate(h) for h in held]
-                held, size, limit = [[] for _ in kinds], 0, 4 * GATHERED
+                held, size, limit = [[] for _ in kinds], 0, most
             now = row[0]
             for h, raw, kind in zip(held, row[1:], kinds):
                 h.append(np.frombuffer(raw, kind))
@@ -276,19 +284,18 @@ def _summed(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, lis
 _STATS = ("<i8", "<f8", "<i8", "<f8", "<f8")
 
 
-def count_words(texts: DataFrame, place: str) -> list[dict]:
+def count_words(texts: DataFrame, place: str, bits: int) -> list[dict]:
     """Write the word statistics; returns sums per shard."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = PairCounts(place)
+        pairs = PairCounts(place, bits)
 
         def passed(held: list[tuple[np.ndarray, list[np.ndarray]]]) -> pa.RecordBatch:
             keys, sums = _summed(np.concatenate([h[0] for h in held]), [np.concatenate([h[1][k] for h in held]) for k in range(5)])
-            cuts = _shards(keys)
-            used = np.flatnonzero(np.diff(cuts))
+            shards, cuts = _shards(keys, bits)
             return pa.RecordBatch.from_arrays([
-                pa.array(used.astype(np.int32)),
-                *[pa.array([v[cuts[s]:cuts[s + 1]].astype(kind).tobytes() for s in used], pa.binary())
+                pa.array(shards.astype(np.int32)),
+                *[pa.array([v[a:b].astype(kind).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
                   for v, kind in zip([keys, *sums], ("<u8", *_STATS))],
             ], ["shard", "hashes", *WORD_KINDS])
 
@@ -305,7 +312,7 @@ def count_words(texts: DataFrame, place: str) -> list[dict]:
         if size:
             yield passed(held)
 
-    words = Mapped(place, "words", WORD_KINDS)
+    words = Mapped(place, "words", WORD_KINDS, bits)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, columns in _by_shard(batches, ("<u8", *_STATS)):
@@ -322,7 +329,7 @@ def count_words(texts: DataFrame, place: str) -> list[dict]:
             )
 
     columns = ", ".join(f"{c} binary" for c in WORD_KINDS)
-    placed = _placed(texts.mapInArrow(gather, f"shard int, hashes binary, {columns}"))
+    placed = _placed(texts.mapInArrow(gather, f"shard int, hashes binary, {columns}"), bits)
     rows = placed.mapInArrow(merge, "tokens long, words long, n1 long, n2 long, n3 long, n4 long").collect()  # a row per shard
     return [r.asDict() for r in rows]
 
@@ -346,14 +353,15 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     """Count the model over all texts given."""
     place = local_path(new_dir(docs.sparkSession, "kneser-ney"))
     texts = docs.select(F.col(text).alias("text"))
-    *pair_counts, pairs = count_pairs(texts, place)
-    rows = count_words(texts, place)
+    bits = shard_bits(texts)
+    *pair_counts, pairs = count_pairs(texts, place, bits)
+    rows = count_words(texts, place, bits)
     n = [sum(r[f"n{k}"] for r in rows) for k in range(1, 5)]
     words = sum(r["words"] for r in rows)
     d = discounts(n)
     # different words after 1, 2, and 3 or more different ones pass on their discounts
     share = (d[1] * n[0] + d[2] * n[1] + d[3] * (words - n[0] - n[1])) / pairs if pairs else 1.0
-    return Model(place, sum(r["tokens"] for r in rows), words, pairs, discounts(pair_counts), d, share)
+    return Model(place, bits, sum(r["tokens"] for r in rows), words, pairs, discounts(pair_counts), d, share)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
