@@ -266,14 +266,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one with the smallest id.
+    """One row of each component stays: the one with the smallest id.
 
-    Rows with equal id and text are one document. Where all ids are null, the smallest hash of the
-    text decides.
+    Rows with equal id and text are one document, of which the smallest row stays. Where all ids
+    are null, the smallest hash of the text decides.
     """
     ship(spark)
     rows = components(docs)
     me = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    kept = rows.where(me.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_text")).distinct()
-    same = kept["_kept_id"].eqNullSafe(docs["doc_id"]) & (kept["_kept_text"] == text_hash(docs["text"]))
-    return docs.join(kept, same, "left_semi")
+    kept = rows.where(me.eqNullSafe(F.col("first"))).select(*_document("doc_id", F.col("text_hash"))).distinct()
+    # repeated rows end in their task, so a document that everybody has is no hot key; both sides
+    # are grouped by the same three columns, so the join moves no text once more
+    once = docs.groupBy(*_document("doc_id", text_hash(docs["text"]))).agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return once.join(kept, ["_no_id", "_id", "_text"], "left_semi").select("_row.*")
+
+
+def _document(doc_id: str, text: Column) -> list[Column]:
+    """What names a document, without nulls."""
+    return [
+        F.col(doc_id).isNull().alias("_no_id"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_id"), text.alias("_text")
+    ]

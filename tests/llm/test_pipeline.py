@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -47,6 +48,31 @@ def test_near_dedup_stage_keeps_one_of_each_group(spark, docs, sf):
     assert Counter(r["doc_id"] for r in kept.collect())[5] == 2
 
 
+def test_near_dedup_leaves_no_repeats_for_the_suffix_stage(spark, tmp_path):
+    rng = random.Random(5)
+    twice, nameless = corpus.prose(rng, "en", 90), corpus.prose(rng, "de", 90)
+    some = [dict(d) for d in DOCS if (d["doc_id"] or 99) < 60]
+    some += [{"doc_id": 900, "text": twice, "lang": "en", "source": "s", "n_chars": len(twice)}] * 3
+    some += [{"doc_id": None, "text": nameless, "lang": "de", "source": s, "n_chars": None} for s in ("b", "a", None, "a")]
+    docs = spark.read.parquet(corpus.write(tmp_path, some) + "/documents.parquet").repartition(3)
+    kept = simhash.stage_near_dedup(spark, docs, str(tmp_path))
+    assert kept.schema == docs.schema
+    groups = defaultdict(list)
+    for d, c in zip(some, brute_components([brute_fingerprint(d["text"]) for d in some])):
+        groups[c].append((d["doc_id"] is None, d["doc_id"] or 0, d["text"] or ""))
+    want = Counter((None if none else i, text) for none, i, text in map(min, groups.values()))
+    rows = kept.collect()
+    assert Counter((r["doc_id"], r["text"] or "") for r in rows) == want
+    assert [r["source"] for r in rows if r["doc_id"] is None] == [None]
+    texts = [(r["text"] or "").encode() for r in rows]
+    left = Counter()
+    for r, t, hit in zip(rows, texts, brute_repeats(texts, 200)):
+        left[r["doc_id"], bytes(b for b, h in zip(t, hit) if not h).decode("utf-8", "ignore")] += 1
+    cut = suffix_dedup.stage_suffix_dedup(spark, spark.createDataFrame(rows, kept.schema), str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["text"] or "") for r in cut) == left
+    assert all(r["text"] for r in cut if r["doc_id"] in (5, 900, None))
+
+
 def test_suffix_stage_takes_the_bytes_out(spark, docs, sf):
     kept = suffix_dedup.stage_suffix_dedup(spark, docs, sf)
     assert kept.columns == docs.columns and kept.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
