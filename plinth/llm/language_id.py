@@ -25,8 +25,9 @@ from plinth.llm.batches import documents, joined, pieces, remainder, ship, utf8
 from plinth.llm.features import char_grams, sigmoid
 from plinth.llm.sampling import SEED, collected, ids_by_class, stored_features
 
-#: The fit uses at most so many documents of a language, and so many in all.
-ROWS_PER_LANGUAGE, ROWS = 300, 4000
+#: The fit uses at most so many documents of a language, and so many in all; where languages are
+#: many, each is left its share of the latter, but never fewer than the last.
+ROWS_PER_LANGUAGE, ROWS, FEWEST = 300, 4000, 5
 SIZES = (1, 2, 3)
 BITS = 13
 #: Up to this many languages every split of them is a bit; beyond, bits are drawn.
@@ -92,7 +93,9 @@ def _features(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang") -> Model:
     """Fit on a bounded sample of ``docs`` for each of their languages."""
-    chosen = ids_by_class(docs, doc_id, label, ROWS_PER_LANGUAGE).orderBy(F.xxhash64("_id", F.lit(SEED)), "_id").limit(ROWS)
+    named = docs.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).select(label).distinct().count()
+    share = min(ROWS_PER_LANGUAGE, max(ROWS // max(named, 1), FEWEST))
+    chosen = ids_by_class(docs, doc_id, label, share)
     labels, buckets, values = collected(stored_features(docs, chosen, doc_id, text, _features))
     languages = sorted(set(labels))
     code = codewords(len(languages))

@@ -196,6 +196,14 @@ def test_language(spark, sf):
     assert np.mean(right) > 0.95
 
 
+def test_no_language_is_lost_to_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "ROWS", 20)
+    rows = [(20 * k + i, f"text {k} word", f"common{k}") for k in range(4) for i in range(20)]
+    rows += [(1000 + k, f"other {k} word", f"rare{k}") for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.fit(docs).languages == sorted({lang for _, _, lang in rows})
+
+
 def test_codewords_differ_in_several_bits():
     for k in (2, 3, 4, 5, 9, 30):
         code = language_id.codewords(k)
