@@ -1,6 +1,9 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from plinth.llm import bpe, decontaminate, kneser_ney, language_id, quality, simhash, suffix_dedup, token_counts, toxicity, warc
+from plinth.llm import (
+    alignment, bpe, decontaminate, kneser_ney, language_id, lexical_search, quality, simhash, substring_dedup, suffix_dedup,
+    token_counts, toxicity, warc,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,9 +16,13 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_warc": warc.op9_warc,
     "op10_simhash": simhash.op10_simhash,
+    "op11_substring_dedup": substring_dedup.op11_substring_dedup,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_token_alignment": alignment.op13_token_alignment,
 }
 
 SQL = {
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_warc": warc.OP9_SQL,
+    "op12_lexical_search": lexical_search.OP12_SQL,
 }

@@ -83,7 +83,7 @@ def labels(docs: list[dict]) -> list[dict]:
         if d["doc_id"] is None or d["text"] is None:
             continue
         out.append({"doc_id": d["doc_id"], "quality": 0 if "%%%" in d["text"] else 1, "toxic": int(any(i in d["text"] for i in INSULTS))})
-    return out + [out[0], {"doc_id": None, "quality": 1, "toxic": 1}, {"doc_id": 3, "quality": None, "toxic": None}]
+    return out + out[:1] + [{"doc_id": None, "quality": 1, "toxic": 1}, {"doc_id": 3, "quality": None, "toxic": None}]
 
 
 def write(path, docs: list[dict], extra: dict | None = None) -> str:
