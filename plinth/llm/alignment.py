@@ -34,21 +34,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plinth.llm.batches import documents, utf8
-from plinth.llm.token_counts import safe_pieces
 from plinth.session import new_dir
 
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 #: Characters of text aligned at once; a longer text comes in segments.
 SEGMENT = 1 << 20
-#: Tokens of A in a lane, about.
-LANE = 192
+#: Pieces of text in a lane, and ends compared at once in it at most.
+LANE = 64
+WIDEST = 256
 #: Distinct pieces a worker remembers; beyond it starts anew.
-KEPT_PIECES = 250_000
+KEPT_PIECES = 400_000
 #: Pieces given to the libraries in one call.
 CALL = 2000
 
-_SAFE = re.compile(r"\S(?= )")
+#: Where a text is cut: before a space that follows something other than white space.
+_CUT = re.compile(r"(?<=\S)(?= )")
 _BYTE = re.compile(r"^<0x([0-9A-F]{2})>$")
 
 
@@ -129,25 +130,66 @@ class Encoder:
         )
         # no merge crosses a space after another character if no piece holds one inside
         self.cuts = not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(len(self.bytes_b)))
-        self.known: dict[str, tuple[list[int], list[int]] | None] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Start anew: numbers of pieces, and the ids of piece k from ``first[k]`` to ``first[k + 1]``."""
+        self.known: dict[str, int] = {}
+        self.ids = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.first = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.spelled = np.zeros(0, bool)
 
     def pieces(self, text: str) -> list[str]:
         """Parts of a text that begins with a space; tokens of both sides end at each cut."""
-        return safe_pieces(text) if self.cuts else [text]
+        return _CUT.split(text) if self.cuts else [text]
 
-    def learn(self, pieces: list[str]) -> None:
-        """Make the ids of some pieces known; a piece that its tokens do not spell out has none."""
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece; those not known are encoded first."""
         if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        missing = [p for p in dict.fromkeys(pieces) if p not in self.known]
+            self.forget()
+        missing = list(set(pieces).difference(self.known))
         for at in range(0, len(missing), CALL):
-            call = missing[at:at + CALL]
-            # the library for B puts the space in front by itself, but not before nothing
-            b_ids = [b or [self.b.piece_to_id("▁")] for b in self.b.encode([p[1:] for p in call], num_threads=1)]
-            for piece, a, b in zip(call, self.a.encode_batch_fast(call, add_special_tokens=False), b_ids):
-                a, raw = a.ids, piece.encode()
-                spelled = b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
-                self.known[piece] = (a, b) if spelled else None
+            self._learn(missing[at:at + CALL])
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+
+    def _learn(self, pieces: list[str]) -> None:
+        # pieces that end in no white space can follow one another: their borders are safe cuts as well
+        open_ = [p for p in pieces if self.cuts and not p[-1].isspace()]
+        others = [p for p in pieces if not self.cuts or p[-1].isspace()]
+        for call in [open_, *[[p] for p in others]]:
+            if not call:
+                continue
+            text = "".join(call)
+            ids = [
+                np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64),
+                # the library for B puts the space in front by itself, but not before nothing
+                np.array(self.b.encode(text[1:], num_threads=1) or [self.b.piece_to_id("▁")], np.int64),
+            ]
+            raw, cuts = text.encode(), np.cumsum([len(p.encode()) for p in call])
+            places, whole = [], True
+            for k, (vocabulary, sizes) in enumerate(((self.bytes_a, self.size_a), (self.bytes_b, self.size_b))):
+                ends = np.cumsum(sizes[ids[k]])
+                places.append(np.searchsorted(ends, cuts) + 1)
+                whole &= np.isin(cuts, ends).all() and raw == b"".join(map(vocabulary.__getitem__, ids[k].tolist()))
+            if not whole:  # some piece is not spelled out, or not by tokens of its own
+                if len(call) > 1:
+                    for piece in call:
+                        self._learn([piece])
+                    continue
+                ids, places = [np.zeros(0, np.int64)] * 2, [np.zeros(1, np.int64)] * 2
+            for piece in call:
+                self.known[piece] = len(self.known)
+            self.spelled = np.append(self.spelled, np.full(len(call), whole))
+            for k in (0, 1):
+                self.first[k] = np.append(self.first[k], len(self.ids[k]) + places[k])
+                self.ids[k] = np.append(self.ids[k], ids[k])
+
+    def tokens(self, numbers: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some pieces, and where each piece ends among them."""
+        first = self.first[side]
+        n = first[numbers + 1] - first[numbers]
+        ends = np.cumsum(n)
+        return self.ids[side][np.repeat(first[numbers] - (ends - n), n) + np.arange(int(n.sum()))], ends
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -173,12 +215,8 @@ def common_ends(a: np.ndarray, b: np.ndarray, lanes_a: np.ndarray, lanes_b: np.n
     n = len(a)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    # a stretch may run over the end of the arrays, where nothing is equal any more
-    widest = 1
-    while widest < 2 * LANE:
-        widest *= 2
-    a = np.concatenate([a, np.full(widest, -1)])
-    b = np.concatenate([b, np.full(widest, -2)])
+    # beyond the end nothing is equal any more
+    a, b = np.append(a, -1), np.append(b, -2)
     stop = np.append(lanes_a[1:], n)
     i, shift = lanes_a.copy(), lanes_b - lanes_a
     width = np.full(len(i), 2)
@@ -196,7 +234,7 @@ def common_ends(a: np.ndarray, b: np.ndarray, lanes_a: np.ndarray, lanes_b: np.n
             found.append((at[row, k], at[row, k] + shift[lanes[row]]))
             i[lanes] += run
             through = run == w
-            width[lanes[through]] = min(2 * w, widest)
+            width[lanes[through]] = min(2 * w, WIDEST)
             irregular.append(lanes[~through])
         lanes = np.concatenate(irregular)
         lanes = lanes[i[lanes] < stop[lanes]]
@@ -231,26 +269,14 @@ class Aligned:
     cuts_link: np.ndarray
 
 
-def align(segments: list[list[str]], coder: Encoder) -> Aligned:
-    """Align segments, each a list of known pieces that both sides spell out."""
-    a_ids: list[int] = []
-    b_ids: list[int] = []
-    cuts, lanes, mark = [(0, 0)], [(0, 0)], LANE
-    known = coder.known
-    for pieces in segments:
-        for piece in pieces:
-            a, b = known[piece]
-            if len(a_ids) >= mark:
-                lanes.append((len(a_ids), len(b_ids)))
-                mark = len(a_ids) + LANE
-            a_ids += a
-            b_ids += b
-        cuts.append((len(a_ids), len(b_ids)))
-    a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
-    cuts_a, cuts_b = np.array(cuts).T
-    lanes_a, lanes_b = np.array(lanes).T
-    link_a, link_b = common_ends(np.cumsum(coder.size_a[a]), np.cumsum(coder.size_b[b]), lanes_a, lanes_b)
-    return Aligned(a, b, link_a, link_b, cuts_a, cuts_b, np.searchsorted(link_a, cuts_a))
+def align(pieces: np.ndarray, segments: np.ndarray, coder: Encoder) -> Aligned:
+    """Align segments, of which each ends at a place of ``segments`` in ``pieces``, the numbers of spelled pieces."""
+    (a, ends_a), (b, ends_b) = coder.tokens(pieces, 0), coder.tokens(pieces, 1)
+    starts_a, starts_b = np.append(0, ends_a), np.append(0, ends_b)
+    lanes = np.arange(0, max(len(pieces), 1), LANE)
+    link_a, link_b = common_ends(np.cumsum(coder.size_a[a]), np.cumsum(coder.size_b[b]), starts_a[lanes], starts_b[lanes])
+    cuts = np.append(0, segments)
+    return Aligned(a, b, link_a, link_b, starts_a[cuts], starts_b[cuts], np.searchsorted(link_a, starts_a[cuts]))
 
 
 def written(found: Aligned, coder: Encoder) -> tuple[list[str], np.ndarray]:
@@ -272,7 +298,7 @@ def segments_of(text: str, limit: int = 0) -> Iterator[str]:
     """A text in segments of about ``limit`` characters; each but the first begins with the space it was cut at."""
     at, limit = 0, limit or SEGMENT
     while len(text) - at > limit:
-        cut = _SAFE.search(text, at + limit)
+        cut = _CUT.search(text, at + limit)
         if cut is None:
             break
         yield text[at:cut.end()]
@@ -315,35 +341,43 @@ class _Document:
 
 
 def _aligned(texts: list[bytes], coder: Encoder) -> list[tuple]:
-    documents_, block, size = [_Document() for _ in texts], [], 0
-    spelled = [True] * len(texts)
+    states, spelled = [_Document() for _ in texts], np.ones(len(texts), bool)
+    rows: list[int] = []
+    sizes: list[int] = []
+    held: list[str] = []
 
     def flush() -> None:
-        coder.learn([p for _, pieces in block for p in pieces])
-        for row, pieces in block:
-            spelled[row] &= all(coder.known[p] is not None for p in pieces)
-        whole = [(row, pieces) for row, pieces in block if spelled[row]]
-        found = align([pieces for _, pieces in whole], coder)
+        row, size = np.array(rows), np.array(sizes)
+        numbers = coder.numbers(held)
+        owner = np.repeat(row, size)
+        spelled[owner[~coder.spelled[numbers]]] = False
+        whole = spelled[row]
+        row = row[whole]
+        found = align(numbers[spelled[owner]], np.cumsum(size[whole]), coder)
         tokens, place = written(found, coder)
         pairs = (found.a[found.link_a] << 32) | found.b[found.link_b]
-        for k, (row, _) in enumerate(whole):
-            documents_[row].add(
-                int(found.cuts_a[k + 1] - found.cuts_a[k]), int(found.cuts_b[k + 1] - found.cuts_b[k]),
-                "".join(tokens[place[k]:place[k + 1]]), pairs[found.cuts_link[k]:found.cuts_link[k + 1]],
-            )
+        n_a, n_b = np.diff(found.cuts_a).tolist(), np.diff(found.cuts_b).tolist()
+        for k, r in enumerate(row.tolist()):
+            states[r].add(n_a[k], n_b[k], "".join(tokens[place[k]:place[k + 1]]), pairs[found.cuts_link[k]:found.cuts_link[k + 1]])
+        for gathered in (rows, sizes, held):
+            gathered.clear()
 
+    size = 0
     for row, raw in enumerate(texts):
         if not raw:
             continue
         for segment in segments_of(" " + raw.decode()):
-            block.append((row, coder.pieces(segment)))
+            pieces = coder.pieces(segment)
+            rows.append(row)
+            sizes.append(len(pieces))
+            held.extend(pieces)
             size += len(segment)
             if size >= SEGMENT:
                 flush()
-                block, size = [], 0
-    if block:
+                size = 0
+    if rows:
         flush()
-    return [d.row() if ok else _Document().row() for d, ok in zip(documents_, spelled)]
+    return [d.row() if ok else _Document().row() for d, ok in zip(states, spelled)]
 
 
 def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, vocabulary_a: str = VOCABULARY_A, vocabulary_b: str = VOCABULARY_B) -> DataFrame:
