@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plinth.llm.batches import documents, utf8
+from plinth.llm.words import SAFE_CUT
 from plinth.session import new_dir
 
 VOCABULARY_A = "byte_bpe_50k.json"
@@ -44,12 +45,10 @@ SEGMENT = 1 << 20
 LANE = 64
 WIDEST = 256
 #: Distinct pieces a worker remembers; beyond it starts anew.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 800_000
 #: Pieces given to the libraries in one call.
 CALL = 2000
 
-#: Where a text is cut: before a space that follows something other than white space.
-_CUT = re.compile(r"(?<=\S)(?= )")
 _BYTE = re.compile(r"^<0x([0-9A-F]{2})>$")
 
 
@@ -141,18 +140,26 @@ class Encoder:
 
     def pieces(self, text: str) -> list[str]:
         """Parts of a text that begins with a space; tokens of both sides end at each cut."""
-        return _CUT.split(text) if self.cuts else [text]
+        return SAFE_CUT.split(text) if self.cuts else [text]
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
         """The number of each piece; those not known are encoded first."""
         if len(self.known) > KEPT_PIECES:
             self.forget()
         missing = list(set(pieces).difference(self.known))
+        new: list[tuple[np.ndarray, ...]] = []
         for at in range(0, len(missing), CALL):
-            self._learn(missing[at:at + CALL])
+            self._learn(missing[at:at + CALL], new)
+        if new:
+            whole, *ids_and_sizes = (np.concatenate(x) for x in zip(*new))
+            self.spelled = np.append(self.spelled, whole)
+            for k in (0, 1):
+                self.ids[k] = np.append(self.ids[k], ids_and_sizes[k])
+                self.first[k] = np.append(self.first[k], self.first[k][-1] + np.cumsum(ids_and_sizes[k + 2]))
         return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str], new: list[tuple[np.ndarray, ...]]) -> None:
+        """Number some pieces, and add to ``new`` whether each is spelled out, its ids on both sides and how many."""
         # pieces that end in no white space can follow one another: their borders are safe cuts as well
         open_ = [p for p in pieces if self.cuts and not p[-1].isspace()]
         others = [p for p in pieces if not self.cuts or p[-1].isspace()]
@@ -174,15 +181,12 @@ class Encoder:
             if not whole:  # some piece is not spelled out, or not by tokens of its own
                 if len(call) > 1:
                     for piece in call:
-                        self._learn([piece])
+                        self._learn([piece], new)
                     continue
                 ids, places = [np.zeros(0, np.int64)] * 2, [np.zeros(1, np.int64)] * 2
             for piece in call:
                 self.known[piece] = len(self.known)
-            self.spelled = np.append(self.spelled, np.full(len(call), whole))
-            for k in (0, 1):
-                self.first[k] = np.append(self.first[k], len(self.ids[k]) + places[k])
-                self.ids[k] = np.append(self.ids[k], ids[k])
+            new.append((np.full(len(call), whole), *ids, *(np.diff(p, prepend=0) for p in places)))
 
     def tokens(self, numbers: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some pieces, and where each piece ends among them."""
@@ -298,7 +302,7 @@ def segments_of(text: str, limit: int = 0) -> Iterator[str]:
     """A text in segments of about ``limit`` characters; each but the first begins with the space it was cut at."""
     at, limit = 0, limit or SEGMENT
     while len(text) - at > limit:
-        cut = _CUT.search(text, at + limit)
+        cut = SAFE_CUT.search(text, at + limit)
         if cut is None:
             break
         yield text[at:cut.end()]

@@ -1,8 +1,8 @@
 """Byte-level BPE by ranked merges, and its decoding.
 
 A text is cut by the splitting pattern; each match is a byte array in which the adjacent pair of
-lowest rank is joined until no pair has a rank. A task folds the merges once per distinct piece
-and looks the others up. Decoding concatenates the ids' bytes.
+lowest rank is joined until no pair has a rank. The words that are new to a worker are folded together in
+NumPy, each distinct one once; the others are looked up. Decoding concatenates the ids' bytes.
 
 :func:`fold_merges` does the merges of a column of words by Spark's higher-order functions alone. It
 gives the same ids, but costs about 0.7 ms a word, so the queries use the Arrow form (see README).
@@ -18,20 +18,23 @@ import hashlib
 import heapq
 import json
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.batches import documents, ship, utf8
-from plinth.llm.token_counts import safe_pieces
+from plinth.llm.batches import documents, pieces, ship, utf8
+from plinth.llm.words import SAFE_CUT
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Distinct pieces a task remembers; beyond it starts anew.
-KEPT_PIECES = 600_000
+#: Distinct pieces a worker meets before it forgets those it has not met since as many before.
+KEPT_PIECES = 350_000
 #: Stands for pairs that are no token; larger than every rank.
 NO_RANK = 1 << 62
 #: Longer byte arrays keep their pairs in a heap.
@@ -43,27 +46,79 @@ def load_ranks(name: str = RANKS) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one match of the pattern."""
-    whole = ranks.get(word)
-    if whole is not None:
-        return [whole]
-    if len(word) > SHORT:
-        return _merge_long(word, ranks)
-    get, parts = ranks.get, [word[i:i + 1] for i in range(len(word))]
-    pairs = [get(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
-    while pairs:
-        best = min(pairs)
-        if best == NO_RANK:
-            break
-        at = pairs.index(best)
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        del pairs[at]
-        if at < len(pairs):
-            pairs[at] = get(parts[at] + parts[at + 1], NO_RANK)
-        if at:
-            pairs[at - 1] = get(parts[at - 1] + parts[at], NO_RANK)
-    return [ranks[p] for p in parts]
+class Merges:
+    """Folds the ranked merges over the byte arrays of many words at once.
+
+    All words lie in one array of ids. Each round joins, in every word that still has a pair with a
+    rank, the leftmost pair of lowest rank; only the pairs beside a join are looked up again.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        pairs = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                left, right = ranks.get(token[:k]), ranks.get(token[k:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = rank
+        order = np.argsort(np.fromiter(pairs, np.int64, len(pairs)))
+        self.pairs = np.append(np.fromiter(pairs, np.int64, len(pairs))[order], NO_RANK)
+        self.joined = np.append(np.fromiter(pairs.values(), np.int64, len(pairs))[order], NO_RANK)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = (left << 32) | right
+        at = np.searchsorted(self.pairs, key)
+        return np.where(self.pairs[at] == key, self.joined[at], NO_RANK)
+
+    def fold(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of each word, which are matches of the pattern."""
+        out: list[list[int]] = [[]] * len(words)
+        short = []
+        for k, word in enumerate(words):
+            whole = self.ranks.get(word)
+            if whole is not None:
+                out[k] = [whole]
+            elif len(word) > SHORT:
+                out[k] = _merge_long(word, self.ranks)
+            elif word:
+                short.append(k)
+        if not short:
+            return out
+        ids = self.bytes[np.frombuffer(b"".join(words[k] for k in short), np.uint8)]
+        size = np.array([len(words[k]) for k in short])
+        owner = np.array(short)
+        first = np.cumsum(size) - size
+        last = np.zeros(len(ids), bool)
+        last[first + size - 1] = True
+        rank = np.where(last, NO_RANK, self._rank(ids, np.append(ids[1:], 0)))
+        while True:
+            best = np.minimum.reduceat(rank, first)
+            done = best == NO_RANK
+            if done.any():
+                for k, a, b in zip(owner[done].tolist(), first[done].tolist(), (first + size)[done].tolist()):
+                    out[k] = ids[a:b].tolist()
+                keep = np.repeat(~done, size)
+                ids, rank, last = ids[keep], rank[keep], last[keep]
+                owner, size, best = owner[~done], size[~done], best[~done]
+                if not len(owner):
+                    return out
+                first = np.cumsum(size) - size
+            hit = np.flatnonzero(rank == np.repeat(best, size))
+            word = np.searchsorted(first, hit, "right") - 1
+            hit = hit[np.append(True, word[1:] != word[:-1])]  # the leftmost of each word; every word has one
+            ids[hit] = best
+            last[hit] = last[hit + 1]
+            keep = np.ones(len(ids), bool)
+            keep[hit + 1] = False
+            hit -= np.arange(len(hit))  # one place before each was taken out
+            ids, rank, last = ids[keep], rank[keep], last[keep]
+            size -= 1
+            first = np.cumsum(size) - size
+            right = np.append(ids[1:], 0)
+            rank[hit] = np.where(last[hit], NO_RANK, self._rank(ids[hit], right[hit]))
+            before = hit[hit > first] - 1
+            rank[before] = self._rank(ids[before], ids[before + 1])
 
 
 def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -146,26 +201,69 @@ def join_pieces(ids: Column, ranks: dict[bytes, int]) -> Column:
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
 
 
+#: What a piece of text becomes: how many ids, the ids packed, the ids as text, the bytes they stand for.
+Piece = tuple[int, bytes, str, bytes]
+
+
 class Encoder:
-    """Encodes texts in one task, each distinct piece once."""
+    """Encodes texts, each distinct piece once; a worker process keeps it from task to task."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, vocabulary: str, pattern: str):
         import regex
 
-        self.ranks, self.split = ranks, regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def ids(self, text: str) -> list[int]:
-        known, out = self.known, []
-        if len(known) > KEPT_PIECES:
-            known.clear()
-        for piece in safe_pieces(text):
-            ids = known.get(piece)
-            if ids is None:
-                ranks = self.ranks
-                ids = known[piece] = tuple(i for w in self.split(piece) for i in merge_word(w.encode(), ranks))
-            out += ids
-        return out
+        ranks = load_ranks(vocabulary)
+        self.merges, self.split = Merges(ranks), regex.compile(pattern).findall
+        self.tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self.names = list(map(str, range(len(self.tokens))))
+        # the cuts are safe for this pattern; for another one a text stays whole
+        self.cuts = pattern == public_tokenizers.PATTERN
+        # pieces met lately, and those met before them: rare ones leave after a while
+        self.known: dict[str, Piece] = {}
+        self.before: dict[str, Piece] = {}
+
+    def pieces(self, text: str) -> list[str]:
+        if not text:
+            return []
+        return SAFE_CUT.split(text) if self.cuts else [text]
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Fold the merges of the pieces that are not known, all at once."""
+        if len(self.known) > KEPT_PIECES:
+            self.before, self.known = self.known, {}
+        new = []
+        for piece in set(pieces).difference(self.known):
+            found = self.before.get(piece)
+            if found is None:
+                new.append(piece)
+            else:
+                self.known[piece] = found
+        matches = list(map(self.split, new))
+        words = list(set(chain.from_iterable(matches)))
+        ids_of = dict(zip(words, self.merges.fold([w.encode() for w in words])))
+        tokens, names = self.tokens.__getitem__, self.names.__getitem__
+        for piece, found in zip(new, matches):
+            ids = ids_of[found[0]] if len(found) == 1 else [i for w in found for i in ids_of[w]]
+            self.known[piece] = len(ids), array("i", ids).tobytes(), " ".join(map(names, ids)), b"".join(map(tokens, ids))
+
+    def encode(self, texts: list[bytes]) -> Iterator[list[Piece]]:
+        """The pieces of each text, learned for many texts together."""
+        for lo, hi in pieces(texts):
+            cut = [self.pieces(t.decode()) for t in texts[lo:hi]]
+            self.learn(chain.from_iterable(cut))
+            known = self.known.__getitem__
+            yield from (list(map(known, found)) for found in cut)
+
+
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder(vocabulary: str, pattern: str) -> Encoder:
+    key = vocabulary, pattern
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 def encode(
@@ -181,20 +279,16 @@ def encode(
         fields += [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = load_ranks(vocabulary)
-        encoder = Encoder(ranks, pattern)
-        names = dict(enumerate(map(str, range(max(ranks.values()) + 1))))
-        pieces = {rank: token for token, rank in ranks.items()}
+        coder = encoder(vocabulary, pattern)
         for batch in batches:
             counts, ids_sha, decoded_sha, all_ids, all_bytes = [], [], [], [], []
-            for raw in utf8(batch.column(1)):
-                ids = encoder.ids(raw.decode())
-                decoded = b"".join(map(pieces.__getitem__, ids))
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
+            for found in coder.encode(utf8(batch.column(1))):
+                decoded = b"".join([p[3] for p in found])
+                counts.append(sum([p[0] for p in found]))
+                ids_sha.append(hashlib.sha256(" ".join([p[2] for p in found if p[0]]).encode()).hexdigest())
                 decoded_sha.append(hashlib.sha256(decoded).hexdigest())
                 if keep_ids:
-                    all_ids.append(ids)
+                    all_ids.append(np.frombuffer(b"".join([p[1] for p in found]), np.int32))
                     all_bytes.append(decoded)
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
             if keep_ids:

@@ -56,6 +56,8 @@ SPREAD = 3
 BUCKETS_PER_TASK = 8
 #: Bytes of text whose strings a task gathers before it passes them on.
 GATHERED_BYTES = 12 << 20
+#: Level of compression of the packed strings.
+LEVEL = 6
 #: Bytes of packed strings in one batch of rows.
 BATCH_BYTES = 8 << 20
 
@@ -200,6 +202,7 @@ class Gathered:
             weight = np.array([self.copies[tuple(k)] for k in key.tolist()])
             order = np.argsort(bucket, kind="stable")
             marks: list[np.ndarray] = []
+            codec = pa.Codec("zstd", compression_level=LEVEL)
             for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
                 strings: dict[bytes, int] = {}
                 part = np.array([
@@ -210,7 +213,7 @@ class Gathered:
                 marks.append(_record(_MARK, *key[at[sure]].T, start[at[sure]], start[at[sure]] + windows[at[sure]]))
                 places = _record(_PLACE, *key[at[~sure]].T, part[~sure], start[at[~sure]])
                 packed = BETWEEN.join(strings)
-                blob = len(packed).to_bytes(4, "little") + pa.compress(packed, "zstd", asbytes=True)
+                blob = len(packed).to_bytes(4, "little") + codec.compress(packed, asbytes=True)
                 rows.append((int(bucket[at[0]]), blob, total.tobytes(), places.tobytes(), None))
                 size += len(blob) + places.nbytes
                 if size >= BATCH_BYTES:

@@ -10,6 +10,8 @@ import numpy as np
 from plinth.llm.batches import PIECE_BYTES, SPACE, U64, joined, runs, span_hashes
 
 _GAP = re.compile(rb"[\t-\r ]")
+#: Where no token of byte-level BPE crosses: before a space that follows something other than white space.
+SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 
 
 def cut(text: bytes, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:

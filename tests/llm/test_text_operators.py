@@ -157,18 +157,19 @@ def test_bpe(spark, sf):
 
 
 def test_long_words_merge_alike():
-    ranks, model = bpe.load_ranks(), _tiktoken()
+    fold, model = bpe.Merges(bpe.load_ranks()).fold, _tiktoken()
     for word in ("thequick" * 40, "a" * 700, "xyzü" * 100):
-        assert bpe.merge_word(word.encode(), ranks) == model.encode_ordinary(word)
+        assert fold([word.encode()])[0] == model.encode_ordinary(word)
 
 
 def test_folded_merges_and_joined_pieces(spark):
     ranks = bpe.load_ranks()
-    words = sorted({w.encode() for d in DOCS[:12] for w in bpe.Encoder(ranks, public_tokenizers.PATTERN).split(d["text"])})[:150] + [b"", b"a" * 40]
+    words = sorted({w.encode() for d in DOCS[:12] for w in bpe.Encoder(bpe.RANKS, public_tokenizers.PATTERN).split(d["text"])})[:150] + [b"", b"a" * 40]
+    folded = dict(zip(words, bpe.Merges(ranks).fold(words)))
     rows = spark.createDataFrame([(w,) for w in words], "w binary").withColumn("ids", bpe.fold_merges(F.col("w"), ranks))
     for r in rows.withColumn("bytes", bpe.join_pieces(F.col("ids"), ranks)).collect():
         w = bytes(r["w"])
-        assert list(r["ids"]) == (bpe.merge_word(w, ranks) if w else []) and bytes(r["bytes"]) == w
+        assert list(r["ids"]) == folded[w] and bytes(r["bytes"]) == w
 
 
 def test_ranks_are_the_files():
