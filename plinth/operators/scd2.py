@@ -1,8 +1,7 @@
 """Type-2 dimensions: versions with a validity interval and one current row per live key.
 
 Dimension layout: ``<hk>``, business key, tracked attributes, ``eff_start``, ``eff_end`` (NULL
-while open), ``is_current``. Dimensions are stored partitioned by ``is_current``, so the open
-rows can be read alone.
+while open), ``is_current``.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from plinth.functions.keys import hash_key, with_key
 from plinth.operators.merge import any_differs, fields, metadata_of, without_null_keys
 from plinth.operators.ordered import ROWS_PER_SLICE, add_slice, big_keys, with_next, with_previous
+from plinth.session import stored
 
 MakeKey = Callable[..., Column]
 
@@ -138,6 +138,8 @@ def _chained(
         ).otherwise(was_open).alias("_seed"),
         "_known",
     )
+    # the line is read several times below, and the next batch reads the versions: both are written once
+    line = stored(line, "scd2-line")
     sliced = add_slice(line, key, "_at", big_keys(line, key, "_at", rows_per_slice))
     stepped = with_previous(sliced, key, "_at", ["_state"])
     checked = stepped.withColumn("_seed", F.when(
@@ -152,7 +154,33 @@ def _chained(
         F.col("_known").alias(hk), *key, *fields("_state", tracked, metadata_of(dim, changes)),
         F.col("_at").alias("eff_start"), F.col("_next").alias("eff_end"), F.col("_next").isNull().alias("is_current"),
     )
-    return _with_closed(dim, _keyed(versions, hk, hash_cols or [*key, *tracked, "eff_start"], make_key))
+    keyed = _keyed(versions, hk, hash_cols or [*key, *tracked, "eff_start"], make_key)
+    return _with_closed(dim, stored(keyed.select(*dim.columns), "scd2-versions"))
+
+
+def scd2_late(
+    dim: DataFrame, log: DataFrame, batch: DataFrame, key: list[str], ts: str, tracked: list[str], order_by: list[str], *,
+    hk: str = "hk", rows_per_slice: int = ROWS_PER_SLICE, make_key: MakeKey = hash_key,
+) -> DataFrame:
+    """Dimension after a batch of dated states, however late some of them are.
+
+    ``log`` holds the states of all batches before, ``dim`` is the dimension made of them; ``batch``
+    goes into the log afterwards. A state that falls into closed history opens the interval it hits:
+    the version there ends at it, and its own version lasts until the key's next known state. A
+    dimension alone cannot tell when that is, since it does not keep states that repeated the one
+    before; so the keys of the batch, and no others, are built anew from their part of the log. The
+    result is that of :func:`scd2_from_log` over all batches, in whatever order they came.
+
+    Two states of a key at one time are told apart by ``order_by``. States with a NULL key take no
+    part. The versions of the batch's keys are written once, so a chain of batches reads each once.
+    """
+    keyed = without_null_keys(batch, key)
+    touched = keyed.select(*key).distinct()
+    states = log.join(touched, key, "left_semi").select(*log.columns).unionByName(keyed.select(*log.columns))
+    built = scd2_from_log(stored(states, "scd2-states"), key, ts, tracked, order_by, hk=hk, rows_per_slice=rows_per_slice, make_key=make_key)
+    kinds = {f.name: f.dataType for f in dim.schema.fields}
+    versions = stored(built.select(*[F.col(c).cast(kinds[c]).alias(c) for c in dim.columns]), "scd2-versions")
+    return dim.join(touched, key, "left_anti").select(*dim.columns).unionByName(versions)
 
 
 def scd2_match_on(

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plinth.operators.joins import heavy_keys, lookup_dim, salted_join, splits_skew
-from plinth.operators.merge import Merged, merge
+from plinth.operators.latest import single_per_key
+from plinth.operators.merge import Merged, any_differs, fields, merge, metadata_of
 
 FACT_KEYS = ["order_item_id", "order_id"]
 FACT_COLUMNS = [
@@ -113,6 +116,40 @@ def orphans(items: DataFrame, rows: DataFrame) -> DataFrame:
     return named.join(rows.select(*FACT_KEYS), FACT_KEYS, "left_anti")
 
 
+@dataclass(frozen=True)
+class Replaced(Merged):
+    """Result of :func:`replace_orders`: a fact row may have no new image."""
+
+    def table(self) -> DataFrame:
+        kept = self.rows.where(F.col("_new").isNotNull())
+        return kept.select(*fields("_new", self.columns, self.metadata))
+
+
+def replace_orders(fact: DataFrame, rows: DataFrame, touched: DataFrame) -> Replaced:
+    """The fact in which the rows of the ``touched`` orders are exactly ``rows``.
+
+    What an order has lost (a returned item, a deleted order, delivery or dimension row) leaves the
+    fact as a true DELETE; equal rows are no change. ``fact`` may be any part of the table that
+    holds all rows of these orders.
+    """
+    ids = touched.select(F.col("order_id").alias("_touched")).distinct()
+    flagged = fact.join(ids, F.col("order_id") == F.col("_touched"), "left")
+    old = flagged.select(*[F.col(k).alias(f"_old_{k}") for k in FACT_KEYS], F.struct(*fact.columns).alias("_old"), "_touched")
+    src = single_per_key(rows.select(*fact.columns), FACT_KEYS).select(
+        *[F.col(k).alias(f"_src_{k}") for k in FACT_KEYS], F.struct(*fact.columns).alias("_src")
+    )
+    on = reduce(lambda a, b: a & b, [F.col(f"_old_{k}") == F.col(f"_src_{k}") for k in FACT_KEYS])
+    joined = old.join(src, on, "full_outer")
+    compared = [c for c in fact.columns if c not in FACT_KEYS]
+    op = (
+        F.when(F.col("_old").isNull(), "insert")
+        .when(F.col("_src").isNotNull(), F.when(any_differs("_old", "_src", compared), "update").otherwise("keep"))
+        .when(F.col("_touched").isNotNull(), "delete").otherwise("keep")
+    )
+    new = F.when(F.col("_src").isNotNull(), F.col("_src")).when(F.col("_touched").isNull(), F.col("_old"))
+    return Replaced(joined.select(op.alias("_op"), "_old", new.alias("_new")), fact.columns, metadata_of(fact, rows))
+
+
 def merge_fact(fact: DataFrame, rows: DataFrame, order_by: list[str] | None = None) -> Merged:
     """Upsert fact rows on item and order."""
     return merge(fact, rows, FACT_KEYS, order_by=order_by)

@@ -69,10 +69,10 @@ def revenue_kpis(totals: DataFrame, grain: list[str | Column]) -> DataFrame:
         F.sum("revenue").alias("_revenue"), F.count(F.lit(1)).alias("total_orders"),
         F.sum("items").alias("_items"), F.max("max_line").alias("_max"),
     )
-    return _measures(summed, [c for c in summed.columns if c not in ("_revenue", "total_orders", "_items", "_max")])
+    return measures(summed, [c for c in summed.columns if c not in ("_revenue", "total_orders", "_items", "_max")])
 
 
-def _measures(summed: DataFrame, keys: list[str]) -> DataFrame:
+def measures(summed: DataFrame, keys: list[str]) -> DataFrame:
     return summed.select(
         *keys,
         F.col("_revenue").cast(MONEY).alias("total_revenue"),
@@ -125,7 +125,31 @@ def rollup(totals: DataFrame) -> DataFrame:
         F.grouping_id().cast("int").alias("grouping_level"), F.sum("r").alias("_revenue"),
         F.sum("o").alias("total_orders"), F.sum("i").alias("_items"), F.max("m").alias("_max"),
     )
-    return _measures(levels, ["year", "month", "day", "grouping_level"])
+    return measures(levels, ["year", "month", "day", "grouping_level"])
+
+
+def restaurant_cube(rows: DataFrame) -> DataFrame:
+    """Revenue, distinct orders and largest line by year, month, restaurant, and all their subtotals.
+
+    An order with items of several restaurants counts once wherever it is summed up, so counts do
+    not add. They are kept as exact bitmaps: order numbers are dealt to buckets of 32,768, a bucket
+    of a group is one bitmap, and coarser grains are the union of bitmaps. Tasks send bitmaps, one
+    for each group and bucket they met, instead of order numbers; only these expand into subtotals.
+    """
+    grain = ["year", "month", "restaurant_name"]
+    fine = rows.groupBy(*grain, F.bitmap_bucket_number("order_id").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("order_id")).alias("_orders"),
+        F.sum("subtotal").alias("_revenue"), F.max("subtotal").alias("_max"),
+    )
+    # the bucket is part of every level, so the bitmaps of a group stay small and in many groups
+    sets = [[c for k, c in enumerate(grain) if level & (4 >> k) == 0] for level in range(8)]
+    levels = fine.groupingSets([[*s, "_bucket"] for s in sets], *grain, "_bucket").agg(
+        F.grouping_id().alias("_id"), F.bitmap_count(F.bitmap_or_agg("_orders")).alias("_n"),
+        F.sum("_revenue").alias("_revenue"), F.max("_max").alias("_max"),
+    )
+    return levels.groupBy(*grain, "_id").agg(
+        F.sum("_n").alias("total_orders"), F.sum("_revenue").cast(MONEY).alias("total_revenue"), F.max("_max").alias("max_order_value"),
+    ).select(*grain, (F.col("_id") / 2).cast("int").alias("grouping_level"), "total_revenue", "total_orders", "max_order_value")
 
 
 def register_views(fact: DataFrame, date_dim: DataFrame, restaurants: DataFrame) -> None:
@@ -206,8 +230,8 @@ RANKING_HEADINGS = [
 
 
 def ranking_for_display(ranking: DataFrame):
-    """The rows of :func:`top_restaurants` (at most 100) as a pandas frame with readable headings."""
-    return ranking.toDF(*RANKING_HEADINGS).limit(100).toPandas()
+    """The rows of :func:`top_restaurants`, which has the ``n`` rows asked of it, as a pandas frame with readable headings."""
+    return ranking.toDF(*RANKING_HEADINGS).toPandas()
 
 
 def top_per_month(restaurant_kpis: DataFrame, n: int = 10) -> DataFrame:

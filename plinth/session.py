@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _local_roots: dict[str, str] = {}
@@ -36,3 +37,14 @@ def scratch_root(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, name: str) -> str:
     """A fresh, not yet existing path below the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once below the scratch root and read from there.
+
+    For what several plans read: it cuts the plan, and a lost executor costs no more than a read.
+    """
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) if f.metadata else F.col(f.name) for f in df.schema.fields])
