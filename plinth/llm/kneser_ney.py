@@ -90,9 +90,16 @@ def _store(path: str, values: np.ndarray) -> None:
 
 
 def _load(path: str, kind: str) -> np.ndarray:
-    if not os.path.exists(path) or not os.path.getsize(path):
-        return np.zeros(0, kind)
-    return np.memmap(path, kind, "r")
+    """Every shard has its files, so one that is not there is an error, not an empty shard."""
+    return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
+
+
+def _complete(tables: list[Mapped], written: set[int], bits: int) -> None:
+    """Give the shards that no row fell into their empty files, once the others are written."""
+    for shard in set(range(1 << bits)) - written:
+        for table in tables:
+            for column in ("hash", *table.kinds):
+                _store(table.path(shard, column), np.zeros(0, np.uint8))
 
 
 class Mapped:
@@ -239,11 +246,13 @@ def count_pairs(texts: DataFrame, place: str, bits: int) -> list[int]:
             _store(pairs.large.path(shard, "hash"), found[frequent])
             _store(pairs.large.path(shard, "count"), n[frequent].astype("<i8"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([len(found)]), *[pa.array([int((n == k).sum())]) for k in range(1, 5)]], ["n", "n1", "n2", "n3", "n4"]
+                [pa.array([shard]), pa.array([len(found)]), *[pa.array([int((n == k).sum())]) for k in range(1, 5)]],
+                ["shard", "n", "n1", "n2", "n3", "n4"],
             )
 
     placed = _placed(texts.mapInArrow(gather, "shard int, hashes binary, counts binary"), bits)
-    rows = placed.mapInArrow(merge, "n long, n1 long, n2 long, n3 long, n4 long").collect()  # a row per shard
+    rows = placed.mapInArrow(merge, "shard long, n long, n1 long, n2 long, n3 long, n4 long").collect()  # a row per shard
+    _complete([pairs.small, pairs.large], {r["shard"] for r in rows}, bits)
     return [sum(r[k] for r in rows) for k in ("n1", "n2", "n3", "n4", "n")]
 
 
@@ -323,14 +332,15 @@ def count_words(texts: DataFrame, place: str, bits: int) -> list[dict]:
             token = keys != START
             before = np.rint(sums[1]).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(sums[0][token].sum())]), pa.array([int(token.sum())]),
+                [pa.array([shard]), pa.array([int(sums[0][token].sum())]), pa.array([int(token.sum())]),
                  *[pa.array([int((before == k).sum())]) for k in range(1, 5)]],
-                ["tokens", "words", "n1", "n2", "n3", "n4"],
+                ["shard", "tokens", "words", "n1", "n2", "n3", "n4"],
             )
 
     columns = ", ".join(f"{c} binary" for c in WORD_KINDS)
     placed = _placed(texts.mapInArrow(gather, f"shard int, hashes binary, {columns}"), bits)
-    rows = placed.mapInArrow(merge, "tokens long, words long, n1 long, n2 long, n3 long, n4 long").collect()  # a row per shard
+    rows = placed.mapInArrow(merge, "shard long, tokens long, words long, n1 long, n2 long, n3 long, n4 long").collect()  # a row per shard
+    _complete([words], {r["shard"] for r in rows}, bits)
     return [r.asDict() for r in rows]
 
 

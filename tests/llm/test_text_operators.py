@@ -459,3 +459,16 @@ def test_links_find_every_pair(spark, monkeypatch, crowd):
         got[roots.get(s, s)].add(x)
         want[c].add(x)
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_a_lost_model_file_is_an_error(spark, sf):
+    import os
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = kneser_ney.train(docs)
+    words = model.arrays()[1]
+    kept = [words.path(s, "hash") for s in range(1 << words.bits)]
+    assert all(map(os.path.exists, kept))
+    broken = kneser_ney.Mapped(words.place + "-gone", "words", words.kinds, words.bits)
+    with pytest.raises(FileNotFoundError):
+        broken.get(np.arange(4, dtype=np.uint64))
