@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plinth.session import stored
+
 # Fixed values, as SQL escapes: separator between attributes and the mark that stands for NULL.
 SEPARATOR = "\\u001f"
 NULL_MARK = "\\u001e"
@@ -52,8 +54,10 @@ def surrogate_key(
     Rows are spread over ``buckets`` (default: by the number of rows) by a hash of the key and
     numbered inside their bucket; the only global step is a running sum over one count per bucket.
     The result depends on the data alone, so a recomputed task gives the same numbers again.
-    ``start`` may be a scalar subquery, such as the largest number given so far.
+    ``start`` may be a scalar subquery, such as the largest number given so far. Without
+    ``buckets`` the rows are written once, to be counted and numbered from there.
     """
+    df = df if buckets else stored(df, "numbered")
     n = buckets or max(1, -(-df.count() // ROWS_PER_BUCKET))
     first = start if isinstance(start, Column) else F.lit(start)
     bucketed = with_key(df, "_bucket", key).withColumn("_bucket", F.pmod("_bucket", F.lit(n)).cast("int"))

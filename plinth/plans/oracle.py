@@ -309,8 +309,19 @@ FROM next_day WHERE customer_id NOT IN (SELECT customer_id FROM people)""",
     AS column_name, unnest([0, 0, 0, 0, 0, count(*) FILTER (length(preferences) > 22)]) AS too_long FROM customer_text""",
         "check_unique": """SELECT l_orderkey, l_linenumber, count(*) AS key_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-        "check_fk": """SELECT l_partkey AS menu_id_fk, count(*) AS orphan_rows FROM lineitem
-WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_type <> 'PROMO') GROUP BY l_partkey""",
+        "check_fk": f"""WITH calendar AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT 'menu' AS constraint_name, CAST(l_partkey AS VARCHAR) AS key, count(*) AS orphan_rows FROM lineitem
+  WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO') GROUP BY l_partkey
+UNION ALL SELECT 'restaurant', CAST(l_suppkey AS VARCHAR), count(*) FROM lineitem
+  WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE CAST(s_acctbal AS DECIMAL(10,2)) < 0) GROUP BY l_suppkey
+UNION ALL SELECT 'restaurant_location', CAST(s_nationkey AS VARCHAR), count(*) FROM supplier WHERE s_nationkey >= 20 GROUP BY s_nationkey
+UNION ALL SELECT 'customer', CAST(o_custkey AS VARCHAR), count(*) FROM orders
+  WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY o_custkey
+UNION ALL SELECT 'customer_address', CAST(o_custkey * 2 AS VARCHAR), count(*) FROM orders
+  WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE {_nth(CITIES, 'c_nationkey')} = 'Mumbai') GROUP BY o_custkey
+UNION ALL SELECT 'delivery_agent', CAST(agent AS VARCHAR), count(*) FROM (SELECT o_orderkey % (SELECT count(*) FROM supplier) AS agent FROM orders)
+  WHERE agent NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey >= 5) GROUP BY agent
+UNION ALL SELECT 'order_date', CAST(d AS VARCHAR), count(*) FROM calendar WHERE year(d) = 1998 GROUP BY d""",
         "layer_counts": """SELECT 'stage' AS layer, count(*) AS row_count FROM lineitem
 UNION ALL SELECT 'quarantine', count(*) FROM lineitem WHERE year(l_shipdate) = 2001
 UNION ALL SELECT 'clean', count(DISTINCT (l_linenumber, l_orderkey, l_partkey)) FROM lineitem WHERE year(l_shipdate) <> 2001""",
@@ -404,7 +415,9 @@ WHERE year = 1998 AND month = 3 ORDER BY total_revenue DESC, restaurant_name, de
   ORDER BY total_revenue DESC, restaurant_name, delivery_status) AS INTEGER) AS rank FROM kpis) SELECT * FROM ranked WHERE rank <= 5""",
         "stream_upsert": """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
-        "bucket_delete": "SELECT * FROM nation WHERE n_regionkey <> 0",
+        "bucket_delete": """SELECT o_orderkey AS order_id, o_custkey AS customer_id_fk, CAST(o_orderdate AS VARCHAR) AS order_date,
+  CAST(o_totalprice AS DECIMAL(10,2)) AS total_amount, o_orderstatus AS status, o_orderpriority AS payment_method
+FROM orders WHERE o_orderstatus <> 'P'""",
         "stream_entity": f"""WITH {CUSTOMER_TEXT} SELECT customerid AS customer_id, login, login AS login_by_using, since, NULL AS reason FROM (
   SELECT customerid, CASE WHEN c_acctbal < 0 THEN 'Google' ELSE loginbyusing END AS login,
     CASE WHEN c_acctbal < 0 OR (loginbyusing = 'BUILDING' AND c_acctbal > 5000) THEN '{DAY_1}' ELSE '{DAY_0}' END AS since FROM customer_text)

@@ -25,6 +25,7 @@ from plinth.operators.scd2 import (
 )
 from plinth.plans import entities as E
 from plinth.plans import fact, kpi, layers
+from plinth import session
 from plinth.session import new_dir
 from plinth.sources import csv_drop, given
 from plinth.sources.bucketed import BucketedTable
@@ -320,9 +321,25 @@ def check_unique(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def check_fk(spark: SparkSession, sf: str) -> DataFrame:
-    """Items whose menu entry is missing, after the promotional entries were taken off the menu."""
-    menu = given.menu_items(spark, sf).where(F.col("category") != "PROMO")
-    return quality.check_fk(given.order_items(spark, sf), menu, "menu_id_fk", "menu_id")
+    """The seven foreign keys of the fact, against dimensions that each lack some rows."""
+    items = given.order_items(spark, sf)
+    orders = given.orders(spark, sf).withColumn("order_day", F.to_date("order_date"))
+    deliveries, suppliers = given.deliveries(spark, sf), given.restaurants(spark, sf)
+    checks = [
+        ("menu", items, "menu_id_fk", given.menu_items(spark, sf).where("category <> 'PROMO'"), "menu_id"),
+        ("restaurant", items, "restaurant_id_fk", suppliers.where("pricing_for_two >= 0"), "restaurant_id"),
+        ("restaurant_location", suppliers, "location_id_fk", given.locations(spark, sf).where("location_id < 20"), "location_id"),
+        ("customer", orders, "customer_id_fk", given.customers(spark, sf).where("segment <> 'BUILDING'"), "customer_id"),
+        ("customer_address", deliveries, "customer_address_id_fk", given.customer_addresses(spark, sf).where("city <> 'Mumbai'"), "address_id"),
+        ("delivery_agent", deliveries, "delivery_agent_id_fk", given.delivery_agents(spark, sf).where("location_id_fk >= 5"), "delivery_agent_id"),
+        ("order_date", orders, "order_day", given.calendar(spark, sf).where("year <> 1998"), "calendar_date"),
+    ]
+    found = [
+        quality.check_fk(rows.withColumn(fk, F.col(fk).cast("string")), dim.withColumn(pk, F.col(pk).cast("string")), fk, pk)
+        .select(F.lit(name).alias("constraint_name"), F.col(fk).alias("key"), "orphan_rows")
+        for name, rows, fk, dim, pk in checks
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -553,7 +570,8 @@ def fact_merge(spark: SparkSession, sf: str) -> DataFrame:
     first = fact.build_fact(items, orders, before, dims)
     stored = BucketedTable(new_dir(spark, "fact"), first.schema, fact.FACT_KEYS, _tasks(spark))
     stored.create(first)
-    rebuilt = fact.build_fact(fact.touched_items(items, [moved], items.limit(0)), orders, after, dims)
+    # the new rows are written once: the buckets they touch are read off them before they are merged
+    rebuilt = session.stored(fact.build_fact(fact.touched_items(items, [moved], items.limit(0)), orders, after, dims), "fact-delta")
     stored.upsert(rebuilt, 1, lambda old, new: fact.merge_fact(old, new).table())
     return stored.read(spark)
 
@@ -676,13 +694,14 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bucket_delete(spark: SparkSession, sf: str) -> DataFrame:
-    """A bucketed table after an upsert that empties some of its buckets."""
-    nations = given.table(spark, sf, "nation")
-    table = BucketedTable(new_dir(spark, "nations"), nations.schema, ["n_nationkey"], 64)
-    table.create(nations)
-    gone = nations.where(F.col("n_regionkey") == 0)
-    table.upsert(gone, 1, lambda old, new: old.join(new, ["n_nationkey"], "left_anti").select(*old.columns))
-    return table.read(spark)
+    """Orders in buckets by status and priority, after all orders in transit were taken out, which
+    empties the buckets that hold no others."""
+    orders = given.orders(spark, sf)
+    table = BucketedTable(new_dir(spark, "order-buckets"), orders.schema, ["status", "payment_method"], 64)
+    table.create(orders)
+    gone = orders.where(F.col("status") == "P")
+    table.upsert(gone, 1, lambda old, new: old.join(new.select("order_id"), "order_id", "left_anti").select(*old.columns))
+    return iso(table.read(spark))
 
 
 def stream_entity(spark: SparkSession, sf: str) -> DataFrame:

@@ -68,9 +68,9 @@ class BucketedTable:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
 
     def _written(self, df: DataFrame, version: int, touched: set[int]) -> dict[int, int | None]:
-        # keys are unique and hashed, so buckets are even and one task per bucket is enough
+        # keys are unique and hashed, so buckets are even; a task gets one bucket, as its number is the task's
         folder = f"{self.path}/v={version}"
-        placed = df.select(*self.schema.names, self._bucket()).repartition(self.buckets, BUCKET)
+        placed = df.select(*self.schema.names, self._bucket()).repartitionById(self.buckets, BUCKET)
         placed.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         filled = {int(n.split("=")[1]) for n in manifest.names(df.sparkSession, folder) if n.startswith(f"{BUCKET}=")}
         return {b: version if b in filled else None for b in touched | filled}

@@ -1,7 +1,9 @@
 """Published versions of tables: one small file per version names the parts that belong to it.
 
-A version exists once its file does, and the file appears whole, by a rename. Several tables may
-share a log, so that they advance together. Older versions can be removed with their data.
+A version exists once its file does, and the file appears whole, by a rename. Publishing a version
+again adds a file with the next number, which counts from then on; nothing is deleted for it, so a
+published version is there at every moment. Several tables may share a log, so that they advance
+together. Older versions can be removed with their data.
 """
 
 from __future__ import annotations
@@ -31,29 +33,36 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
+def _published(spark: SparkSession, log: str) -> dict[int, list[str]]:
+    """Files by version, the one that counts last."""
+    found: dict[int, list[str]] = {}
+    for name in sorted(n for n in names(spark, log) if n.endswith(".json") and n[0] != "."):
+        found.setdefault(int(name.split("-")[0].removesuffix(".json")), []).append(name)
+    return found
+
+
 def versions(spark: SparkSession, log: str) -> list[int]:
-    return sorted(int(n.removesuffix(".json")) for n in names(spark, log) if n.endswith(".json") and n[0] != ".")
+    return sorted(_published(spark, log))
 
 
 def latest(spark: SparkSession, log: str, upto: int | None = None) -> Tables:
     """The tables as of the newest version, or the newest one up to ``upto``."""
-    found = [v for v in versions(spark, log) if upto is None or v <= upto]
+    found = {v: files for v, files in _published(spark, log).items() if upto is None or v <= upto}
     if not found:
         return {}
-    text = spark.read.text(f"{log}/{found[-1]:020d}.json", wholetext=True).first()[0]
+    text = spark.read.text(f"{log}/{found[max(found)][-1]}", wholetext=True).first()[0]
     return {path: {int(b): v for b, v in held.items()} for path, held in json.loads(text).items()}
 
 
 def publish(spark: SparkSession, log: str, version: int, changed: Tables) -> None:
     """Publish a version: the one before, with the tables given replaced. Repeating it replaces it."""
     base = latest(spark, log, version if version == 0 else version - 1)
-    fs, target = _open(spark, f"{log}/{version:020d}.json")
+    again = len(_published(spark, log).get(version, []))
+    fs, target = _open(spark, f"{log}/{version:020d}-{again:06d}.json")
     _, draft = _open(spark, f"{log}/.{version}-{uuid.uuid4().hex}")
     out = fs.create(draft)
     out.write(bytearray(json.dumps(base | changed).encode()))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
     if not fs.rename(draft, target):
         raise OSError(f"version {version} could not be published in {log}")
 
@@ -75,5 +84,6 @@ def prune(spark: SparkSession, log: str, keep: int = 2) -> None:
                 for part in names(spark, f"{path}/{folder}"):
                     if part.startswith("_bucket=") and (int(part[8:]), number) not in pairs:
                         remove(spark, f"{path}/{folder}/{part}")
-    for v in old:
-        remove(spark, f"{log}/{v:020d}.json")
+    for v, files in _published(spark, log).items():
+        for name in files if v in old else files[:-1]:
+            remove(spark, f"{log}/{name}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plinth.operators.latest import latest_per_key
-from plinth.operators.merge import merge
+from plinth.operators.merge import GONE, merge
 from plinth.operators.scd2 import scd2_apply
 from plinth.plans import layers
 from plinth.plans.entities import Entity
@@ -79,10 +79,14 @@ def _publish_with_dimension(
     if not clean.log or clean.log != dim.log:
         raise ValueError("the clean table and its dimension need one log, to advance together")
     keys, spark = clean.keys, delta.sparkSession
-    current = clean.staged(spark, state).join(delta.select(*keys).distinct(), keys, "left_semi").select(*keys, *tracked)
+    # a clean table that keeps tombstones closes the version of a deleted key
+    soft = GONE in clean.schema.names
+    current = clean.staged(spark, state).join(delta.select(*keys).distinct(), keys, "left_semi").select(
+        *keys, *tracked, (F.col(GONE) if soft else F.lit(False)).alias(GONE)
+    )
 
     def apply(old: DataFrame, new: DataFrame) -> DataFrame:
-        images = new.select(F.lit("INSERT").alias("_action"), F.lit(True).alias("_is_update"), *keys, *tracked)
+        images = new.select(F.when(F.col(GONE), "DELETE").otherwise("INSERT").alias("_action"), (~F.col(GONE)).alias("_is_update"), *keys, *tracked)
         return scd2_apply(old, images, keys, tracked, as_of, hk=hk)
 
     manifest.publish(spark, clean.log, version, {clean.path: state, dim.path: dim.stage(current, version, apply)})
@@ -116,7 +120,7 @@ def replace_batch(table: BucketedTable) -> Batch:
             lambda old, new: merge(old, new, table.keys).table(),
         )
 
-    return run
+    return once(run)
 
 
 def run_available(stream: DataFrame, batch: Batch, checkpoint: str, mode: str = "append") -> StreamingQuery:
