@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -84,3 +84,65 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
         for name, df in layers.items()
     ]
     return reduce(DataFrame.unionByName, counted)
+
+
+def write_checked(
+    df: DataFrame, path: str, *, not_null: list[str] = (), lengths: dict[str, int] | None = None,
+    castable: dict[str, str] | None = None, rules: dict[str, Column] | None = None, mode: str = "append",
+) -> dict[str, int]:
+    """Write a table and return the counts of all checks, taken while it is written, in the same job.
+
+    Keys: ``rows``, ``null <column>``, ``too long <column>``, ``not castable <column>`` and the names
+    of ``rules`` (how many rows break them). Nothing is read a second time and nothing is shuffled:
+    each task counts its rows, and the counts come back with the write. Checks that have to see all
+    rows of a key together (:func:`check_unique`, :func:`check_fk`) need jobs of their own.
+    """
+    counts = {"rows": F.count(F.lit(1))}
+    counts |= {f"null {c}": F.count_if(F.col(c).isNull()) for c in not_null}
+    counts |= {f"too long {c}": F.count_if(F.length(c) > n) for c, n in (lengths or {}).items()}
+    counts |= {f"not castable {c}": F.count_if(not_castable(c, t)) for c, t in (castable or {}).items()}
+    counts |= {name: F.count_if(F.coalesce(rule, F.lit(False))) for name, rule in (rules or {}).items()}
+    seen = Observation()
+    df.observe(seen, *[count.alias(name) for name, count in counts.items()]).write.mode(mode).parquet(path)
+    return seen.get
+
+
+#: Buckets that :func:`reconcile` compares by their digests.
+RECONCILE_BUCKETS = 4096
+
+
+def reconcile(
+    left: DataFrame, right: DataFrame, keys: list[str], compare: list[str], buckets: int = RECONCILE_BUCKETS
+) -> DataFrame:
+    """Keys in which two layers differ: the ``keys`` and ``difference`` (``lost``, ``added``, ``changed``).
+
+    Keys are dealt to buckets by hash. A bucket's digest does not depend on the order of its rows:
+    count, sum and xor of row hashes, which are partial aggregates, so one row for each bucket and
+    task is shuffled. Rows are compared in buckets that differ only. A key that stands there several
+    times counts as changed unless both layers hold the same rows. NULL keys are keys here.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+    def digested(df: DataFrame, side: str) -> DataFrame:
+        h = F.xxhash64(*keys, *compare)
+        return df.groupBy(bucket.alias("_bucket")).agg(
+            F.struct(F.count(F.lit(1)), F.sum(h.cast("decimal(20,0)")), F.bit_xor(h)).alias(f"_{side}")
+        )
+
+    # at most `buckets` rows
+    differing = digested(left, "l").join(digested(right, "r"), "_bucket", "full_outer").where(~F.col("_l").eqNullSafe(F.col("_r"))).select("_bucket")
+
+    def rows_of(df: DataFrame, sign: int) -> DataFrame:
+        part = df.select(*keys, *compare, bucket.alias("_bucket")).join(F.broadcast(differing), "_bucket", "left_semi")
+        return part.select(*keys, F.struct(*compare).alias("_row"), F.lit(sign).alias("_side"))
+
+    both = rows_of(left, 1).unionByName(rows_of(right, -1))
+    # equal rows cancel out; what is left of a key tells how it differs
+    rest = both.groupBy(*keys, "_row").agg(F.sum("_side").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    per_key = rest.groupBy(*keys).agg(
+        F.max((F.col("_n") != 0).cast("int")).alias("_differs"),
+        F.sum(F.col("_n")).alias("_more"), F.sum(F.col("_rows")).alias("_rows"),
+    ).where("_differs = 1")
+    only = F.abs("_more") == F.col("_rows")  # all rows of the key are on one side
+    difference = F.when(only & (F.col("_more") > 0), "lost").when(only, "added").otherwise("changed")
+    return per_key.select(*keys, difference.alias("difference"))

@@ -67,4 +67,21 @@ SELECT year, month, restaurant_name, CAST(grouping(year) * 4 + grouping(month) *
   CAST(sum(subtotal) AS DECIMAL(18,2)) AS total_revenue, count(DISTINCT order_id) AS total_orders, max(subtotal) AS max_order_value
 FROM named GROUP BY CUBE (year, month, restaurant_name)""",
         "period_report": f"WITH {_sales(O.DELIVERED)} SELECT year, month, day, {O.MEASURES} FROM sales WHERE year = 1997 AND month = 3 GROUP BY year, month, day",
+        "fact_bucketed": O.FACT,
+        "checks_on_load": f"""WITH {O.ITEM_TEXT}, n AS (SELECT count(*) AS n, count(*) FILTER (length(quantity) > 4) AS long_ones,
+  count(*) FILTER (quantity LIKE 'x%') AS odd, count(*) FILTER (CAST(price AS DECIMAL(10,2)) > 90000) AS dear FROM item_text)
+SELECT unnest(['rows', 'null orderid', 'null menuid', 'too long quantity', 'dear', 'not castable orderitemid', 'not castable orderid',
+    'not castable menuid', 'not castable quantity', 'not castable price', 'not castable subtotal', 'not castable createddate',
+    'not castable modifieddate']) AS check_name,
+  unnest([n, 0, 0, long_ones, dear, 0, 0, 0, odd, 0, 0, 0, 0]) AS row_count FROM n""",
+        "reconcile_layers": f"""WITH {O.CUSTOMERS}, clean AS (
+  SELECT customer_id, CAST(balance + CASE WHEN segment = 'MACHINERY' THEN 1 ELSE 0 END AS DECIMAL(10,2)) AS balance
+  FROM people WHERE segment <> 'BUILDING' UNION ALL SELECT customer_id, balance FROM next_day WHERE segment = 'SUPPLIER')
+SELECT 'stage to clean' AS step, customer_id, CASE WHEN segment = 'BUILDING' THEN 'lost' ELSE 'changed' END AS difference
+FROM people WHERE segment IN ('BUILDING', 'MACHINERY')
+UNION ALL SELECT 'stage to clean', customer_id, 'added' FROM next_day WHERE segment = 'SUPPLIER'
+UNION ALL SELECT 'clean to dimension', customer_id, 'lost' FROM clean WHERE balance < 0""",
+        "stream_landing": f"""WITH {O.ORDER_TEXT} SELECT orderid, customerid, orderdate, totalamount, status, true AS has_key,
+  CASE WHEN customerid LIKE '%7' THEN 'more fields than columns' END AS reason FROM order_text""",
+        "stream_kpis": f"WITH {_sales("o_orderstatus IN ('F', 'P')")} SELECT year, month, day, {O.MEASURES} FROM sales GROUP BY year, month, day",
     }

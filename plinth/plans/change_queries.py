@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plinth.operators import quality
 from plinth.operators.cdc import changes_of_log, net_changes
 from plinth.operators.merge import GONE, merge_by_digest, merge_with_deletes, with_digest
-from plinth.operators.scd2 import empty_dim, scd2_late
+from plinth.operators.scd2 import empty_dim, new_versions, scd2_late
 from plinth.plans import entities as E
 from plinth.plans import fact, kpi, kpi_incremental, layers
 from plinth.plans.fact_store import FactStore
-from plinth.plans.queries import _latest_items, dimensions, iso
+from plinth.plans.queries import _latest_items, _tasks, dimensions, iso
 from plinth.session import new_dir, stored
 from plinth.sources import given
+from plinth.streaming import ingest, upsert
+from plinth.streaming import kpis as live
 
 
 # --- clean tables and dimensions ----------------------------------------------------------------
@@ -164,6 +169,95 @@ def period_kpis(store: FactStore, spark: SparkSession, dates: DataFrame) -> Data
     return kpi.revenue_kpis(totals, ["year", "month", F.col("day_of_the_month").alias("day")])
 
 
+def fact_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact from items, orders and deliveries that are stored bucketed by order."""
+    n, tag = _tasks(spark), uuid.uuid4().hex
+    tables = [
+        fact.save_bucketed(rows, f"plinth_{name}_{tag}", key, n, new_dir(spark, f"bucketed-{name}"))
+        for name, rows, key in (
+            ("items", given.order_items(spark, sf), "order_id_fk"), ("orders", given.orders(spark, sf), "order_id"),
+            ("deliveries", given.deliveries(spark, sf), "order_id_fk"),
+        )
+    ]
+    return fact.fact_of_lines(fact.order_lines(*tables), dimensions(spark, sf))
+
+
+# --- loads --------------------------------------------------------------------------------------
+
+
+def checks_on_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of all row checks of landed order items, taken by the job that stores them."""
+    text = given.order_item_text(spark, sf)
+    counts = quality.write_checked(
+        text, new_dir(spark, "checked-items"), not_null=["orderid", "menuid"], lengths={"quantity": 4}, castable=E.ORDER_ITEM.must_cast,
+        rules={"dear": F.col("price").cast("decimal(10,2)") > 90000},
+    )
+    return spark.createDataFrame([(k, v) for k, v in counts.items()], "check_name string, row_count bigint")
+
+
+def reconcile_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed customers against the clean table of a load that lost one segment, changed another
+    and brought in suppliers of its own, and that table against its dimension."""
+    people = given.customers(spark, sf)
+    clean = people.where("segment <> 'BUILDING'").withColumn(
+        "balance", F.when(F.col("segment") == "MACHINERY", (F.col("balance") + 1).cast("decimal(10,2)")).otherwise(F.col("balance"))
+    ).unionByName(given.customers_day_1(spark, sf).where("segment = 'SUPPLIER'"))
+    tracked = ["name", "segment", "balance"]
+    dim = new_versions(clean.where("balance >= 0"), ["customer_id"], tracked, given.at(given.DAY_0))
+    steps = {"stage to clean": (people, clean), "clean to dimension": (clean, dim.where("is_current"))}
+    found = [quality.reconcile(*pair, ["customer_id"], tracked).withColumn("step", F.lit(step)) for step, pair in steps.items()]
+    return found[0].unionByName(found[1])
+
+
+def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """Order files streamed into a stage table: one lands again under another name, and some rows
+    have a field too many. What landed, with its file's key, and what was rejected."""
+    root, landing = new_dir(spark, "landing"), new_dir(spark, "landing-files")
+    columns = ["orderid", "customerid", "orderdate", "totalamount", "status"]
+    text = given.order_text(spark, sf).select(*columns)
+    extra = F.when(F.col("customerid").endswith("7"), F.concat("status", F.lit(",surplus")))
+    for n, status in enumerate(("F", "O", "P")):
+        # written as plain lines below a heading, so that a row can have a surplus field
+        line = F.concat_ws(",", "orderid", "customerid", "orderdate", "totalamount", F.coalesce(extra, "status"))
+        part = text.where(F.col("status") == status).select(F.lit(1).alias("place"), line.alias("value"))
+        heading = spark.range(1).select(F.lit(0).alias("place"), F.lit(",".join(columns)).alias("value"))
+        for copy in range(2 if status == "O" else 1):
+            lines = heading.unionByName(part).coalesce(1).sortWithinPartitions("place", "value")
+            lines.select("value").write.text(f"{landing}/{n}-{copy}")
+    stream = ingest.landing_stream(spark, f"{landing}/*", columns, files_per_batch=1)
+    batch = ingest.landing_batch(f"{root}/stage", columns)
+    upsert.run_available(stream, batch, f"{root}/checkpoint").awaitTermination()
+    stage = spark.read.parquet(f"{root}/stage").select(
+        *columns, (F.length("_stg_file_md5") == 32).alias("has_key"), F.lit(None).cast("string").alias("reason")
+    )
+    rejects = spark.read.parquet(f"{root}/stage_rejects").select(
+        *[F.split("_corrupt_record", ",")[k].alias(c) for k, c in enumerate(columns)], (F.length("_stg_file_md5") == 32).alias("has_key"),
+        F.col("_reason").alias("reason"),
+    )
+    return stage.unionByName(rejects)
+
+
+def stream_kpis(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily KPIs of delivered items, live: first all items as they are, then those of orders in
+    transit again as they arrive, and last, late, a state of them from before."""
+    root, landing = new_dir(spark, "live-kpis"), new_dir(spark, "live-items")
+    rows = _kpi_rows(spark, sf).withColumn("modified", F.lit(given.DAY_0))
+    moving = rows.where(F.col("delivery_status") == "In Transit")
+    arrived = moving.withColumn("delivery_status", F.lit(kpi.DELIVERED)).withColumn("modified", F.lit(given.DAY_1))
+    late = moving.withColumn("delivery_status", F.lit("Pending")).withColumn("modified", F.lit("1997-01-01 00:00:00"))
+    store = FactStore(f"{root}/fact", rows.schema)
+    grain = kpi_incremental.DAY_GRAIN
+    empty = kpi_incremental.state_of(rows, grain).schema
+    batch = live.kpi_batch(store, root, grain, empty, "modified")
+    store.create(rows.limit(0))
+    for n, part in enumerate((rows, arrived, late)):
+        part.write.parquet(f"{landing}/load={n}")
+        stream = ingest.parquet_stream(spark, f"{landing}/load={{{','.join(map(str, range(n + 1)))}}}", rows.schema)
+        upsert.run_available(stream, batch, f"{root}/checkpoint").awaitTermination()
+    day = F.col("day_of_the_month").alias("day")
+    return kpi_incremental.view(live.latest_state(spark, root, empty), given.calendar(spark, sf), ["year", "month", day], kpi.DELIVERED)
+
+
 QUERIES = {
     "merge_with_deletes": merge_deletes,
     "merge_by_digest": merge_digest,
@@ -173,4 +267,9 @@ QUERIES = {
     "kpi_incremental": kpi_incremental_views,
     "restaurant_cube": restaurant_cube,
     "period_report": period_report,
+    "fact_bucketed": fact_bucketed,
+    "checks_on_load": checks_on_load,
+    "reconcile_layers": reconcile_layers,
+    "stream_landing": stream_landing,
+    "stream_kpis": stream_kpis,
 }

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.plans.fact import replace_orders
+from plinth.plans.fact import Replaced, replace_orders
 from plinth.session import stored
 from plinth.sources import manifest
 
@@ -58,23 +58,37 @@ class FactStore:
         calendar = F.broadcast(dates.withColumn(MONTH, month_of("calendar_date")))  # one row per day
         return self.read(spark).join(calendar, [MONTH]).where(F.col(DAY) == F.col("calendar_date"))
 
-    def replace_orders(self, spark: SparkSession, rows: DataFrame, touched: DataFrame) -> DataFrame:
+    def replace_orders(self, spark: SparkSession, rows: DataFrame, touched: DataFrame, aside: str | None = None) -> DataFrame:
         """Make the rows of the ``touched`` orders exactly ``rows``; returns the change rows.
 
         Only the months that hold a row of these orders, before or after, are read and written. Old
         and new images are written aside first: the change rows are read from there, and a batch
-        that fails while it replaces months can be run again.
+        that fails while it replaces months can be run again. With ``aside``, a path of its own for
+        each batch, such a repetition goes by the images that are there already.
         """
+        if aside and "_SUCCESS" in manifest.names(spark, aside):
+            return self._replace(spark, spark.read.parquet(aside))
+        replaced = self._images(spark, rows, touched)
+        if aside:
+            replaced.write.mode("overwrite").parquet(aside)
+            return self._replace(spark, spark.read.schema(replaced.schema).parquet(aside))
+        return self._replace(spark, stored(replaced, "fact-replaced"))
+
+    def _images(self, spark: SparkSession, rows: DataFrame, touched: DataFrame) -> DataFrame:
+        """Old and new images of the months that hold rows of the touched orders."""
         rows, touched = stored(rows.select(*self.schema.names), "fact-rows"), stored(touched.select("order_id").distinct(), "fact-touched")
         held = self.read(spark).join(touched, "order_id", "left_semi").select(MONTH)
         new = rows.select(month_of(DAY).alias(MONTH))
         months = sorted(r[0] for r in held.unionByName(new).distinct().collect())  # months of the calendar
         part = self.read(spark).where(F.col(MONTH).isin(months)).drop(MONTH) if months else spark.createDataFrame([], self.schema)
-        replaced = replace_orders(part, rows, touched)
-        once = type(replaced)(stored(replaced.rows, "fact-replaced"), replaced.columns, replaced.metadata)
-        after = once.table()
+        return replace_orders(part, rows, touched).rows
+
+    def _replace(self, spark: SparkSession, images: DataFrame) -> DataFrame:
+        done = Replaced(images, self.schema.names, {})
+        after = done.table()
+        months = {r[0] for side in ("_old", "_new") for r in images.where(F.col(side).isNotNull()).select(month_of(F.col(side)[DAY])).distinct().collect()}
         left = {r[0] for r in after.select(month_of(DAY)).distinct().collect()}
         self._write(after, self.path)
-        for month in set(months) - left:  # nothing is left in it
+        for month in months - left:  # nothing is left in it
             manifest.remove(spark, f"{self.path}/{MONTH}={month}")
-        return once.changes()
+        return done.changes()

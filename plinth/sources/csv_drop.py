@@ -55,17 +55,24 @@ def read_with_rejects(
     fields than columns, which no column could take. ``continue`` rejects every malformed row.
     """
     every = read_positional(spark, path, columns, glob=glob, corrupt_record=True, options=options)
+    # all columns are read on both sides: a pruned read would not judge the rows alike
+    return rejected_rows(every, columns, on_error=on_error, options=options)
+
+
+def rejected_rows(
+    every: DataFrame, columns: list[str], *, on_error: str = "keep", options: dict[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Split rows that carry the text of malformed ones in ``_corrupt_record``, as :func:`read_with_rejects` does."""
     wider = text_schema([*columns, "_more"])
     how = {k: v for k, v in {**CSV_FORMAT, **(options or {})}.items() if k in ("sep", "quote", "escape")}
     more = F.from_csv(CORRUPT, wider.simpleString()[7:-1].replace(":", " "), {**how, "emptyValue": ""})["_more"].isNotNull()
     malformed = F.col(CORRUPT).isNotNull()
     rejected = malformed & more if on_error == "keep" else malformed
     reason = F.when(more, "more fields than columns").otherwise("fewer fields than columns")
-    # all columns are read on both sides: a pruned read would not judge the rows alike
     return every.where(~F.coalesce(rejected, F.lit(False))).drop(CORRUPT), every.where(rejected).withColumn("_reason", reason)
 
 
-def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Path, size and modification time of every file below a folder; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -73,7 +80,7 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path).select("path", "length", "modificationTime")
 
 
-def file_digests(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def file_digests(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """``path``, ``length``, ``modificationTime`` and content key of every file.
 
     The key is one rule for files of any size: MD5 over the number of lines and the sum and xor of
