@@ -18,7 +18,6 @@ import hashlib
 import heapq
 import json
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -34,7 +33,7 @@ from plinth.llm.words import SAFE_CUT
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Distinct pieces a worker meets before it forgets those it has not met since as many before.
-KEPT_PIECES = 350_000
+KEPT_PIECES = 200_000
 #: Stands for pairs that are no token; larger than every rank.
 NO_RANK = 1 << 62
 #: Longer byte arrays keep their pairs in a heap.
@@ -201,10 +200,6 @@ def join_pieces(ids: Column, ranks: dict[bytes, int]) -> Column:
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), ""))
 
 
-#: What a piece of text becomes: how many ids, the ids packed, the ids as text, the bytes they stand for.
-Piece = tuple[int, bytes, str, bytes]
-
-
 class Encoder:
     """Encodes texts, each distinct piece once; a worker process keeps it from task to task."""
 
@@ -220,8 +215,8 @@ class Encoder:
         # the cuts are safe for this pattern; for another one a text stays whole
         self.cuts = pattern == public_tokenizers.PATTERN
         # pieces met lately, and those met before them: rare ones leave after a while
-        self.known: dict[str, Piece] = {}
-        self.before: dict[str, Piece] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         if not text:
@@ -242,18 +237,21 @@ class Encoder:
         matches = list(map(self.split, new))
         words = list(set(chain.from_iterable(matches)))
         ids_of = dict(zip(words, self.merges.fold([w.encode() for w in words])))
-        tokens, names = self.tokens.__getitem__, self.names.__getitem__
         for piece, found in zip(new, matches):
             ids = ids_of[found[0]] if len(found) == 1 else [i for w in found for i in ids_of[w]]
-            self.known[piece] = len(ids), array("i", ids).tobytes(), " ".join(map(names, ids)), b"".join(map(tokens, ids))
+            # as text, which takes little memory and is what the ids are hashed as
+            self.known[piece] = " ".join(map(self.names.__getitem__, ids)).encode()
 
-    def encode(self, texts: list[bytes]) -> Iterator[list[Piece]]:
-        """The pieces of each text, learned for many texts together."""
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text in decimal, one space apart; many texts are learned together."""
         for lo, hi in pieces(texts):
             cut = [self.pieces(t.decode()) for t in texts[lo:hi]]
             self.learn(chain.from_iterable(cut))
             known = self.known.__getitem__
-            yield from (list(map(known, found)) for found in cut)
+            yield from (b" ".join(filter(None, map(known, found))) for found in cut)
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -282,13 +280,14 @@ def encode(
         coder = encoder(vocabulary, pattern)
         for batch in batches:
             counts, ids_sha, decoded_sha, all_ids, all_bytes = [], [], [], [], []
-            for found in coder.encode(utf8(batch.column(1))):
-                decoded = b"".join([p[3] for p in found])
-                counts.append(sum([p[0] for p in found]))
-                ids_sha.append(hashlib.sha256(" ".join([p[2] for p in found if p[0]]).encode()).hexdigest())
+            for written in coder.encode(utf8(batch.column(1))):
+                ids = list(map(int, written.split()))
+                decoded = coder.decode(ids)
+                counts.append(len(ids))
+                ids_sha.append(hashlib.sha256(written).hexdigest())
                 decoded_sha.append(hashlib.sha256(decoded).hexdigest())
                 if keep_ids:
-                    all_ids.append(np.frombuffer(b"".join([p[1] for p in found]), np.int32))
+                    all_ids.append(np.array(ids, np.int32))
                     all_bytes.append(decoded)
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
             if keep_ids:
