@@ -194,6 +194,128 @@ def order_item_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def restaurant_files(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Suppliers as restaurants, the richest new on day 1. Then all are sent again: debtors are closed
+    and their price is no number any more, the others are as they were."""
+    debtor, rich = F.col("s_acctbal") < 0, F.col("s_acctbal") > 8000
+    key, nation = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
+    first = table(spark, sf, "supplier").select(
+        key.alias("restaurantid"),
+        F.col("s_name").alias("name"),
+        F.concat(F.lit("cuisine "), nation).alias("cuisinetype"),
+        money("s_acctbal").cast("string").alias("pricing_for_2"),
+        F.concat(F.lit("080"), F.lpad(key, 7, "0")).alias("restaurant_phone"),
+        F.lit("10 AM - 11 PM").alias("operatinghours"),
+        (F.col("s_nationkey") + 1).cast("string").alias("locationid"),
+        F.lit("Yes").alias("activeflag"),
+        F.lit("Open").alias("openstatus"),
+        F.lit(None).cast("string").alias("locality"),
+        F.concat(F.col("s_name"), F.lit(", street "), nation).alias("restaurant_address"),
+        F.concat(F.lit("12."), F.lpad(nation, 6, "0")).alias("latitude"),
+        F.concat(F.lit("-77."), F.lpad(nation, 6, "0")).alias("longitude"),
+        F.lit("2020-01-01 08:30:00.123456000").alias("createddate"),
+        F.lit("2020-01-01 08:30:00.123456000").alias("modifieddate"),
+        debtor.alias("_debtor"), rich.alias("_rich"),
+    )
+    again = (
+        first.withColumn("openstatus", F.when(F.col("_debtor"), "Closed").otherwise(F.col("openstatus")))
+        .withColumn("pricing_for_2", F.when(F.col("_debtor"), "n/a").otherwise(F.col("pricing_for_2")))
+        .withColumn("modifieddate", F.lit("2020-02-01 00:00:00"))
+    )
+    return first.where(~F.col("_rich")).drop("_debtor", "_rich"), again.drop("_debtor", "_rich")
+
+
+def address_files(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Homes of all customers; on day 1 their offices, and the homes of debtors with another landmark
+    and another owner. Offices of one segment have ids that are no numbers."""
+    rows = table(spark, sf, "customer")
+
+    def lines(kind: str, n: int) -> DataFrame:
+        key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+        number = (F.col("c_custkey") * 2 + n).cast("string")
+        return rows.select(
+            F.when((F.col("c_mktsegment") == "MACHINERY") & F.lit(n == 1), F.concat(F.lit("x"), number)).otherwise(number).alias("addressid"),
+            key.alias("customerid"),
+            F.concat(F.lit("F"), nation).alias("flatno"),
+            key.alias("houseno"),
+            nation.alias("floor"),
+            F.col("c_mktsegment").alias("building"),
+            F.lit("old tree").alias("landmark"),
+            F.lit(None).cast("string").alias("locality"),
+            _listed(CITIES, "c_nationkey").alias("city"),
+            _listed(STATES, "c_nationkey").alias("state"),
+            F.lpad(key, 6, "0").alias("pincode"),
+            F.concat(F.lit("12,"), nation).alias("coordinates"),
+            F.lit("No" if n else "Yes").alias("primaryflag"),
+            F.lit(kind).alias("addresstype"),
+            F.lit("2020-01-01T08:30:00.500000").alias("createddate"),
+            F.lit("2020-01-01T08:30:00.500000").alias("modifieddate"),
+            "c_acctbal",
+        )
+
+    home, office = lines("Home", 0), lines("Office", 1).where(F.col("c_acctbal") > 5000)
+    moved = (
+        home.where(F.col("c_acctbal") < 0).withColumn("customerid", F.lit("0")).withColumn("landmark", F.lit("new bridge"))
+        .withColumn("modifieddate", F.lit("2020-03-01T00:00:00"))
+    )
+    return home.drop("c_acctbal"), moved.unionByName(office).drop("c_acctbal")
+
+
+def agent_files(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Suppliers as agents; on day 1 debtors among them have another name and rating, and rich
+    customers become agents with ids from a billion on."""
+
+    def agents(p: str, owner: str, key: Column) -> DataFrame:
+        nation = F.col(f"{p}_nationkey")
+        return table(spark, sf, owner).select(
+            key.cast("string").alias("deliveryagentid"),
+            F.col(f"{p}_name").alias("name"),
+            F.concat(F.lit("7"), F.lpad(key.cast("string"), 10, "0")).alias("phone"),
+            F.when(nation < 12, "Bike").otherwise("Scooter").alias("vehicletype"),
+            (nation + 1).cast("string").alias("locationid"),
+            F.lit("Active").alias("status"),
+            F.lit(None).cast("string").alias("gender"),
+            F.concat(F.pmod(nation, 5).cast("string"), F.lit(".5")).alias("rating"),
+            F.lit("2020-01-01 00:00:00").alias("createddate"),
+            F.lit("2020-01-01 00:00:00").alias("modifieddate"),
+            F.col(f"{p}_acctbal").alias("_balance"),
+        )
+
+    first = agents("s", "supplier", F.col("s_suppkey"))
+    changed = (
+        first.where(F.col("_balance") < 0).withColumn("name", F.lit("renamed")).withColumn("rating", F.lit("1.25"))
+        .withColumn("modifieddate", F.lit("2020-02-01 00:00:00"))
+    )
+    joining = agents("c", "customer", F.col("c_custkey") + 1_000_000_000).where(F.col("_balance") > 9000)
+    return first.drop("_balance"), changed.unionByName(joining).drop("_balance")
+
+
+def delivery_files(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """A delivery per order; on day 1 those in transit arrive, urgent pending ones go to the next
+    agent, which is a row of its own, and pending ones of low priority have a date that is none."""
+    status = F.col("o_orderstatus")
+    moment = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    first = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("deliveryid"),
+        F.col("o_orderkey").cast("string").alias("orderid"),
+        F.pmod("o_orderkey", F.lit(97)).cast("string").alias("deliveryagentid"),
+        delivery_status(status).alias("deliverystatus"),
+        F.col("o_orderpriority").alias("estimatedtime"),
+        (F.col("o_custkey") * 2).cast("string").alias("addressid"),
+        moment.alias("deliverydate"), moment.alias("createddate"), moment.alias("modifieddate"),
+    )
+    pending, priority = F.col("deliverystatus") == "Pending", F.col("estimatedtime")
+    urgent, slow = pending & (priority == "1-URGENT"), pending & (priority == "5-LOW")
+    agent = F.col("deliveryagentid")
+    delta = first.where((F.col("deliverystatus") == "In Transit") | urgent | slow).select(
+        "deliveryid", "orderid", F.when(urgent, (agent.cast("bigint") + 1).cast("string")).otherwise(agent).alias("deliveryagentid"),
+        F.when(pending, F.col("deliverystatus")).otherwise("Delivered").alias("deliverystatus"), "estimatedtime", "addressid",
+        F.when(slow, "soon").otherwise(F.col("deliverydate")).alias("deliverydate"), "createddate",
+        F.lit("2002-01-01 00:00:00").alias("modifieddate"),
+    )
+    return first, delta
+
+
 # --- typed clean tables -----------------------------------------------------------------------
 
 
