@@ -4,13 +4,15 @@ A payload's bytes are stored once, under their SHA-256; the exact header block o
 row of its own that names the payload. Reading checks every payload against its digest.
 
 Defined cases: a null payload is empty; rows with equal ids are separate records; a null id is the
-smallest; control characters and spaces in an address are dropped from the header, where they
-could not stand. Other columns of the input are not read, so their names cannot clash.
+smallest. Control characters and spaces cannot stand in a header: such an address is written with
+them percent-encoded, and whole, as form encoding, in a field of its own, from which it is read. A
+null address has no field. Other columns of the input are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ REVISIT_FROM = 1000
 
 CRLF = "\r\n"
 NO_ID = "none"
+EXACT_ADDRESS = "X-Exact-Address"
 
 
 @dataclass(frozen=True)
@@ -69,8 +72,7 @@ def header(revisit: Column) -> Column:
         F.lit(f"WARC/1.1{CRLF}WARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
         F.lit(f"{CRLF}WARC-Record-ID: "), _id("page_id"),
         F.when(revisit, F.concat(F.lit(f"{CRLF}WARC-Refers-To: "), _id("newest"))).otherwise(""),
-        F.lit(f"{CRLF}WARC-Target-URI: "),
-        F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"[\x00-\x20\x7F]", ""),
+        F.when(F.col("url").isNull(), "").otherwise(_address("url")),
         F.lit(f"{CRLF}WARC-Payload-Digest: sha1:"), F.col("sha1"),
         F.lit(f"{CRLF}Content-Type: text/html{CRLF}Content-Length: "),
         F.when(revisit, F.lit(0)).otherwise(F.col("n")).cast("string"),
@@ -78,6 +80,22 @@ def header(revisit: Column) -> Column:
     return F.concat(lines, F.lit(CRLF + CRLF))
 
 
+def _address(url: str) -> Column:
+    """The field with an address, and a second one if the first does not hold it as it is."""
+    unsafe = [chr(c) for c in (*range(33), 127)]
+    safe = reduce(lambda text, c: F.replace(text, F.lit(c), F.lit(f"%{ord(c):02X}")), unsafe, F.col(url))
+    plain = F.concat(F.lit(f"{CRLF}WARC-Target-URI: "), F.col(url))
+    both = F.concat(F.lit(f"{CRLF}WARC-Target-URI: "), safe, F.lit(f"{CRLF}{EXACT_ADDRESS}: "), F.url_encode(url))
+    return F.when(F.col(url).rlike(r"[\x00-\x20\x7F]"), both).otherwise(plain)
+
+
+def address() -> Column:
+    """The address of a record, as it was, from the column ``header``; null if it had none."""
+    exact = field(EXACT_ADDRESS)
+    named = F.col("header").contains(f"{CRLF}WARC-Target-URI: ")
+    return F.when(exact != "", F.url_decode(exact)).when(named, field("WARC-Target-URI"))
+
+
 def write(pages: DataFrame, archive: Archive, **columns: str) -> Archive:
     """Write headers and payloads as two Parquet tables."""
     body = columns.get("body", "html")
@@ -89,7 +107,7 @@ def write(pages: DataFrame, archive: Archive, **columns: str) -> Archive:
 
 
 def read(spark: SparkSession, archive: Archive) -> DataFrame:
-    """Rows header, payload, record: ``record`` is the record as a WARC file would hold it.
+    """Rows header, payload, record, url: ``record`` is the record as a WARC file would hold it.
 
     Fails if a payload does not have the digest it is stored under, or if a header names a
     payload that is not there.
@@ -107,7 +125,7 @@ def read(spark: SparkSession, archive: Archive) -> DataFrame:
     own = F.when(field("WARC-Type") == "revisit", F.lit(b"")).otherwise(found)
     end = F.lit((CRLF + CRLF).encode())
     return rows.select(
-        "header", found.alias("payload"), F.concat(F.col("header").cast("binary"), own, end).alias("record")
+        "header", found.alias("payload"), F.concat(F.col("header").cast("binary"), own, end).alias("record"), address().alias("url")
     )
 
 

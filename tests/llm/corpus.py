@@ -74,7 +74,8 @@ def pages() -> list[dict]:
     big, small = "<p>" + "x" * 1500, "<p>small"
     bodies = [big, big, small, small, big + "é", None, "", "<b>" + "é" * 600, big]
     out = [{"page_id": k, "url": f"http://h/{k}", "html": b} for k, b in enumerate(bodies)]
-    return out + [{"page_id": 40, "url": "http://h/a b\r\nWARC-Type: x", "html": "y" * 999}, {"page_id": 41, "url": None, "html": "y" * 1000}]
+    odd = ["http://h/a b\r\nWARC-Type: x", None, "", "http://h/ab", "http://h/a b", "http://h/a%20b", "http://h/a+b%", "http://h/é ü\x00\x7f\t"]
+    return out + [{"page_id": 40 + k, "url": u, "html": "y" * (999 + k)} for k, u in enumerate(odd)]
 
 
 def labels(docs: list[dict]) -> list[dict]:
