@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from plinth.llm.batches import U64, documents, pieces, ship, utf8
 from plinth.llm.components import stars
 from plinth.llm.skew import dealt_anew
-from plinth.session import new_dir
+from plinth.session import new_dir, stored
 
 SEED = 42
 SHINGLE = 3
@@ -38,6 +38,8 @@ BLOCK_BITS = 31
 
 #: Fingerprints of one anchor that a task compares.
 CROWD = 100_000
+#: Anchors in a broadcast list of crowded ones at most (8 MB).
+BROADCAST_ROWS = 1_000_000
 
 #: Eight lanes of one byte, a lane for each bit of the index, the highest bit in the highest lane.
 _LANES = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], U64)
@@ -173,8 +175,10 @@ def _stars_of(fp: np.ndarray, home: np.ndarray) -> Iterator[tuple[int, np.ndarra
 def links(fps: DataFrame) -> DataFrame:
     """u, v: edges between distinct fingerprints whose components are those of all links."""
     placed = anchored(fps)
-    # at most 32 / CROWD rows for each fingerprint, so the list is small next to any table
-    crowded = F.broadcast(placed.groupBy("anchor").count().where(F.col("count") > CROWD).select(F.col("anchor").alias("_anchor")))
+    crowded = stored(placed.groupBy("anchor").count().where(F.col("count") > CROWD).select(F.col("anchor").alias("_anchor")), "crowded")
+    # at most 32 / CROWD rows for each fingerprint; beyond the bound the join is Spark's to plan
+    if crowded.count() <= BROADCAST_ROWS:
+        crowded = F.broadcast(crowded)
     here = F.col("anchor") == F.col("_anchor")
     met = _links_at_anchors(placed.join(crowded, here, "left_anti"))
     return met.unionByName(_links_at_words(placed.join(crowded, here, "left_semi").select("fp").distinct())).distinct()
