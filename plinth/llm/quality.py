@@ -126,7 +126,7 @@ def _features(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", *, rows: int = TRAIN_ROWS) -> Model | None:
     """Fit and calibrate on a bounded sample of labelled rows; None without both kinds of rows."""
-    chosen = labelled_ids(labels, doc_id, label, rows)
+    chosen, shift = labelled_ids(docs, labels, doc_id, label, rows)
     y, buckets, values = collected(stored_features(docs, chosen, doc_id, text, _features))
     y = np.array([1.0 if v else 0.0 for v in y])
     apart = np.arange(len(y)) % CALIBRATES == CALIBRATES - 1
@@ -147,10 +147,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     weights[wanted] = w
     margin = bias + np.bincount(owner, shares * weights[cols], len(y))[apart]
     if len(set(y[apart])) < 2:
-        return Model(weights.astype(np.float32), bias, 1.0, 0.0)
+        return Model(weights.astype(np.float32), bias, 1.0, shift)
     n = int(apart.sum())
     slope, offset = fit_logistic(np.arange(n), np.zeros(n, int), margin, y[apart], 1, 1e-3, 300)
-    return Model(weights.astype(np.float32), bias, float(slope[0]), offset)
+    return Model(weights.astype(np.float32), bias, float(slope[0]), offset + shift)
 
 
 def probabilities(piece: Piece, model: Model) -> np.ndarray:

@@ -17,20 +17,37 @@ SEED = 20240229
 PARTS = 64
 
 
-def labelled_ids(labels: DataFrame, doc_id: str, label: str, rows: int) -> DataFrame:
-    """_id, _label of at most ``rows`` documents with a label, chosen by a hash of the id.
+def labelled_ids(docs: DataFrame, labels: DataFrame, doc_id: str, label: str, rows: int) -> tuple[DataFrame, float]:
+    """_id, _label (0 or 1) of at most ``rows`` labelled documents, and what the sample does to log odds.
 
-    A document labelled twice takes its largest label; rows without an id or label are left out.
+    Labels other than 0 are 1; a document labelled twice takes its largest label; rows without an id
+    or label, and ids that ``docs`` does not have, are left out. A rare class comes in whole as far as
+    it fits into half of the rows. The number returned is to be added to the log odds of a
+    classifier fitted on the sample, so that they are those of all labelled documents.
     """
-    known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
-    once = known.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
-    return once.orderBy(F.xxhash64("_id", F.lit(SEED)), "_id").limit(rows)
+    once = _largest_label(labels, doc_id, label).select("_id", (F.col("_label").cast("double") != 0).cast("int").alias("_label"))
+    known = once.join(docs.select(F.col(doc_id).alias("_known")), F.col("_id") == F.col("_known"), "left_semi")
+    counts = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}  # two rows
+    few = min(counts.get(k, 0) for k in (0, 1))
+    per_class = max(rows // 2, rows - few)
+    shift = 0.0
+    if few:
+        taken = {k: min(n, per_class) for k, n in counts.items()}
+        shift = float(np.log(counts[1] / counts[0]) - np.log(taken[1] / taken[0]))
+    return _by_class(known, per_class), shift
 
 
 def ids_by_class(docs: DataFrame, doc_id: str, label: str, per_class: int) -> DataFrame:
     """_id, _label of at most ``per_class`` documents of each class, chosen by a hash of the id."""
+    return _by_class(_largest_label(docs, doc_id, label), per_class)
+
+
+def _largest_label(docs: DataFrame, doc_id: str, label: str) -> DataFrame:
     known = docs.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
-    once = known.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
+    return known.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
+
+
+def _by_class(once: DataFrame, per_class: int) -> DataFrame:
     # planned as group limits on both sides of the shuffles: first per class and part, so that a
     # hot class is ranked in many tasks, then per class over the few rows that are left
     hashed = once.withColumn("_hash", F.xxhash64("_id", F.lit(SEED))).withColumn("_part", F.pmod("_hash", F.lit(PARTS)))

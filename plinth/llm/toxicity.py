@@ -67,8 +67,9 @@ def _features(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", *, rows: int = TRAIN_ROWS) -> Model:
-    """Fit on a bounded sample of the labelled rows given."""
-    sample = stored_features(docs, labelled_ids(labels, doc_id, label, rows), doc_id, text, _features)
+    """Fit on a bounded sample of the labelled rows given, of both classes alike as far as there are rows."""
+    chosen, shift = labelled_ids(docs, labels, doc_id, label, rows)
+    sample = stored_features(docs, chosen, doc_id, text, _features)
     n, n_toxic, texts, toxic = _counts(sample)
     if not 0 < n_toxic < n:
         return Model(np.zeros(1 << BITS, np.float32), 500.0 if n_toxic else -500.0)
@@ -83,7 +84,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     w, b = fit_logistic(owner, place[cols], ratio[cols], y, int(wanted.sum()), PENALTY)
     weights = np.zeros(1 << BITS, np.float32)
     weights[wanted] = w * ratio[wanted]
-    return Model(weights, b)
+    return Model(weights, b + shift)
 
 
 def _counts(sample: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray]:

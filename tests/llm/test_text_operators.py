@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus
-from plinth.llm import batches, bpe, decontaminate, kneser_ney, language_id, quality, registry, simhash, suffix_dedup, token_counts, toxicity, warc
+from plinth.llm import batches, bpe, decontaminate, kneser_ney, language_id, quality, registry, sampling, simhash, suffix_dedup, token_counts, toxicity, warc
 from plinth.llm.batches import span_hashes
 
 DOCS = corpus.rows()
@@ -68,6 +68,53 @@ def test_toxicity(spark, sf):
     assert len(set(scores.values())) == 1  # equal texts
 
 
+def _gram_buckets(text: bytes, sizes, bits: int) -> list[int]:
+    """The bucket of each n-gram, n by n, in plain integers."""
+    out = []
+    for n in sizes:
+        for i in range(len(text) - n + 1):
+            h = 0
+            for byte in text[i:i + n]:
+                h = (h * 1000003 + byte + 1) % 2**64
+            out.append((h + n) * 0x9E3779B97F4A7C15 % 2**64 >> (64 - bits))
+    return out
+
+
+def test_toxicity_scales_by_log_count_ratios(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    truth = {}
+    for r in corpus.labels(DOCS):
+        if r["doc_id"] is not None and r["toxic"] is not None:
+            truth[r["doc_id"]] = max(r["toxic"], truth.get(r["doc_id"], 0))
+    sets = {d["doc_id"]: set(_gram_buckets(b" " + raw(d).lower() + b" ", toxicity.SIZES, toxicity.BITS)) for d in DOCS}
+    seen = {k: Counter(b for i in truth if truth[i] == k for b in sets[i]) for k in (0, 1)}
+    n = Counter(truth.values())
+    for b in set(seen[0]) | set(seen[1]):
+        ratio = math.log((seen[1][b] + 1) / (n[1] + 2)) - math.log((seen[0][b] + 1) / (n[0] + 2))
+        clear = abs(ratio) >= toxicity.MIN_RATIO and seen[0][b] + seen[1][b] >= toxicity.MIN_TEXTS
+        assert clear or model.weights[b] == 0
+    assert set(np.flatnonzero(model.weights)) <= set(seen[0]) | set(seen[1])
+    for r in toxicity.score(docs, model).collect():
+        if r["doc_id"] is not None:
+            margin = model.bias + sum(float(model.weights[b]) for b in sets[r["doc_id"]])
+            assert math.isclose(r["score"], 1 / (1 + math.exp(-margin)), rel_tol=1e-6)
+
+
+def test_rare_labels_are_not_lost_to_the_bound(spark):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(1000)], "doc_id long, text string")
+    rows = [(k, int(k % 50 == 0)) for k in range(1000)] + [(k, 1) for k in range(5000, 5400)] + [(7, None), (None, 1), (50, 0)]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+    chosen, shift = sampling.labelled_ids(docs, labels, "doc_id", "toxic", 100)
+    got = chosen.collect()
+    assert {r["_id"] for r in got if r["_label"]} == set(range(0, 1000, 50))  # all 20 of them
+    assert len(got) == 100 == len({r["_id"] for r in got})
+    assert math.isclose(shift, math.log(20 / 980) - math.log(20 / 80))
+    assert sampling.labelled_ids(docs, labels, "doc_id", "toxic", 5000)[1] == 0
+    one_kind, shift = sampling.labelled_ids(docs, labels.where("toxic = 0"), "doc_id", "toxic", 100)
+    assert (one_kind.count(), shift) == (100, 0)
+
+
 # --- suffix arrays -------------------------------------------------------------------------------
 
 
@@ -205,9 +252,36 @@ def test_no_language_is_lost_to_the_bound(spark, monkeypatch):
     assert language_id.fit(docs).languages == sorted({lang for _, _, lang in rows})
 
 
+def test_decoding_takes_the_least_weighted_loss():
+    rng = np.random.default_rng(3)
+    code = language_id.codewords(5)
+    trust = rng.random(code.shape[1])
+    model = language_id.Model(list("abcde"), code, np.zeros((1, code.shape[1])), np.zeros(code.shape[1]), trust / trust.sum())
+    values = rng.normal(0, 2, (40, code.shape[1]))
+    best, score, doubt = language_id.decode(values, model)
+    for k, row in enumerate(values):
+        loss = [sum(t * math.log1p(math.exp(-v * c)) for v, c, t in zip(row, word, model.trust)) for word in code]
+        first, second = sorted(loss)[:2]
+        assert loss[best[k]] == pytest.approx(first) and bool(doubt[k]) == (second - first < language_id.LEAD)
+        assert score[k] == pytest.approx(1 / sum(math.exp((first - x) * len(trust)) for x in loss))
+
+
+def test_margins_are_mean_weights_of_grams():
+    rng = np.random.default_rng(8)
+    weights = rng.normal(0, 1, (1 << language_id.BITS, 3)).astype(np.float32)
+    model = language_id.Model(["a", "b"], np.ones((2, 3)), weights, rng.normal(0, 1, 3), np.ones(3) / 3)
+    texts = [raw(d) for d in DOCS if len(raw(d)) < 3000]
+    for text, got in zip(texts, language_id.margins(texts, model)):
+        folded = bytes(c | 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in b" " + text + b" ")
+        found = _gram_buckets(folded, language_id.SIZES, language_id.BITS)
+        assert got == pytest.approx(weights[found].astype(float).mean(0) + model.bias, rel=1e-6, abs=1e-9)
+
+
 def test_codewords_differ_in_several_bits():
-    for k in (2, 3, 4, 5, 9, 30):
+    for k in (2, 3, 4, 5, 6, 7, 9, 30):
         code = language_id.codewords(k)
+        bits = {tuple(b * b[0]) for b in code.T}
+        assert len(bits) == code.shape[1] and all(min(b) < 0 for b in bits)
         distance = ((code[:, None] != code[None]).sum(2) + np.eye(k) * 10**6).min()
         assert distance >= (1 if k == 2 else 2 if k == 3 else 4)
 
@@ -247,6 +321,24 @@ def test_quality_learns(spark, sf):
     assert np.mean([r["kept"] == truth[r["doc_id"]] for r in rows]) > 0.9
 
 
+def test_quality_probability_is_of_mean_weights():
+    rng = np.random.default_rng(6)
+    weights = rng.normal(0, 1, 1 << quality.BITS).astype(np.float32)
+    model = quality.Model(weights, 0.3, 0.7, -0.2)
+    texts = [raw(d) for d in DOCS if len(raw(d)) < 3000]
+
+    def word(w: bytes) -> int:
+        return int(span_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+
+    for text, got in zip(texts, quality.probabilities(quality.Piece(texts), model)):
+        kinds = [_gram_buckets(text, [n], quality.BITS) for n in quality.CHAR_SIZES]
+        hashes = [word(w) for w in re.findall(rb"[^\x20\x09-\x0D]+", text)]
+        pairs = batches.mix(np.array([(a * 31 + b) % 2**64 for a, b in zip(hashes, hashes[1:])], np.uint64)).tolist()
+        kinds += [[h >> (64 - quality.BITS) for h in hs] for hs in (hashes, pairs)]
+        margin = model.bias + quality.SCALE * sum(float(weights[k].astype(float).mean()) for k in kinds if k)
+        assert got == pytest.approx(1 / (1 + math.exp(-(model.slope * margin + model.offset))), rel=1e-6)
+
+
 # --- language model ------------------------------------------------------------------------------
 
 
@@ -386,6 +478,9 @@ def test_records_are_rebuilt_whole(spark, sf, tmp_path):
         assert bytes(r["payload"]) == body
         sent = b"" if "WARC-Type: revisit" in r["header"] else body
         assert bytes(r["record"]) == r["header"].encode() + sent + b"\r\n\r\n"
+    want = Counter(p["url"] for p in corpus.pages()) + Counter(p["url"] for p in corpus.pages() if p["page_id"] in (1, 2))
+    assert Counter(r["url"] for r in rows) == want
+    assert all(not re.search(r"[\x00-\x09\x0b\x0c\x0e-\x1f\x7f]", r["header"]) and r["header"].count("\r\nWARC-Type: ") == 1 for r in rows)
     stored = spark.read.parquet(archive.payloads)
     assert stored.count() == len(set(bodies.values()))
 
