@@ -86,7 +86,8 @@ def _dated(rows: DataFrame, dates: DataFrame) -> DataFrame:
 def fact_delete(spark: SparkSession, sf: str) -> DataFrame:
     """The stored fact after a batch in which unimportant orders in transit are deleted upstream and
     urgent ones arrive. The deletions go from the clean orders by change rows to the fact."""
-    items, orders, before, dims = _latest_items(spark, sf), given.orders(spark, sf), given.deliveries(spark, sf), dimensions(spark, sf)
+    items = stored(_latest_items(spark, sf), "fact-items")  # the clean table that both builds read
+    orders, before, dims = given.orders(spark, sf), given.deliveries(spark, sf), dimensions(spark, sf)
     rows = _dated(fact.build_fact(items, orders, before, dims), dims["date"])
     store = FactStore(new_dir(spark, "fact-months"), rows.schema)
     store.create(rows)
@@ -97,9 +98,10 @@ def fact_delete(spark: SparkSession, sf: str) -> DataFrame:
     moving, urgent = F.col("delivery_status") == "In Transit", F.col("estimated_time") == "1-URGENT"
     after = before.withColumn("delivery_status", F.when(moving & urgent, "Delivered").otherwise(F.col("delivery_status")))
     deleted = merged.changes().where("_action = 'DELETE' AND NOT _is_update").select("order_id")
-    touched = deleted.unionByName(before.where(moving & urgent).select(F.col("order_id_fk").alias("order_id")))
-    part = fact.touched_items(items, [touched], items.limit(0))
-    store.replace_orders(spark, _dated(fact.build_fact(part, merged.live(), after, dims), dims["date"]), touched)
+    arrived = before.where(moving & urgent).select(F.col("order_id_fk").alias("order_id"))
+    touched = stored(fact.touched_orders([deleted, arrived]), "fact-touched")
+    part = [fact.of_orders(rows, touched, key) for rows, key in ((items, "order_id_fk"), (merged.live(), "order_id"), (after, "order_id_fk"))]
+    store.replace_orders(spark, _dated(fact.build_fact(*part, dims), dims["date"]), touched)
     return iso(store.read(spark).drop("order_month"))
 
 

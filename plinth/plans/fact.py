@@ -96,18 +96,32 @@ def build_fact(
     )
 
 
+def touched_orders(changed_orders: list[DataFrame], changed_items: DataFrame | None = None) -> DataFrame:
+    """``order_id`` of the orders to rebuild: header, delivery or an item changed, each order once.
+
+    ``changed_orders`` are tables with ``order_id`` (from the change rows of orders and deliveries).
+    """
+    ids = [df.select("order_id") for df in changed_orders]
+    if changed_items is not None:
+        ids.append(changed_items.select(F.col("order_id_fk").alias("order_id")))
+    return reduce(DataFrame.unionByName, ids).distinct()
+
+
+def of_orders(rows: DataFrame, ids: DataFrame, key: str = "order_id_fk") -> DataFrame:
+    """Rows of a clean table that belong to the orders ``ids``.
+
+    With all three big tables cut down so, a rebuild looks up dimensions for touched orders only.
+    """
+    return rows.join(ids.select(F.col("order_id").alias(key)), key, "left_semi")
+
+
 def touched_items(items: DataFrame, changed_orders: list[DataFrame], changed_items: DataFrame) -> DataFrame:
     """Items to rebuild: changed themselves, or part of an order whose header or delivery changed.
 
-    ``changed_orders`` are tables with ``order_id`` (from the change rows of orders and
-    deliveries). The full clean tables are joined afterwards, so an item that came in earlier than
-    its order is not lost.
+    The full clean tables are joined afterwards, so an item that came in earlier than its order is
+    not lost.
     """
-    ids = changed_items.select(F.col("order_id_fk").alias("order_id"))
-    for df in changed_orders:
-        ids = ids.unionByName(df.select("order_id"))
-    wanted = ids.distinct().withColumnRenamed("order_id", "order_id_fk")
-    return items.join(wanted, "order_id_fk", "left_semi")
+    return of_orders(items, touched_orders(changed_orders, changed_items))
 
 
 def orphans(items: DataFrame, rows: DataFrame) -> DataFrame:

@@ -561,7 +561,8 @@ def fact_build(spark: SparkSession, sf: str) -> DataFrame:
 def fact_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Deliveries in transit arrive: the fact rows of their orders are rebuilt with all their keys
     and merged into the stored fact, of which only the buckets they are in are written."""
-    items, orders, dims = _latest_items(spark, sf), given.orders(spark, sf), dimensions(spark, sf)
+    items = session.stored(_latest_items(spark, sf), "fact-items")  # the clean table that both builds read
+    orders, dims = given.orders(spark, sf), dimensions(spark, sf)
     before = given.deliveries(spark, sf)
     arrived = F.when(F.col("delivery_status") == "In Transit", "Delivered").otherwise(F.col("delivery_status"))
     after = before.withColumn("delivery_status", arrived)
@@ -570,8 +571,10 @@ def fact_merge(spark: SparkSession, sf: str) -> DataFrame:
     first = fact.build_fact(items, orders, before, dims)
     stored = BucketedTable(new_dir(spark, "fact"), first.schema, fact.FACT_KEYS, _tasks(spark))
     stored.create(first)
-    # the new rows are written once: the buckets they touch are read off them before they are merged
-    rebuilt = session.stored(fact.build_fact(fact.touched_items(items, [moved], items.limit(0)), orders, after, dims), "fact-delta")
+    # what the batch touches is written once, and so are its rows: their buckets are read off them before the merge
+    touched = session.stored(fact.touched_orders([moved]), "fact-touched")
+    part = [fact.of_orders(rows, touched, key) for rows, key in ((items, "order_id_fk"), (orders, "order_id"), (after, "order_id_fk"))]
+    rebuilt = session.stored(fact.build_fact(*part, dims), "fact-delta")
     stored.upsert(rebuilt, 1, lambda old, new: fact.merge_fact(old, new).table())
     return stored.read(spark)
 
