@@ -736,17 +736,19 @@ def stream_entity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    """Order value per day from files that land newest first, one a batch; late orders count."""
+    """Order value per day from loads that land newest first, one a batch; late orders count."""
     landing = new_dir(spark, "order-landing")
     rows = given.table(spark, sf, "orders").select(
         F.col("o_orderdate").cast("timestamp").alias("ordered_at"), given.money("o_totalprice").alias("amount")
     )
+    schema = revenue.daily_revenue(rows, "ordered_at", "amount").schema
+    table = BucketedTable(new_dir(spark, "daily-revenue"), schema, ["calendar_date"], _tasks(spark))
+    table.create(spark.createDataFrame([], schema))
+    batch, checkpoint = upsert.replace_batch(table), new_dir(spark, "revenue-checkpoint")
     for n, (low, high) in enumerate([(1999, 9999), (1997, 1998), (0, 1996)]):
         rows.where(F.year("ordered_at").between(low, high)).write.parquet(f"{landing}/load={n}")
-    orders = ingest.parquet_stream(spark, f"{landing}/load=*", rows.schema, files_per_batch=1)
-    days = revenue.daily_revenue(orders, "ordered_at", "amount")
-    table = BucketedTable(new_dir(spark, "daily-revenue"), days.schema, ["calendar_date"], _tasks(spark))
-    table.create(spark.createDataFrame([], days.schema))
-    batch = upsert.replace_batch(table)
-    upsert.run_available(days, batch, new_dir(spark, "revenue-checkpoint"), "update").awaitTermination()
+        # a load has as many files as its table has splits, so a batch takes all that have landed
+        orders = ingest.parquet_stream(spark, f"{landing}/load=*", rows.schema)
+        days = revenue.daily_revenue(orders, "ordered_at", "amount")
+        upsert.run_available(days, batch, checkpoint, "update").awaitTermination()
     return iso(table.read(spark))

@@ -2,7 +2,7 @@
 
 import os
 import random
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -204,3 +204,28 @@ def test_seven_foreign_keys_are_checked(spark):
 def test_day_lists_are_days(spark):
     df = spark.createDataFrame([(date(2024, 1, 2),), (None,), (date(2024, 1, 2),)], "order_date date")
     assert kpi_incremental.touched_days(df) == [date(2024, 1, 2)]
+
+
+def test_daily_revenue_takes_a_load_a_batch_however_many_files_it_has(spark, tmp_path, monkeypatch):
+    days = [f"{1995 + k % 8}-03-{1 + k % 28:02d}" for k in range(64)]
+    rows = [(k, k, "F", float(k), datetime.fromisoformat(f"{d} 10:00:00"), "5-LOW") for k, d in enumerate(days)]
+    spark.createDataFrame(rows, given.SCHEMAS["orders"]).repartition(16).write.parquet(f"{tmp_path}/orders.parquet")
+    batches, real = [], upsert.replace_batch
+
+    def counted(table):
+        run = real(table)
+        return lambda batch, n: (batches.append(n), run(batch, n))
+
+    monkeypatch.setattr(upsert, "replace_batch", counted)
+    monkeypatch.setattr(q, "_tasks", lambda spark: 2)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a split and so a file for each part
+    try:
+        got = {r["calendar_date"]: (r["total_revenue"], r["total_orders"]) for r in q.stream_daily_revenue(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert sorted(batches) == [0, 1, 2]
+    want = {}
+    for k, d in enumerate(days):
+        want[d] = (want.get(d, (0, 0))[0] + Decimal(k), want.get(d, (0, 0))[1] + 1)
+    assert got == want
