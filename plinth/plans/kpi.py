@@ -132,24 +132,53 @@ def restaurant_cube(rows: DataFrame) -> DataFrame:
     """Revenue, distinct orders and largest line by year, month, restaurant, and all their subtotals.
 
     An order with items of several restaurants counts once wherever it is summed up, so counts do
-    not add. They are kept as exact bitmaps: order numbers are dealt to buckets of 32,768, a bucket
-    of a group is one bitmap, and coarser grains are the union of bitmaps. Tasks send bitmaps, one
-    for each group and bucket they met, instead of order numbers; only these expand into subtotals.
+    not add. Rows are summed per order first. Where a group has a restaurant, its orders are few and
+    scattered: the first row of an order in a group is marked, and marks are summed. The groups
+    without a restaurant hold most orders of a stretch of numbers, so they are counted by exact
+    bitmaps: order numbers are dealt to buckets of 32,768, each worked on by one task, and coarser
+    groups are the union of bitmaps.
     """
     grain = ["year", "month", "restaurant_name"]
-    fine = rows.groupBy(*grain, F.bitmap_bucket_number("order_id").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("order_id")).alias("_orders"),
-        F.sum("subtotal").alias("_revenue"), F.max("subtotal").alias("_max"),
+    per_order = rows.groupBy("order_id", *grain).agg(F.sum("subtotal").alias("_revenue"), F.max("subtotal").alias("_max"))
+    known = F.col("order_id").isNotNull()
+
+    def first_of(by: list[str], rest: list[str]) -> Column:
+        place = F.row_number().over(Window.partitionBy("order_id", *by).orderBy(*rest))
+        return (known & (place == 1)).cast("int")
+
+    marked = (
+        per_order.withColumn("_all", known.cast("int"))
+        .withColumn("_year", first_of(["restaurant_name", "year"], ["month"]))
+        .withColumn("_name", first_of(["restaurant_name"], ["year", "month"]))
+        .withColumn("_month", first_of(["restaurant_name", "month"], ["year"]))
     )
-    # the bucket is part of every level, so the bitmaps of a group stay small and in many groups
+    marks = ["_all", "_year", "_month", "_name"]
+    fine = marked.groupBy(*grain).agg(F.sum("_revenue").alias("_revenue"), F.max("_max").alias("_max"), *[F.sum(c).alias(c) for c in marks])
     sets = [[c for k, c in enumerate(grain) if level & (4 >> k) == 0] for level in range(8)]
-    levels = fine.groupingSets([[*s, "_bucket"] for s in sets], *grain, "_bucket").agg(
-        F.grouping_id().alias("_id"), F.bitmap_count(F.bitmap_or_agg("_orders")).alias("_n"),
-        F.sum("_revenue").alias("_revenue"), F.max("_max").alias("_max"),
+    sums = fine.groupingSets(sets, *grain).agg(
+        F.grouping_id().cast("int").alias("_id"), F.sum("_revenue").alias("_revenue"), F.max("_max").alias("_max"), *[F.sum(c).alias(c) for c in marks],
+    )
+    by_id = F.when(F.col("_id") == 0, F.col("_all")).when(F.col("_id") == 2, F.col("_year")).when(F.col("_id") == 4, F.col("_month")).when(F.col("_id") == 6, F.col("_name"))
+    named = sums.select(*grain, "_id", F.coalesce(by_id, F.lit(0)).alias("_n"), "_revenue", "_max")
+
+    # the bucket is part of every level, so the bitmaps of a group stay small and in many groups
+    dated = rows.groupBy("order_id", "year", "month").agg(F.bitmap_bucket_number("order_id").alias("_bucket"))
+    months = dated.where(known).repartition("_bucket").groupBy("year", "month", "_bucket").agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("order_id")).alias("_orders")
+    )
+    periods = [["year", "month"], ["year"], ["month"], []]
+    counts = months.groupingSets([[*p, "_bucket"] for p in periods], "year", "month", "_bucket").agg(
+        F.grouping_id().alias("_period"), F.bitmap_count(F.bitmap_or_agg("_orders")).alias("_n"),
+    ).groupBy("year", "month", "_period").agg(F.sum("_n").alias("_n"))
+    kinds = dict(named.dtypes)
+    # a period's number has the bucket as its last bit, a level's the restaurant, which is summed up here
+    unnamed = counts.select(
+        "year", "month", F.lit(None).cast(kinds["restaurant_name"]).alias("restaurant_name"), (F.col("_period") + 1).cast("int").alias("_id"), "_n",
+        *[F.lit(None).cast(kinds[c]).alias(c) for c in ("_revenue", "_max")],
     )
-    return levels.groupBy(*grain, "_id").agg(
+    return named.unionByName(unnamed).groupBy(*grain, "_id").agg(
         F.sum("_n").alias("total_orders"), F.sum("_revenue").cast(MONEY).alias("total_revenue"), F.max("_max").alias("max_order_value"),
-    ).select(*grain, (F.col("_id") / 2).cast("int").alias("grouping_level"), "total_revenue", "total_orders", "max_order_value")
+    ).select(*grain, F.col("_id").alias("grouping_level"), "total_revenue", "total_orders", "max_order_value")
 
 
 def register_views(fact: DataFrame, date_dim: DataFrame, restaurants: DataFrame) -> None:

@@ -390,3 +390,19 @@ def test_period_report_prunes_months_while_it_runs(spark, tmp_path):
                 metrics["partitions"] = node.metrics().get("numPartitions").get().value()
             todo.extend(node.children().apply(k) for k in range(node.children().size()))
     assert metrics["partitions"] == 1
+
+
+def test_cube_holds_no_bitmap_for_a_restaurant(spark):
+    # one order a restaurant in each stretch of numbers: a bitmap of each would be 4,096 bytes an order
+    rows = [(2024, 1 + k % 2, f"R{k}", k * 40_000 + d, Decimal(k)) for k in range(40) for d in (0, 0, 1)]
+    rows += [(2025, 1, "R1", 40_000, Decimal(9)), (2024, 2, None, 7, Decimal(1)), (2024, 2, "R1", None, Decimal(3))]
+    df = spark.createDataFrame(rows, "year int, month int, restaurant_name string, order_id bigint, subtotal decimal(10,2)")
+    cube = kpi.restaurant_cube(df)
+    keys = [part.split("Keys")[1].splitlines()[0] for part in plan(cube).split("\n\n") if "bitmap_construct_agg" in part and "Keys" in part]
+    assert keys and not any("restaurant_name" in k for k in keys)
+    got = {(r["year"], r["month"], r["restaurant_name"], r["grouping_level"]): (r["total_orders"], r["total_revenue"], r["max_order_value"]) for r in cube.collect()}
+    want = {}
+    for level in range(8):
+        for row in rows:
+            want.setdefault((*(None if level & (4 >> k) else row[k] for k in range(3)), level), []).append(row)
+    assert got == {k: (len({r[3] for r in v} - {None}), sum(r[4] for r in v), max(r[4] for r in v)) for k, v in want.items()}
