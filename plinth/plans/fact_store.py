@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plinth.plans.fact import Replaced, replace_orders
-from plinth.session import stored
+from plinth.session import new_dir, stored
 from plinth.sources import manifest
 
 MONTH, DAY = "order_month", "order_date"
+#: Names the folder that says that all new months of a batch are written aside.
+_READY = "_ready"
 
 
 def month_of(day: str | Column) -> Column:
@@ -34,10 +36,12 @@ class FactStore:
     def create(self, rows: DataFrame) -> None:
         self._write(rows.select(*self.schema.names), self.path)
 
-    def _write(self, rows: DataFrame, path: str) -> None:
+    def _write(self, rows: DataFrame, path: str, placed: DataFrame | None = None) -> None:
+        """Write rows, and those of ``placed``, which are dealt by month already."""
         # days of a month lie together, so a day's rows are few row groups; adaptive execution splits large months
-        placed = rows.withColumn(MONTH, month_of(DAY)).repartition(MONTH).sortWithinPartitions(MONTH, DAY)
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+        dealt = rows.withColumn(MONTH, month_of(DAY)).repartition(MONTH)
+        both = dealt if placed is None else dealt.unionByName(placed)
+        both.sortWithinPartitions(MONTH, DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
 
     def read(self, spark: SparkSession, days: list[date] | None = None) -> DataFrame:
         """All rows, or those of some days. The list has a day of the calendar once, so it stays short."""
@@ -59,36 +63,46 @@ class FactStore:
         return self.read(spark).join(calendar, [MONTH]).where(F.col(DAY) == F.col("calendar_date"))
 
     def replace_orders(self, spark: SparkSession, rows: DataFrame, touched: DataFrame, aside: str | None = None) -> DataFrame:
-        """Make the rows of the ``touched`` orders exactly ``rows``; returns the change rows.
+        """Make the rows of the ``touched`` orders exactly ``rows``, which are rows of these orders; returns the change rows.
 
         Only the months that hold a row of these orders, before or after, are read and written. Old
-        and new images are written aside first: the change rows are read from there, and a batch
+        and new images of the touched orders are written aside first: the change rows are read from
+        there. The new months are written aside as well and then put in place one by one, so a batch
         that fails while it replaces months can be run again. With ``aside``, a path of its own for
-        each batch, such a repetition goes by the images that are there already.
+        each batch, such a repetition goes by the images and months that are there already.
         """
         if aside and "_SUCCESS" in manifest.names(spark, aside):
-            return self._replace(spark, spark.read.parquet(aside))
+            return self._replace(spark, spark.read.parquet(aside), aside)
         replaced = self._images(spark, rows, touched)
         if aside:
             replaced.write.mode("overwrite").parquet(aside)
-            return self._replace(spark, spark.read.schema(replaced.schema).parquet(aside))
-        return self._replace(spark, stored(replaced, "fact-replaced"))
+            return self._replace(spark, spark.read.schema(replaced.schema).parquet(aside), aside)
+        return self._replace(spark, stored(replaced, "fact-replaced"), new_dir(spark, "fact-replaced"))
 
     def _images(self, spark: SparkSession, rows: DataFrame, touched: DataFrame) -> DataFrame:
-        """Old and new images of the months that hold rows of the touched orders."""
-        rows, touched = stored(rows.select(*self.schema.names), "fact-rows"), stored(touched.select("order_id").distinct(), "fact-touched")
-        held = self.read(spark).join(touched, "order_id", "left_semi").select(MONTH)
-        new = rows.select(month_of(DAY).alias(MONTH))
-        months = sorted(r[0] for r in held.unionByName(new).distinct().collect())  # months of the calendar
-        part = self.read(spark).where(F.col(MONTH).isin(months)).drop(MONTH) if months else spark.createDataFrame([], self.schema)
-        return replace_orders(part, rows, touched).rows
-
-    def _replace(self, spark: SparkSession, images: DataFrame) -> DataFrame:
+        """Old and new images of the touched orders, those without either as the touched orders they are."""
+        touched = stored(touched.select("order_id").distinct(), "fact-touched")
+        held = self.read(spark).drop(MONTH).join(touched, "order_id", "left_semi").select(*self.schema.names)
+        return replace_orders(held, rows.select(*self.schema.names), touched).rows
+
+    def _replace(self, spark: SparkSession, images: DataFrame, aside: str) -> DataFrame:
         done = Replaced(images, self.schema.names, {})
-        after = done.table()
-        months = {r[0] for side in ("_old", "_new") for r in images.where(F.col(side).isNotNull()).select(month_of(F.col(side)[DAY])).distinct().collect()}
-        left = {r[0] for r in after.select(month_of(DAY)).distinct().collect()}
-        self._write(after, self.path)
-        for month in months - left:  # nothing is left in it
-            manifest.remove(spark, f"{self.path}/{MONTH}={month}")
+        ready = f"{aside}-months"
+        if _READY not in manifest.names(spark, ready):
+            manifest.remove(spark, ready)
+            sides = F.explode(F.filter(F.array("_old", "_new"), lambda side: side.isNotNull()))
+            months = [r[0] for r in images.select(sides.alias("_row")).select(month_of(F.col("_row")[DAY])).distinct().collect()]  # of the calendar
+            if None in months:
+                raise ValueError("a fact row without a day is in no month and cannot be replaced")
+            # old images by their months: dealt like the rows of the months, so that what stays moves once
+            gone = images.where("_old IS NOT NULL").select(month_of(F.col("_old")[DAY]).alias(MONTH), F.col("_old.order_id").alias("order_id")).distinct()
+            part = self.read(spark).where(F.col(MONTH).isin(months)).repartition(MONTH)
+            kept = part.join(gone.repartition(MONTH), [MONTH, "order_id"], "left_anti").select(*self.schema.names, MONTH)
+            self._write(done.table(), ready, kept)
+            for month in set(months) - {n.split("=")[1] for n in manifest.names(spark, ready) if "=" in n}:
+                manifest.folder(spark, f"{ready}/{MONTH}={month}")  # nothing is left in it
+            manifest.folder(spark, f"{ready}/{_READY}")
+        for name in manifest.names(spark, ready):
+            if name.startswith(f"{MONTH}="):  # those put in place before are not there any more
+                manifest.put(spark, f"{ready}/{name}", f"{self.path}/{name}")
         return done.changes()

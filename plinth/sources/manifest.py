@@ -33,6 +33,21 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
+def folder(spark: SparkSession, path: str) -> None:
+    fs, place = _open(spark, path)
+    fs.mkdirs(place)
+
+
+def put(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another. One without files only takes the other away."""
+    fs, place = _open(spark, source)
+    remove(spark, target)
+    if not names(spark, source):
+        fs.delete(place, True)
+    elif not fs.rename(place, _open(spark, target)[1]):
+        raise OSError(f"{source} could not be put in the place of {target}")
+
+
 def _published(spark: SparkSession, log: str) -> dict[int, list[str]]:
     """Files by version, the one that counts last."""
     found: dict[int, list[str]] = {}

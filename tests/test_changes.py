@@ -16,6 +16,7 @@ from plinth.operators.scd2 import empty_dim, new_versions, scd2_apply, scd2_from
 from plinth.plans import change_queries, fact, kpi, kpi_incremental
 from plinth.plans.fact_store import FactStore
 from plinth.session import stored
+from plinth.sources import manifest
 
 
 def rows_of(df):
@@ -406,3 +407,27 @@ def test_cube_holds_no_bitmap_for_a_restaurant(spark):
         for row in rows:
             want.setdefault((*(None if level & (4 >> k) else row[k] for k in range(3)), level), []).append(row)
     assert got == {k: (len({r[3] for r in v} - {None}), sum(r[4] for r in v), max(r[4] for r in v)) for k, v in want.items()}
+
+
+def test_a_batch_sets_only_its_orders_aside_and_can_die_between_two_months(spark, tmp_path, monkeypatch):
+    rows = [(1, m * 100 + d, date(2024, m, d), "Delivered", "A", Decimal(d)) for m in range(1, 4) for d in range(1, 9)]
+    store, real, done = build(spark, tmp_path, rows), manifest.put, []
+    new = [(1, 101, date(2024, 2, 1), "Pending", "A", Decimal(5)), (1, 301, date(2024, 3, 1), "Pending", "A", Decimal(7))]
+    gone = [101, 301, *[200 + d for d in range(1, 9)]]
+    batch = spark.createDataFrame(new, FACT), spark.createDataFrame([(o,) for o in gone], "order_id bigint"), f"{tmp_path}/aside"
+
+    def dies(*args):
+        if done:
+            raise OSError("lost")
+        done.append(real(*args))
+
+    with monkeypatch.context() as m:
+        m.setattr(manifest, "put", dies)
+        with pytest.raises(OSError):
+            store.replace_orders(spark, *batch)
+    want = [r for r in rows if r[1] not in gone] + new
+    for _ in range(2):
+        changes = store.replace_orders(spark, *batch)
+        assert rows_of(store.read(spark).drop("order_month")) == sorted(want, key=str)
+    assert spark.read.parquet(batch[2]).count() == len(gone)
+    assert changes.count() == len(gone) + len(new)
