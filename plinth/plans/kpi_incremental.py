@@ -4,16 +4,13 @@ The state has one row per group (day, delivery status and, for the ranking, rest
 revenue, items, orders and the largest line. Change rows are signed: an INSERT image adds, a DELETE
 image takes away. Revenue and items add up. Whether an order is new to a group or has left it is
 seen from its items there, before and after; the largest line has to be looked for again only where
-one as large was taken away. So only the days that a batch touches are read, and of these only the
-touched orders, or the groups that lost their largest line.
+one as large was taken away. So only the days that a batch touches are read.
 
 An order has one day and, at a time, one status, so coarser views are sums of the state.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,22 +37,28 @@ def _typed(state: DataFrame, grain: list[str]) -> DataFrame:
     return state.select(*grain, *[F.col(c).cast(kinds[c]).alias(c) for c in _SUMS])
 
 
-def _same(left: list[str], right: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
-
-
-def _renamed(df: DataFrame, columns: list[str], prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
-
-
-def order_deltas(changes: DataFrame, grain: list[str]) -> DataFrame:
-    """Signed sums of the change rows per group and order."""
+def order_deltas(changes: DataFrame, after: DataFrame, grain: list[str]) -> DataFrame:
+    """Signed sums of the change rows per group and order, whether the order is new to the group (1) or
+    has left it (-1), and the largest line that ``after`` has there. An order without change has no sums."""
+    place = [*grain, "order_id"]
     added = F.col("_action") == "INSERT"
-    sign = F.when(added, 1).otherwise(-1)
-    return changes.groupBy(*grain, "order_id").agg(
-        F.sum(sign * F.col("subtotal")).alias("d_revenue"), F.sum(sign).alias("d_items"),
-        F.max(F.when(added, F.col("subtotal"))).alias("added_max"), F.max(F.when(~added, F.col("subtotal"))).alias("lost_max"),
+    sign, line = F.when(added, 1).otherwise(-1), F.col("subtotal")
+    kind, none = changes.schema["subtotal"].dataType, F.lit(None)
+    seen = changes.select(
+        *place, (sign * line).alias("d_revenue"), sign.alias("d_items"), F.when(added, line).alias("added_max"), F.when(~added, line).alias("lost_max"),
+        F.lit(0).alias("_now"), none.cast(kind).alias("largest"),
+    )
+    held = after.select(
+        *place, none.cast(seen.schema["d_revenue"].dataType).alias("d_revenue"), none.cast("int").alias("d_items"), none.cast(kind).alias("added_max"),
+        none.cast(kind).alias("lost_max"), F.lit(1).alias("_now"), line.alias("largest"),
     )
+    # one shuffle for both: no join by group and order
+    summed = seen.unionByName(held).groupBy(*place).agg(
+        F.sum("d_revenue").alias("d_revenue"), F.sum("d_items").alias("d_items"), F.max("added_max").alias("added_max"), F.max("lost_max").alias("lost_max"),
+        F.sum("_now").alias("_now"), F.max("largest").alias("largest"),
+    )
+    moved = (F.col("_now") > 0).cast("int") - (F.col("_now") - F.col("d_items") > 0).cast("int")
+    return summed.withColumn("d_orders", moved).drop("_now")
 
 
 def apply_changes(state: DataFrame, changes: DataFrame, after: DataFrame, grain: list[str]) -> DataFrame:
@@ -64,34 +67,19 @@ def apply_changes(state: DataFrame, changes: DataFrame, after: DataFrame, grain:
     ``after`` are fact rows after the batch; it must hold all rows of the touched groups and may
     leave out all others (callers read the touched days alone). A group without items leaves.
     """
-    deltas = order_deltas(changes, grain)
-    place = [*grain, "order_id"]
-    seen = _renamed(after.select(*place), place, "_a_")
-    there = seen.join(deltas.select(*place), _same([f"_a_{c}" for c in place], place), "left_semi")
-    now = there.groupBy(*[f"_a_{c}" for c in place]).agg(F.count(F.lit(1)).alias("_now"))
-    counted = deltas.join(now, _same(place, [f"_a_{c}" for c in place]), "left").withColumn("_now", F.coalesce("_now", F.lit(0)))
-    before = F.col("_now") - F.col("d_items")
-    delta = counted.groupBy(*grain).agg(
-        F.sum("d_revenue").alias("d_revenue"), F.sum("d_items").alias("d_items"),
-        F.sum((F.col("_now") > 0).cast("int") - (before > 0).cast("int")).alias("d_orders"),
-        F.max("added_max").alias("added_max"), F.max("lost_max").alias("lost_max"),
+    old = state.withColumnsRenamed({c: f"_s_{c}" for c in _SUMS})
+    deltas = order_deltas(changes, after, grain)
+    found = ["added_max", "lost_max", "largest"]
+    # the state has a row per group: its columns come through the sums as they are
+    both = old.unionByName(deltas.drop("order_id"), allowMissingColumns=True).groupBy(*grain).agg(
+        *[F.sum(f"{p}{c}").alias(f"{p}{c}") for p in ("_s_", "d_") for c in _SUMS[:3]], *[F.max(c).alias(c) for c in ("_s_max_line", *found)]
     )
-    old = _renamed(state, state.columns, "_s_")
-    joined = old.join(delta, _same([f"_s_{c}" for c in grain], grain), "full_outer")
-    # a group is the delta's where there is one: its columns may be NULL themselves
-    present = F.col("d_items").isNotNull()
-    merged = joined.select(
-        *[F.when(present, F.col(c)).otherwise(F.col(f"_s_{c}")).alias(c) for c in grain],
-        *[(F.coalesce(f"_s_{c}", F.lit(0)) + F.coalesce(f"d_{c}", F.lit(0))).alias(c) for c in ("revenue", "items", "orders")],
-        F.greatest("_s_max_line", "added_max").alias("max_line"),
-        F.coalesce(F.col("lost_max") >= F.col("_s_max_line"), F.lit(False)).alias("_again"),
-    ).where(F.col("items") > 0)
-    # the largest line was taken away: look for it in what is left of the group
-    again = _renamed(merged.where("_again").select(*grain), grain, "_g_")
-    lines = after.select(*grain, "subtotal").join(again, _same(grain, [f"_g_{c}" for c in grain]), "left_semi")
-    largest = _renamed(lines.groupBy(*grain).agg(F.max("subtotal").alias("_largest")), grain, "_l_")
-    whole = merged.join(largest, _same(grain, [f"_l_{c}" for c in grain]), "left")
-    return _typed(whole.withColumn("max_line", F.when(F.col("_again"), F.col("_largest")).otherwise(F.col("max_line"))), grain)
+    # where the largest line was taken away, it is the largest of what is left of the group
+    again = F.coalesce(F.col("lost_max") >= F.col("_s_max_line"), F.lit(False))
+    return _typed(both.select(
+        *grain, *[(F.coalesce(f"_s_{c}", F.lit(0)) + F.coalesce(f"d_{c}", F.lit(0))).alias(c) for c in _SUMS[:3]],
+        F.when(again, F.col("largest")).otherwise(F.greatest("_s_max_line", "added_max")).alias("max_line"),
+    ).where(F.col("items") > 0), grain)
 
 
 def touched_days(changes: DataFrame) -> list:

@@ -431,3 +431,13 @@ def test_a_batch_sets_only_its_orders_aside_and_can_die_between_two_months(spark
         assert rows_of(store.read(spark).drop("order_month")) == sorted(want, key=str)
     assert spark.read.parquet(batch[2]).count() == len(gone)
     assert changes.count() == len(gone) + len(new)
+
+
+def test_kpi_state_follows_without_joins(spark):
+    rows = spark.createDataFrame(some_fact(random.Random(3), range(9)), FACT)
+    changes = rows.select(F.lit("INSERT").alias("_action"), F.lit(False).alias("_is_update"), "*")
+    for grain in (kpi_incremental.DAY_GRAIN, kpi_incremental.RESTAURANT_GRAIN):
+        state = kpi_incremental.state_of(rows.limit(0), grain)
+        new = kpi_incremental.apply_changes(state, changes, rows, grain)
+        assert "Join" not in plan(new)
+        assert rows_of(new) == rows_of(kpi_incremental.state_of(rows, grain))
