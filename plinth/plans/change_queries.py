@@ -243,7 +243,7 @@ def stream_kpis(spark: SparkSession, sf: str) -> DataFrame:
     """Daily KPIs of delivered items, live: first all items as they are, then those of orders in
     transit again as they arrive, and last, late, a state of them from before."""
     root, landing = new_dir(spark, "live-kpis"), new_dir(spark, "live-items")
-    rows = _kpi_rows(spark, sf).withColumn("modified", F.lit(given.DAY_0))
+    rows = stored(_kpi_rows(spark, sf).withColumn("modified", F.lit(given.DAY_0)), "live-rows")  # all three loads come from it
     moving = rows.where(F.col("delivery_status") == "In Transit")
     arrived = moving.withColumn("delivery_status", F.lit(kpi.DELIVERED)).withColumn("modified", F.lit(given.DAY_1))
     late = moving.withColumn("delivery_status", F.lit("Pending")).withColumn("modified", F.lit("1997-01-01 00:00:00"))
