@@ -40,12 +40,14 @@ from plinth.session import new_dir
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 #: Characters of text aligned at once; a longer text comes in segments.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 #: Pieces of text in a lane, and ends compared at once in it at most.
 LANE = 64
 WIDEST = 256
 #: Distinct pieces a worker remembers; beyond it starts anew.
-KEPT_PIECES = 800_000
+KEPT_PIECES = 300_000
+#: Texts whose results a worker holds before it hands them on.
+ROWS = 500
 #: Pieces given to the libraries in one call.
 CALL = 2000
 
@@ -134,7 +136,7 @@ class Encoder:
     def forget(self) -> None:
         """Start anew: numbers of pieces, and the ids of piece k from ``first[k]`` to ``first[k + 1]``."""
         self.known: dict[str, int] = {}
-        self.ids = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]  # as long as all pieces kept
         self.first = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
         self.spelled = np.zeros(0, bool)
 
@@ -154,7 +156,7 @@ class Encoder:
             whole, *ids_and_sizes = (np.concatenate(x) for x in zip(*new))
             self.spelled = np.append(self.spelled, whole)
             for k in (0, 1):
-                self.ids[k] = np.append(self.ids[k], ids_and_sizes[k])
+                self.ids[k] = np.append(self.ids[k], ids_and_sizes[k].astype(np.int32))
                 self.first[k] = np.append(self.first[k], self.first[k][-1] + np.cumsum(ids_and_sizes[k + 2]))
         return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
@@ -193,7 +195,7 @@ class Encoder:
         first = self.first[side]
         n = first[numbers + 1] - first[numbers]
         ends = np.cumsum(n)
-        return self.ids[side][np.repeat(first[numbers] - (ends - n), n) + np.arange(int(n.sum()))], ends
+        return self.ids[side][np.repeat(first[numbers] - (ends - n), n) + np.arange(int(n.sum()))].astype(np.int64), ends
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -392,9 +394,10 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, voca
         coder = encoder(vocabulary_a, vocabulary_b)
         kinds = [*[pa.int64()] * 4, pa.string(), pa.binary(), pa.binary()]
         for batch in batches:
-            rows = _aligned(utf8(batch.column(1)), coder)
-            columns = list(zip(*rows)) if rows else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], [f.name for f in fields])
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                columns = list(zip(*_aligned(utf8(part.column(1)), coder)))
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], [f.name for f in fields])
 
     return docs.select(doc_id, text).mapInArrow(run, T.StructType(fields))
 

@@ -360,3 +360,11 @@ def test_empty_items_and_null_texts(spark, tmp_path):
     kept = substring_dedup.op11_substring_dedup(spark, str(tmp_path)).collect()
     assert by_row(kept, "n_words", "n_removed", "kept_sha256") == Counter({(0, 0, empty): 3})
     assert by_row(alignment.op13_token_alignment(spark, str(tmp_path)).collect(), *COLUMNS) == Counter({(0, 0, 0, 0, 0, 0, ""): 3})
+
+
+def test_kept_pieces_take_four_bytes_an_id(models):
+    coder = alignment.Encoder(alignment.VOCABULARY_A, alignment.VOCABULARY_B)
+    numbers = coder.numbers([" one", " two", " one"])
+    assert [x.itemsize for x in coder.ids] == [4, 4] and numbers.tolist()[0] == numbers.tolist()[2]
+    assert all(coder.tokens(numbers, k)[0].dtype == np.int64 for k in (0, 1))  # pairs are packed from them
+    assert alignment.KEPT_PIECES <= 300_000 and alignment.ROWS <= 1000
