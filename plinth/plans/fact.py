@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,7 +23,7 @@ FACT_COLUMNS = [
 
 def build_fact(
     items: DataFrame, orders: DataFrame, deliveries: DataFrame, dims: Mapping[str, DataFrame], *,
-    as_of: bool = True, salt: bool | None = None, share: float = 0.01,
+    as_of: bool = True, salt: bool | None = None, share: float = 0.01, by_order: int | None = None,
 ) -> DataFrame:
     """Fact rows for the given items.
 
@@ -35,6 +35,10 @@ def build_fact(
     the size, is shuffled for its own keys only. Each join is between two shuffles, which lets
     adaptive execution split the partition of a hot key; where that is switched off (or ``salt`` is
     set) sketches find the hot values of every foreign key and the joins are salted.
+
+    With ``by_order``, as many as a shuffle of the session has, the rows leave in that many partitions
+    by ``order_id``, to be written where they are: items look up their own dimensions first, as narrow
+    rows that bring the order's date only, and the join with the order is the last one.
     """
     at = "order_date" if as_of else None
     if salt is None:
@@ -80,22 +84,47 @@ def build_fact(
     )
     star = star.join(calendar, F.to_date("order_date") == F.col("_day")).drop("_day")
 
-    facts = salted_join(lines, star, ["order_id"], heavy=heavy.get("order_id", []))
-    facts = look_up(facts, "menu", "menu_id_fk", "menu_id", "menu_dim_hk", "menu_dim_key")
-    facts = look_up(
-        facts, "restaurant", "restaurant_id_fk", "restaurant_id", "restaurant_hk", "restaurant_dim_key",
-        extra=["location_id_fk"],
-    )
-    facts = look_up(
-        facts, "location", "location_id_fk", "location_id", "restaurant_location_hk",
-        "restaurant_location_dim_key",
-    )
+    def of_item(rows: DataFrame) -> DataFrame:
+        rows = look_up(rows, "menu", "menu_id_fk", "menu_id", "menu_dim_hk", "menu_dim_key")
+        rows = look_up(
+            rows, "restaurant", "restaurant_id_fk", "restaurant_id", "restaurant_hk", "restaurant_dim_key",
+            extra=["location_id_fk"],
+        )
+        return look_up(
+            rows, "location", "location_id_fk", "location_id", "restaurant_location_hk",
+            "restaurant_location_dim_key",
+        )
+
+    if by_order:
+        facts = _placed(lines, headers, star, of_item, by_order)
+    else:
+        facts = of_item(salted_join(lines, star, ["order_id"], heavy=heavy.get("order_id", [])))
     return facts.select(
         "order_item_id", "order_id", *FACT_COLUMNS[2:9],
         F.round("quantity", 0).cast("decimal(10,0)").alias("quantity"), *FACT_COLUMNS[10:],
     )
 
 
+def _placed(
+    lines: DataFrame, headers: DataFrame, star: DataFrame, of_item: Callable[[DataFrame], DataFrame], partitions: int
+) -> DataFrame:
+    """Items with what ``of_item`` looks up for them and the star row of their order, by order."""
+    named = [c for c in headers.columns if c not in ("order_id", "customer_id_fk")]  # order_date, maybe restaurant_id_fk
+    of_order = headers.select("order_id", *named).repartition(partitions, "order_id").distinct()
+    own = ["order_item_id", "order_id", "menu_id_fk", *[c for c in lines.columns if c == "restaurant_id_fk"], "quantity", "price", "subtotal"]
+    narrow = lines.select(*own).join(of_order, "order_id")
+    found = of_item(narrow).select(
+        "order_item_id", F.col("order_id").alias("_order"), *[F.col(c).alias(f"_{c}") for c in named], "quantity", "price",
+        "subtotal", "menu_dim_key", "restaurant_dim_key", "restaurant_location_dim_key",
+    )
+    # an order that came twice may have two dates: a row keeps the one it was looked up at. Written as bounds, since
+    # the date would else be a key of the join, and the rows be dealt by it as well
+    same = [(F.col(f"_{c}") <= F.col(c)) & (F.col(f"_{c}") >= F.col(c)) for c in named]
+    on = reduce(lambda a, b: a & b, same, F.col("_order") == F.col("order_id"))
+    # merged even where one side is small, as a broadcast would leave the rows where the other side's are
+    return found.repartition(partitions, "_order").join(star.hint("merge"), on).drop("_order", *[f"_{c}" for c in named])
+
+
 def touched_orders(changed_orders: list[DataFrame], changed_items: DataFrame | None = None) -> DataFrame:
     """``order_id`` of the orders to rebuild: header, delivery or an item changed, each order once.
 
@@ -176,7 +205,8 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -
     bucket, so that a bucket is one sorted file.
     """
     placed = df.repartition(buckets, key)
-    placed.write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(name)
+    by_key = placed.write.bucketBy(buckets, key).sortBy(key).option("compression", "zstd")
+    by_key.option("path", path).mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -5,6 +5,7 @@ Dates and timestamps leave as ISO text, so results of two engines compare value
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from plinth.functions.keys import digest, hash_key, surrogate_key
 from plinth.operators import masking, quality
 from plinth.operators.cdc import appended_since, inserts_only, snapshot_diff
 from plinth.operators.enrich import enrich_location
-from plinth.operators.latest import latest_per_key
+from plinth.operators.latest import latest_by, latest_per_key
 from plinth.operators.masking import mask_by_tag
 from plinth.operators.merge import merge
 from plinth.operators.ordered import asof_join, big_keys
@@ -560,21 +561,25 @@ def fact_build(spark: SparkSession, sf: str) -> DataFrame:
 
 def fact_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Deliveries in transit arrive: the fact rows of their orders are rebuilt with all their keys
-    and merged into the stored fact, of which only the buckets they are in are written."""
-    items = session.stored(_latest_items(spark, sf), "fact-items")  # the clean table that both builds read
+    and merged into the stored fact, of which only the buckets they are in are written.
+
+    Clean items, fact and rebuilt rows lie by order, so none of them moves for a join with another."""
+    n, tag = _tasks(spark), uuid.uuid4().hex
+    # the clean table that both builds read
+    items = fact.save_bucketed(_latest_items(spark, sf, n), f"plinth_items_{tag}", "order_id_fk", n, new_dir(spark, "fact-items"))
     orders, dims = given.orders(spark, sf), dimensions(spark, sf)
     before = given.deliveries(spark, sf)
     arrived = F.when(F.col("delivery_status") == "In Transit", "Delivered").otherwise(F.col("delivery_status"))
     after = before.withColumn("delivery_status", arrived)
     changes = snapshot_diff(before, after, ["delivery_id"])
     moved = changes.where(F.col("_action") == "INSERT").select(F.col("order_id_fk").alias("order_id"))
-    first = fact.build_fact(items, orders, before, dims)
-    stored = BucketedTable(new_dir(spark, "fact"), first.schema, fact.FACT_KEYS, _tasks(spark))
+    first = fact.build_fact(items, orders, before, dims, by_order=n)
+    stored = BucketedTable(new_dir(spark, "fact"), first.schema, ["order_id"], n, placed=True)
     stored.create(first)
     # what the batch touches is written once, and so are its rows: their buckets are read off them before the merge
     touched = session.stored(fact.touched_orders([moved]), "fact-touched")
     part = [fact.of_orders(rows, touched, key) for rows, key in ((items, "order_id_fk"), (orders, "order_id"), (after, "order_id_fk"))]
-    rebuilt = session.stored(fact.build_fact(*part, dims), "fact-delta")
+    rebuilt = fact.save_bucketed(fact.build_fact(*part, dims, by_order=n), f"plinth_delta_{tag}", "order_id", n, new_dir(spark, "fact-delta"))
     stored.upsert(rebuilt, 1, lambda old, new: fact.merge_fact(old, new).table())
     return stored.read(spark)
 
@@ -584,9 +589,10 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _latest_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Items, one per item and order number."""
-    return latest_per_key(given.order_items(spark, sf), ["order_item_id", "order_id_fk"], ["modified_dt"])
+def _latest_items(spark: SparkSession, sf: str, by_order: int | None = None) -> DataFrame:
+    """Items, one per item and order number; with ``by_order`` in that many partitions by order."""
+    items, keys, newest = given.order_items(spark, sf), ["order_item_id", "order_id_fk"], ["modified_dt"]
+    return latest_by(items, keys, newest, "order_id_fk", by_order) if by_order else latest_per_key(items, keys, newest)
 
 
 def fact_orphans(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,11 +4,17 @@
 ``<path>/log``) says which version of each bucket belongs to the table, or that the bucket is
 empty. Readers go by the log alone, so a batch that died half way is never seen and is simply
 written again.
+
+In a table that is ``placed`` the files are buckets of Spark's own kind as well, sorted by the keys:
+rows that lie by the keys already are written where they are, and an upsert reads a bucket as one
+task instead of moving the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +24,21 @@ from pyspark.sql import types as T
 from plinth.sources import manifest
 
 BUCKET = "_bucket"
+_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 Apply = Callable[[DataFrame, DataFrame], DataFrame]
 
 
+@contextmanager
+def _keys_may_deal_alone(spark: SparkSession) -> Iterator[None]:
+    """Joins on more columns than the rows are dealt by leave them where they are, on both sides."""
+    before = spark.conf.get(_ALL_KEYS)
+    spark.conf.set(_ALL_KEYS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ALL_KEYS, before)
+
+
 @dataclass(frozen=True)
 class BucketedTable:
     path: str
@@ -28,6 +46,7 @@ class BucketedTable:
     keys: list[str]
     buckets: int
     log: str = ""  # tables that share one advance together
+    placed: bool = False  # needs a catalog for names of its own; ``apply`` may only join or group, by the keys or more columns
 
     @property
     def _log(self) -> str:
@@ -35,7 +54,7 @@ class BucketedTable:
 
     def create(self, df: DataFrame) -> None:
         """Initial load, version 0."""
-        state = self._written(df, 0, set(range(self.buckets)))
+        state = self._written(self._dealt(df) if self.placed else df, 0, set(range(self.buckets)))
         manifest.publish(df.sparkSession, self._log, 0, {self.path: state})
 
     def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
@@ -54,8 +73,15 @@ class BucketedTable:
         spark = delta.sparkSession
         touched = {r[0] for r in delta.select(self._bucket()).distinct().collect()}  # at most `buckets` ints
         before = self._state(spark, version - 1)
-        current = self._load(spark, {b: v for b, v in before.items() if b in touched})
-        return before | self._written(apply(current, delta), version, touched)
+        held = {b: v for b, v in before.items() if b in touched}
+        if not self.placed:
+            return before | self._written(apply(self._load(spark, held), delta), version, touched)
+        name = f"plinth_{uuid.uuid4().hex}"
+        try:
+            with _keys_may_deal_alone(spark):
+                return before | self._written(apply(self._in_place(spark, held, name), self._dealt(delta)), version, touched)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")  # its files are not its own
 
     def staged(self, spark: SparkSession, state: dict[int, int | None]) -> DataFrame:
         """The table in a state that :meth:`stage` returned."""
@@ -65,13 +91,40 @@ class BucketedTable:
         return manifest.latest(spark, self._log, version).get(self.path, {})
 
     def _bucket(self):
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
+        hashed = F.hash if self.placed else F.xxhash64  # Spark deals rows by the first
+        return F.pmod(hashed(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
+
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        """Rows by bucket, a task each; those that lie so already do not move."""
+        return df.repartition(self.buckets, *self.keys)
+
+    def _in_place(self, spark: SparkSession, state: dict[int, int | None], name: str) -> DataFrame:
+        """Buckets as one task each: read so from one version (as table ``name``), dealt again from several."""
+        versions = {v for v in state.values() if v is not None}
+        if len(versions) != 1:
+            return self._dealt(self._load(spark, state))
+        kept = [b for b, v in state.items() if v is not None]
+        path = f"{self.path}/v={versions.pop()}".replace("'", "\\'")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+        keys = ", ".join(f"`{k}`" for k in self.keys)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}, {BUCKET} int) USING parquet PARTITIONED BY ({BUCKET}) "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+        )
+        spark.catalog.recoverPartitions(name)
+        return spark.table(name).where(F.col(BUCKET).isin(kept)).select(*self.schema.names)
 
     def _written(self, df: DataFrame, version: int, touched: set[int]) -> dict[int, int | None]:
         # keys are unique and hashed, so buckets are even; a task gets one bucket, as its number is the task's
         folder = f"{self.path}/v={version}"
-        placed = df.select(*self.schema.names, self._bucket()).repartitionById(self.buckets, BUCKET)
-        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        rows = df.select(*self.schema.names, self._bucket())
+        if self.placed:
+            name = f"plinth_{uuid.uuid4().hex}"
+            by_key = rows.write.mode("overwrite").partitionBy(BUCKET).bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+            by_key.option("compression", "zstd").option("path", folder).saveAsTable(name)
+            df.sparkSession.sql(f"DROP TABLE {name}")  # the files stay
+        else:
+            rows.repartitionById(self.buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         filled = {int(n.split("=")[1]) for n in manifest.names(df.sparkSession, folder) if n.startswith(f"{BUCKET}=")}
         return {b: version if b in filled else None for b in touched | filled}
 

@@ -14,7 +14,7 @@ from plinth.functions.keys import digest, hash_key, surrogate_key
 from plinth.operators import quality
 from plinth.operators.cdc import inserts_only, replay, snapshot_diff
 from plinth.operators.joins import heavy_keys, lookup_dim, salted_join
-from plinth.operators.latest import latest_per_key
+from plinth.operators.latest import latest_by, latest_per_key
 from plinth.operators.masking import mask_by_tag, tag_columns
 from plinth.operators.merge import merge
 from plinth.operators.ordered import add_slice, asof_join, big_keys
@@ -430,3 +430,16 @@ def test_a_stray_timestamp_does_not_undo_the_slices(spark):
     sliced = add_slice(line, ["k"], "t", big_keys(line, ["k"], "t", 1000))
     sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
     assert sum(sizes) == 20_001 and max(sizes) < 2000
+
+
+def test_latest_by_one_key_equals_latest_per_key(spark):
+    """Also with a key that holds a third of the rows, which is ranked before it moves, and NULL keys."""
+    rows = [(i % 7, i // 7, i % 5, f"a{i % 3}") for i in range(600)] + [(1, 2, i, "hot") for i in range(300)]
+    rows += [(None, 1, 1, "x"), (None, 1, 2, "y"), (1, None, 1, "z")]
+    df = spark.createDataFrame(rows, "item bigint, id bigint, t bigint, a string").repartition(4)
+    got = latest_by(df, ["item", "id"], ["t"], "id", 5)
+    assert rows_of(got) == rows_of(latest_per_key(df, ["item", "id"], ["t"]))
+    assert got.where("pmod(hash(id), 5) <> spark_partition_id()").count() == 0
+    assert got._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") > 1  # the hot key's own
+    cool = latest_by(df.where("a <> 'hot'"), ["item", "id"], ["t"], "id", 5)
+    assert cool._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plinth.operators import quality
+from plinth.operators.merge import merge
 from plinth.operators.scd2 import dim_current, empty_dim
 from plinth.plans import fact, kpi, queries as q
 from plinth.session import new_dir, scratch_root
@@ -77,6 +78,23 @@ def test_rebuild_from_the_touched_part_of_all_tables_equals_their_rows_of_the_fa
     assert rebuilt.count() > 0
 
 
+def test_fact_by_order_equals_plain_fact_also_for_orders_that_came_twice(spark):
+    """The second row of an order has a date after the dimensions' change, so other versions hold."""
+    items, orders, deliveries, dims = (*(f(spark, SF) for f in (given.order_items, given.orders, given.deliveries)), q.dimensions(spark, SF))
+    again = orders.where("order_id % 5 = 2").withColumn("order_date", F.expr("timestamp_ntz'1999-03-01 00:00:00'"))
+    orders = orders.unionByName(again).unionByName(orders.where("order_id % 7 = 1"))
+    deliveries = deliveries.unionByName(deliveries.where("order_id_fk % 3 = 0"))
+    items = items.unionByName(items.where("order_item_id = 2")).unionByName(items.limit(3).withColumn("order_id_fk", F.lit(None).cast("bigint")))
+    plain = rows_of(fact.build_fact(items, orders, deliveries, dims))
+    n = q._tasks(spark)
+    got = fact.build_fact(items, orders, deliveries, dims, by_order=n)
+    assert len(plain) > items.count() and rows_of(got) == plain
+    assert got.where(f"pmod(hash(order_id), {n}) <> spark_partition_id()").count() == 0
+    with_restaurant = orders.withColumn("restaurant_id_fk", F.expr("1 + order_id % 5"))
+    args = (items.drop("restaurant_id_fk"), with_restaurant, deliveries, dims)
+    assert rows_of(fact.build_fact(*args, by_order=n)) == rows_of(fact.build_fact(*args))
+
+
 def test_views_from_stored_fact_equal_views_from_clean_tables(spark):
     stored, date_dim = q.fact_build(spark, SF), given.calendar(spark, SF)
     totals = kpi.totals_from_fact(stored, date_dim)
@@ -223,6 +241,40 @@ def test_upsert_writes_only_touched_buckets_and_can_be_repeated(spark, tmp_path)
     assert rows_of(table.read(spark, 0)) == rows_of(state(spark, *[(i, 0, "old") for i in range(100)]))
 
 
+def test_placed_table_is_merged_where_it_lies(spark, tmp_path):
+    """No row of the table or the batch moves; the result is that of a plain merge, also over several versions."""
+    schema, plans, confs = "item bigint, id bigint, a string", [], "spark.sql.requireAllClusterKeysForCoPartition"
+    rows = [(i % 3, i // 3, "old") for i in range(300)]
+    table = BucketedTable(str(tmp_path / "t's"), spark.createDataFrame([], schema).schema, ["id"], 8, placed=True)
+    table.create(spark.createDataFrame(rows, schema))
+    assert {len(list(b.glob("*.parquet"))) for b in (tmp_path / "t's" / "v=0").glob("_bucket=*")} == {1}
+
+    def apply(old, new):
+        merged = merge(old, new, ["item", "id"]).table()
+        plans.append(merged._jdf.queryExecution().executedPlan().toString())
+        return merged
+
+    change = spark.createDataFrame([(i % 3, i // 3, "new") for i in range(0, 300, 4)] + [(7, 1000, "new")], schema)
+    delta = fact.save_bucketed(change, "plinth_test_delta", "id", 8, str(tmp_path / "delta"))
+    want = rows_of(merge(spark.createDataFrame(rows, schema), change, ["item", "id"]).table())
+    for _ in range(2):  # a version can be written again
+        table.upsert(delta, 1, apply)
+        assert rows_of(table.read(spark)) == want and rows_of(table.read(spark, 0)) == sorted(rows, key=str)
+    assert all("Exchange" not in plan for plan in plans)
+    assert spark.conf.get(confs) == "true"
+    few = spark.createDataFrame([(0, 5, "newest"), (9, 5, "newest")], schema)
+    table.upsert(few, 2, apply)
+    assert len(list((tmp_path / "t's" / "v=2").glob("_bucket=*"))) == 1
+    want = [(0, 5, "newest") if r[:2] == (0, 5) else r for r in want] + [(9, 5, "newest")]
+    assert rows_of(table.read(spark)) == sorted(want, key=str)
+    table.upsert(change, 3, apply)  # buckets of two versions
+    last = {r[:2]: r for r in want} | {tuple(r)[:2]: tuple(r) for r in change.collect()}
+    assert rows_of(table.read(spark)) == sorted(last.values(), key=str)
+    table.upsert(table.read(spark), 4, lambda old, new: old.join(new, ["item", "id"], "left_anti").select(*old.columns))
+    assert table.read(spark).count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("plinth_") and len(t.name) == 39]
+
+
 def test_buckets_that_become_empty_stay_empty_and_drafts_are_not_read(spark, tmp_path):
     table = BucketedTable(str(tmp_path / "t"), state(spark).schema, ["id"], 4)
     table.create(state(spark, *[(i, 0, "old") for i in range(6)]))
