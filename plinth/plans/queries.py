@@ -571,7 +571,8 @@ def fact_merge(spark: SparkSession, sf: str) -> DataFrame:
     before = given.deliveries(spark, sf)
     arrived = F.when(F.col("delivery_status") == "In Transit", "Delivered").otherwise(F.col("delivery_status"))
     after = before.withColumn("delivery_status", arrived)
-    changes = snapshot_diff(before, after, ["delivery_id"])
+    dealt = before.repartition(n, "delivery_id")  # one shuffle for both snapshots
+    changes = snapshot_diff(dealt, dealt.withColumn("delivery_status", arrived), ["delivery_id"])
     moved = changes.where(F.col("_action") == "INSERT").select(F.col("order_id_fk").alias("order_id"))
     first = fact.build_fact(items, orders, before, dims, by_order=n)
     stored = BucketedTable(new_dir(spark, "fact"), first.schema, ["order_id"], n, placed=True)
