@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +58,36 @@ def pieces(texts: list[bytes], limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def parts(batch: pa.RecordBatch, text: int, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch cut where column ``text`` reaches ``limit`` bytes; what a task makes of a part is let go with it."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
+    start = size = 0
+    for i, more in enumerate(sizes.tolist()):
+        if size and size + more > limit:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += more + 1
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
+_kept: dict[Hashable, object] = {}
+
+
+def keep(key: Hashable, make: Callable[[], object]) -> object:
+    """What a worker process keeps from task to task, for one key at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go() -> None:
+    """A task that keeps nothing frees what tasks of another operator have left in its worker."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def joined(texts: list[bytes], sep: bytes = b"\x00") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one byte array with ``sep`` after each, and each text's start and end in it."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))

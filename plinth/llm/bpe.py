@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.batches import documents, pieces, ship, utf8
+from plinth.llm.batches import documents, keep, parts, pieces, ship, utf8
 from plinth.llm.words import SAFE_CUT
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -254,14 +254,8 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(vocabulary: str, pattern: str) -> Encoder:
-    key = vocabulary, pattern
-    if key not in _encoders:
-        _encoders[key] = Encoder(*key)
-    return _encoders[key]
+    return keep(("bpe", vocabulary, pattern), lambda: Encoder(vocabulary, pattern))
 
 
 def encode(
@@ -278,7 +272,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole, 1)):
             counts, ids_sha, decoded_sha, all_ids, all_bytes = [], [], [], [], []
             for written in coder.encode(utf8(batch.column(1))):
                 ids = list(map(int, written.split()))

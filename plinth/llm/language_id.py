@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plinth.llm.batches import documents, joined, pieces, remainder, ship, utf8
+from plinth.llm.batches import documents, joined, let_go, parts, pieces, remainder, ship, utf8
 from plinth.llm.features import char_grams, sigmoid
 from plinth.llm.sampling import SEED, collected, ids_by_class, stored_features
 
@@ -166,19 +166,21 @@ def predict(docs: DataFrame, model: Model, text: str = "text", out: str = "_lang
     languages = np.array([*model.languages, UNKNOWN], object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
-            n = batch.num_columns - 1
-            letter = batch.column(n).to_numpy(zero_copy_only=False).astype(bool)
-            pred = np.full(batch.num_rows, len(languages) - 1)
-            score, doubt = np.zeros(batch.num_rows), np.ones(batch.num_rows, bool)
-            at = np.flatnonzero(letter)
-            if len(at) and model.languages:
-                texts = utf8(batch.column(at_text).take(pa.array(at)))
-                pred[at], score[at], doubt[at] = decode(margins(texts, model), model)
-            struct = pa.StructArray.from_arrays(
-                [pa.array(languages[pred], pa.string()), pa.array(score), pa.array(doubt)], names=found.names
-            )
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], struct], [*batch.schema.names[:n], out])
+            for part in parts(batch, at_text):
+                n = part.num_columns - 1
+                letter = part.column(n).to_numpy(zero_copy_only=False).astype(bool)
+                pred = np.full(part.num_rows, len(languages) - 1)
+                score, doubt = np.zeros(part.num_rows), np.ones(part.num_rows, bool)
+                at = np.flatnonzero(letter)
+                if len(at) and model.languages:
+                    texts = utf8(part.column(at_text).take(pa.array(at)))
+                    pred[at], score[at], doubt[at] = decode(margins(texts, model), model)
+                struct = pa.StructArray.from_arrays(
+                    [pa.array(languages[pred], pa.string()), pa.array(score), pa.array(doubt)], names=found.names
+                )
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], struct], [*part.schema.names[:n], out])
 
     return rows.mapInArrow(run, schema)
 

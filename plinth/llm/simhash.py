@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plinth.llm.batches import U64, documents, pieces, ship, utf8
+from plinth.llm.batches import U64, documents, let_go, parts, pieces, ship, utf8
 from plinth.llm.components import stars
 from plinth.llm.skew import dealt_anew
 from plinth.session import new_dir, stored
@@ -36,10 +36,14 @@ THRESHOLD = 3
 BLOCK_SHIFTS = (0, 32)
 BLOCK_BITS = 31
 
+#: Fingerprints that a task copies to their anchors, up to 32 for each.
+PLACED = 1 << 15
 #: Fingerprints of one anchor that a task compares.
 CROWD = 100_000
 #: Anchors in a broadcast list of crowded ones at most (8 MB).
 BROADCAST_ROWS = 1_000_000
+#: Names of repeated documents in a broadcast list at most (some 10 MB).
+BROADCAST_NAMES = 100_000
 
 #: Eight lanes of one byte, a lane for each bit of the index, the highest bit in the highest lane.
 _LANES = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], U64)
@@ -93,8 +97,9 @@ def with_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """doc_id, text_hash, fp (a long) for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
-            fp = fingerprints(utf8(batch.column(2))).view(np.int64)
+            fp = np.concatenate([np.zeros(0, U64), *(fingerprints(utf8(part.column(2))) for part in parts(batch, 2))]).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], ["doc_id", "text_hash", "fp"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -173,8 +178,12 @@ def _stars_of(fp: np.ndarray, home: np.ndarray) -> Iterator[tuple[int, np.ndarra
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """u, v: edges between distinct fingerprints whose components are those of all links."""
-    placed = anchored(fps)
+    """u, v: edges between distinct fingerprints whose components are those of all links.
+
+    ``fps`` is counted and read several times, so it should be stored.
+    """
+    # a number of tasks that adaptive execution doesn't lower, as it sees fingerprints and not their copies
+    placed = anchored(fps.repartition(max(1, -(-fps.count() // PLACED)), "fp"))
     crowded = stored(placed.groupBy("anchor").count().where(F.col("count") > CROWD).select(F.col("anchor").alias("_anchor")), "crowded")
     # at most 32 / CROWD rows for each fingerprint; beyond the bound the join is Spark's to plan
     if crowded.count() <= BROADCAST_ROWS:
@@ -251,7 +260,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     prints = spark.read.schema(prints.schema).parquet(path)
     # exact copies of a fingerprint end here: one row per value goes on
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    nodes = prints.groupBy("fp").agg(F.min(row).alias("first"))
+    nodes = stored(prints.groupBy("fp").agg(F.min(row).alias("first")), "fingerprints")
     reached = stars(links(nodes.select("fp")))
     placed = nodes.join(reached, F.col("fp") == F.col("u"), "left").select("fp", "first", F.coalesce("v", "fp").alias("root"))
     firsts = placed.groupBy("root").agg(F.min("first").alias("least")).select(dealt_anew("root").alias("_root"), "least")
@@ -278,11 +287,26 @@ def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ship(spark)
     rows = components(docs)
     me = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    kept = rows.where(me.eqNullSafe(F.col("first"))).select(*_document("doc_id", F.col("text_hash"))).distinct()
-    # repeated rows end in their task, so a document that everybody has is no hot key; both sides
-    # are grouped by the same three columns, so the join moves no text once more
-    once = docs.groupBy(*_document("doc_id", text_hash(docs["text"]))).agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return once.join(kept, ["_no_id", "_id", "_text"], "left_semi").select("_row.*")
+    names = ["_no_id", "_id", "_text"]
+    found = stored(
+        rows.groupBy(*_document("doc_id", F.col("text_hash"))).agg(
+            F.max(me.eqNullSafe(F.col("first"))).alias("_stays"), F.count(F.lit(1)).alias("_n")
+        ),
+        "names",
+    )
+    named = docs.select(*_document("doc_id", text_hash(docs["text"])), F.struct(*docs.columns).alias("_row"))
+    once = found.where("_stays and _n = 1").select(names)
+    repeated = found.where("_n > 1").select(*names, "_stays")
+    many = repeated.count()
+    if not many:
+        return named.join(once, names, "left_semi").select("_row.*")
+    if many > BROADCAST_NAMES:  # all rows are grouped, so texts still move once only
+        least = named.groupBy(names).agg(F.min("_row").alias("_row"))
+        return least.join(found.where("_stays").select(names), names, "left_semi").select("_row.*")
+    # rows of a repeated document are told by a broadcast and end in their task, so one that everybody has is no hot key
+    alone = named.join(F.broadcast(repeated.select(names)), names, "left_anti").join(once, names, "left_semi")
+    least = named.join(F.broadcast(repeated.where("_stays").select(names)), names, "left_semi").groupBy(names).agg(F.min("_row").alias("_row"))
+    return alone.select("_row.*").unionByName(least.select("_row.*"))
 
 
 def _document(doc_id: str, text: Column) -> list[Column]:

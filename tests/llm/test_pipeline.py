@@ -5,11 +5,12 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 import corpus
 import corpus_pipeline
-from plinth.llm import decontaminate, language_id, simhash, suffix_dedup
+from plinth.llm import batches, bpe, decontaminate, language_id, simhash, suffix_dedup
 from test_text_operators import _brute_hits, brute_components, brute_fingerprint, brute_repeats
 
 DOCS = corpus.rows()
@@ -104,3 +105,54 @@ def test_stages(spark, sf, docs):
 
 def test_empty_documents(spark, tmp_path):
     assert corpus_pipeline.run(spark, corpus.write(tmp_path, [])).collect() == []
+
+
+def test_near_dedup_groups_no_texts_but_those_of_repeated_rows(spark, tmp_path_factory, monkeypatch):
+    rng = random.Random(7)
+    some = [{"doc_id": k, "text": corpus.prose(rng, "en", 40), "lang": "en", "source": "s", "n_chars": k} for k in range(8)]
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    single = spark.read.parquet(corpus.write(tmp_path_factory.mktemp("single"), some) + "/documents.parquet")
+    kept = simhash.stage_near_dedup(spark, single, "")
+    assert "Aggregate" not in plan(kept)
+    assert {r["doc_id"] for r in kept.collect()} == set(range(8))
+    # repeated: one that stays, one that stays under null and empty text, one that another document stands for
+    some += [{**some[3], "source": "r"}] * 4 + [{**some[2], "doc_id": 20}] * 3
+    some += [{**some[0], "doc_id": 30, "text": t, "source": s} for t, s in ((None, "z"), ("", "a"), ("", "b"))]
+    docs = spark.read.parquet(corpus.write(tmp_path_factory.mktemp("repeated"), some) + "/documents.parquet").repartition(3)
+    results = []
+    for most in (simhash.BROADCAST_NAMES, 0):  # few and many repeated documents
+        monkeypatch.setattr(simhash, "BROADCAST_NAMES", most)
+        kept = simhash.stage_near_dedup(spark, docs, "")
+        assert kept.schema == docs.schema
+        results.append(sorted((r["doc_id"], r["text"], r["source"]) for r in kept.fillna({"text": "null"}).collect()))
+    want = [(d["doc_id"], d["text"], "r" if d["doc_id"] == 3 else "s") for d in some[:8]] + [(30, "null", "z")]
+    assert results == [want, want]
+
+
+def test_copies_at_anchors_are_made_by_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PLACED", 100)
+    seen, anchored = [], simhash.anchored
+    monkeypatch.setattr(simhash, "anchored", lambda fps: seen.append(fps) or anchored(fps))
+    rng = random.Random(11)
+    fps = [rng.getrandbits(63) for _ in range(950)]
+    found = simhash.links(spark.createDataFrame([(x,) for x in fps] + [(fps[0] ^ 7,)], "fp long")).collect()
+    assert {frozenset(r) for r in found} == {frozenset((fps[0], fps[0] ^ 7))}
+    assert seen[0].rdd.getNumPartitions() == 10
+
+
+def test_a_worker_keeps_the_state_of_one_operator():
+    first = batches.keep(("test", 1), list)
+    assert batches.keep(("test", 1), list) is first
+    second = bpe.encoder(bpe.RANKS, bpe.public_tokenizers.PATTERN)
+    assert bpe.encoder(bpe.RANKS, bpe.public_tokenizers.PATTERN) is second and list(batches._kept.values()) == [second]
+    batches.let_go()
+    assert not batches._kept
+
+
+def test_batches_are_worked_on_in_bounded_parts():
+    texts = ["a" * 40, None, "", "b" * 70, "c" * 300, "é" * 10, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["k", "text"])
+    found = list(batches.parts(batch, 1, 100))
+    assert [p.column(0).to_pylist() for p in found] == [[0, 1, 2], [3], [4], [5, 6]]
+    assert pa.Table.from_batches(found) == pa.Table.from_batches([batch])
+    assert list(batches.parts(batch.slice(0, 0), 1)) == []
