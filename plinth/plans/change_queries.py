@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,25 +85,54 @@ def _dated(rows: DataFrame, dates: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(days), "order_date_dim_key").select(*rows.columns, "order_date")
 
 
+#: Items in a bucket by order: a bucket is a task, and writes a file a month.
+ITEMS_PER_BUCKET = 1_000_000
+
+
+def _order_buckets(spark: SparkSession, sf: str) -> int:
+    """Buckets by order of a table of items: as many as its rows ask for, a few for small tables."""
+    return max(min(_tasks(spark), 4), -(-given.line_items(spark, sf).count() // ITEMS_PER_BUCKET))
+
+
+@contextmanager
+def _shuffles_of(spark: SparkSession, n: int) -> Iterator[None]:
+    """Shuffles have ``n`` partitions, so that stored buckets are taken as their equals."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def fact_delete(spark: SparkSession, sf: str) -> DataFrame:
     """The stored fact after a batch in which unimportant orders in transit are deleted upstream and
     urgent ones arrive. The deletions go from the clean orders by change rows to the fact."""
-    items = stored(_latest_items(spark, sf), "fact-items")  # the clean table that both builds read
-    orders, before, dims = given.orders(spark, sf), given.deliveries(spark, sf), dimensions(spark, sf)
-    rows = _dated(fact.build_fact(items, orders, before, dims), dims["date"])
-    store = FactStore(new_dir(spark, "fact-months"), rows.schema)
-    store.create(rows)
-
-    clean = orders.withColumn("modified", F.lit(given.DAY_0)).withColumn(GONE, F.lit(False))
-    low = clean.where((F.col("status") == "P") & (F.col("payment_method") == "5-LOW"))
-    merged = merge_with_deletes(clean, low.withColumn("modified", F.lit(given.DAY_1)).withColumn(GONE, F.lit(True)), ["order_id"], "modified")
-    moving, urgent = F.col("delivery_status") == "In Transit", F.col("estimated_time") == "1-URGENT"
-    after = before.withColumn("delivery_status", F.when(moving & urgent, "Delivered").otherwise(F.col("delivery_status")))
-    deleted = merged.changes().where("_action = 'DELETE' AND NOT _is_update").select("order_id")
-    arrived = before.where(moving & urgent).select(F.col("order_id_fk").alias("order_id"))
-    touched = stored(fact.touched_orders([deleted, arrived]), "fact-touched")
-    part = [fact.of_orders(rows, touched, key) for rows, key in ((items, "order_id_fk"), (merged.live(), "order_id"), (after, "order_id_fk"))]
-    store.replace_orders(spark, _dated(fact.build_fact(*part, dims), dims["date"]), touched)
+    n, tag = _order_buckets(spark, sf), uuid.uuid4().hex
+    with _shuffles_of(spark, n):
+        # the clean tables that both builds read, by order: none of them moves for a join by it
+        items, orders, before = (
+            fact.save_bucketed(rows, f"plinth_{name}_{tag}", key, n, new_dir(spark, f"fact-{name}"))
+            for name, rows, key in (
+                ("items", _latest_items(spark, sf, n), "order_id_fk"), ("orders", given.orders(spark, sf), "order_id"),
+                ("deliveries", given.deliveries(spark, sf), "order_id_fk"),
+            )
+        )
+        dims = dimensions(spark, sf)
+        rows = _dated(fact.build_fact(items, orders, before, dims, by_order=n), dims["date"])
+        store = FactStore(new_dir(spark, "fact-months"), rows.schema, n)
+        store.create(rows)
+
+        clean = orders.withColumn("modified", F.lit(given.DAY_0)).withColumn(GONE, F.lit(False))
+        low = clean.where((F.col("status") == "P") & (F.col("payment_method") == "5-LOW"))
+        merged = merge_with_deletes(clean, low.withColumn("modified", F.lit(given.DAY_1)).withColumn(GONE, F.lit(True)), ["order_id"], "modified")
+        moving, urgent = F.col("delivery_status") == "In Transit", F.col("estimated_time") == "1-URGENT"
+        after = before.withColumn("delivery_status", F.when(moving & urgent, "Delivered").otherwise(F.col("delivery_status")))
+        deleted = merged.changes().where("_action = 'DELETE' AND NOT _is_update").select("order_id")
+        arrived = before.where(moving & urgent).select(F.col("order_id_fk").alias("order_id"))
+        touched = stored(fact.touched_orders([deleted, arrived]), "fact-touched")
+        part = [fact.of_orders(rows, touched, key) for rows, key in ((items, "order_id_fk"), (merged.live(), "order_id"), (after, "order_id_fk"))]
+        store.replace_orders(spark, _dated(fact.build_fact(*part, dims, by_order=n), dims["date"]), touched)
     return iso(store.read(spark).drop("order_month"))
 
 

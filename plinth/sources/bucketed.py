@@ -28,8 +28,21 @@ _ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 Apply = Callable[[DataFrame, DataFrame], DataFrame]
 
 
+def buckets_in_place(spark: SparkSession, name: str, path: str, schema: T.StructType, part: T.StructField, keys: list[str], buckets: int) -> DataFrame:
+    """Files of Spark's own buckets below folders by ``part``, as table ``name``: one task reads a bucket."""
+    place = path.replace("'", "\\'")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, part])
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (`{part.name}`) "
+        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{place}'"
+    )
+    spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
 @contextmanager
-def _keys_may_deal_alone(spark: SparkSession) -> Iterator[None]:
+def keys_may_deal_alone(spark: SparkSession) -> Iterator[None]:
     """Joins on more columns than the rows are dealt by leave them where they are, on both sides."""
     before = spark.conf.get(_ALL_KEYS)
     spark.conf.set(_ALL_KEYS, "false")
@@ -78,7 +91,7 @@ class BucketedTable:
             return before | self._written(apply(self._load(spark, held), delta), version, touched)
         name = f"plinth_{uuid.uuid4().hex}"
         try:
-            with _keys_may_deal_alone(spark):
+            with keys_may_deal_alone(spark):
                 return before | self._written(apply(self._in_place(spark, held, name), self._dealt(delta)), version, touched)
         finally:
             spark.sql(f"DROP TABLE IF EXISTS {name}")  # its files are not its own
@@ -104,15 +117,8 @@ class BucketedTable:
         if len(versions) != 1:
             return self._dealt(self._load(spark, state))
         kept = [b for b, v in state.items() if v is not None]
-        path = f"{self.path}/v={versions.pop()}".replace("'", "\\'")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
-        keys = ", ".join(f"`{k}`" for k in self.keys)
-        spark.sql(
-            f"CREATE TABLE {name} ({columns}, {BUCKET} int) USING parquet PARTITIONED BY ({BUCKET}) "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{path}'"
-        )
-        spark.catalog.recoverPartitions(name)
-        return spark.table(name).where(F.col(BUCKET).isin(kept)).select(*self.schema.names)
+        rows = buckets_in_place(spark, name, f"{self.path}/v={versions.pop()}", self.schema, T.StructField(BUCKET, T.IntegerType()), self.keys, self.buckets)
+        return rows.where(F.col(BUCKET).isin(kept)).select(*self.schema.names)
 
     def _written(self, df: DataFrame, version: int, touched: set[int]) -> dict[int, int | None]:
         # keys are unique and hashed, so buckets are even; a task gets one bucket, as its number is the task's

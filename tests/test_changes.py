@@ -16,7 +16,7 @@ from plinth.operators.scd2 import empty_dim, new_versions, scd2_apply, scd2_from
 from plinth.plans import change_queries, fact, kpi, kpi_incremental
 from plinth.plans.fact_store import FactStore
 from plinth.session import stored
-from plinth.sources import manifest
+from plinth.sources import given, manifest
 
 
 def rows_of(df):
@@ -433,6 +433,89 @@ def test_a_batch_sets_only_its_orders_aside_and_can_die_between_two_months(spark
     assert changes.count() == len(gone) + len(new)
 
 
+def unmoved_scans(df):
+    """Scans of files whose rows no exchange moves."""
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.initialPlan())
+        elif "Exchange" not in name:
+            found += name.startswith("Scan parquet")
+            todo.extend(node.children().apply(k) for k in range(node.children().size()))
+    return found
+
+
+def test_a_batch_meets_a_fact_in_buckets_without_moving_it(spark, tmp_path, monkeypatch):
+    n, rng = int(spark.conf.get("spark.sql.shuffle.partitions")), random.Random(5)
+    rows = some_fact(rng, range(60)) + [(1, None, date(2024, 1, 2), "Pending", "A", Decimal(3))]
+    stores = [FactStore(f"{tmp_path}/{k}", spark.createDataFrame([], FACT).schema, k) for k in (0, n)]
+    for store in stores:
+        store.create(spark.createDataFrame(rows, FACT))
+    plans, real, put, done, tables = [], FactStore._write, manifest.put, [], len(spark.catalog.listTables())
+
+    def seen(self, new, path, placed=None):
+        if self.buckets:
+            plans.append(placed)
+            if placed is not None:
+                assert unmoved_scans(placed) == 1, plan(placed)
+        real(self, new, path, placed)
+
+    def dies(*args):
+        if len(done) == 1:
+            raise OSError("lost")
+        done.append(put(*args))
+
+    monkeypatch.setattr(FactStore, "_write", seen)
+    for step in range(3):
+        touched = rng.sample(range(70), 15)
+        new = spark.createDataFrame(some_fact(rng, touched[:9]), FACT)
+        ids = spark.createDataFrame([(o,) for o in touched], "order_id bigint")
+        if step == 1:  # the first try of this batch is lost between two months
+            done.clear()
+            with monkeypatch.context() as m:
+                m.setattr(manifest, "put", dies)
+                with pytest.raises(OSError):
+                    stores[1].replace_orders(spark, new, ids, f"{tmp_path}/aside-{n}-{step}")
+        plain, lying = (s.replace_orders(spark, new, ids, f"{tmp_path}/aside-{s.buckets}-{step}") for s in stores)
+        assert rows_of(lying) == rows_of(plain)
+        assert rows_of(stores[1].read(spark)) == rows_of(stores[0].read(spark))
+    assert len(plans) == 3
+    names = [f.split("order_month=")[1] for f in stores[1].read(spark).inputFiles()]
+    assert len({(f[:7], f.split("_")[-1]) for f in names}) == len(names)  # a file a month and bucket, also after batches
+    assert len(spark.catalog.listTables()) == tables
+
+
+def test_fact_delete_keeps_its_fact_where_it_lies(spark, tmp_path, monkeypatch):
+    day = [datetime(1998, 1 + k % 12, 1 + k % 28, 9) for k in range(24)]
+    orders = [(k, k % 3, "FOP"[k % 3], 10.0, day[k], ("1-URGENT", "5-LOW", "2-HIGH")[k // 3 % 3]) for k in range(24)]
+    lines = [(k, 1, k % 2, n, float(n), 10.0 * m, 0.1, 0.0, "N", "O", datetime(1998, 1, m)) for k in range(24) for n in (1, 2) for m in (3, 2)]
+    tables = {
+        "region": [(0, "R")], "nation": [(0, "N", 0)], "customer": [(k, f"C{k}", 0, 100.0, "BUILDING") for k in range(3)],
+        "supplier": [(k, f"S{k}", 0, 50.0) for k in range(2)], "part": [(1, "P", "B", "MEDIUM", 5, 20.0)], "orders": orders, "lineitem": lines,
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, given.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    found, real = [], FactStore._kept
+
+    def kept(self, part, old):
+        found.append(real(self, part, old))
+        assert unmoved_scans(found[-1]) == 1, plan(found[-1])
+        return found[-1]
+
+    monkeypatch.setattr(FactStore, "_kept", kept)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.requireAllClusterKeysForCoPartition")}
+    got = change_queries.fact_delete(spark, str(tmp_path))
+    assert len(found) == 1 and before == {k: spark.conf.get(k) for k in before}
+    status = {"F": "Delivered", "O": "Pending", "P": "In Transit"}
+    want = [
+        (n, o[0], str(o[4].date()), "Delivered" if o[2] + o[5] == "P1-URGENT" else status[o[2]], Decimal("30.00"))
+        for o in orders if o[2] + o[5] != "P5-LOW" for n in (1, 2)
+    ]
+    assert rows_of(got.select("order_item_id", "order_id", "order_date", "delivery_status", "price")) == sorted(want, key=str)
+
+
 def test_kpi_state_follows_without_joins(spark):
     rows = spark.createDataFrame(some_fact(random.Random(3), range(9)), FACT)
     changes = rows.select(F.lit("INSERT").alias("_action"), F.lit(False).alias("_is_update"), "*")
